@@ -92,7 +92,9 @@ def exact_quantiles(
     for i, (name, p) in enumerate(probs.items()):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         pos = (F.col("n") - 1) * F.lit(float(p))
-        cols.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+        part = pos - F.floor(pos)  # measured from the nearer end, as numpy does
+        between = F.when(part < 0.5, lo + (hi - lo) * part).otherwise(hi - (hi - lo) * (1 - part))
+        cols.append(F.when(lo == hi, lo).otherwise(between).alias(name))
     return out.select(*by, "n", *cols)
 
 

@@ -59,6 +59,11 @@ def rounded(df: DataFrame, *cols: str, places: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), places) for c in cols})
 
 
+def singles(df: DataFrame, *cols: str) -> DataFrame:
+    """Interpolated values may differ in the last bit between engines; single precision hides that."""
+    return df.withColumns({c: F.col(c).cast("float") for c in cols})
+
+
 def wide(df: DataFrame) -> DataFrame:
     """Coordinates as bigint and metrics as double, the same on both engines."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -85,13 +90,13 @@ ENS_ROWS = with_ens(f'SELECT {big("set_num", "run_num", "time_step", "ID", "part
 # ---- time series and scatter views
 
 
-BAND_SQL = """SELECT CAST(set_num AS BIGINT) AS set_num, CAST(time_step AS BIGINT) AS iteration, round(avg(x), 4) AS mean_val,
+BAND_SQL = """SELECT CAST(set_num AS BIGINT) AS set_num, CAST(time_step AS BIGINT) AS iteration, avg(x) AS mean_val,
   CAST(min(x) AS DOUBLE) AS min_val, CAST(max(x) AS DOUBLE) AS max_val FROM ens GROUP BY set_num, time_step"""
 
 
 @query(with_ens(BAND_SQL + " ORDER BY set_num, iteration"))
 def time_series_band(spark, sf):
-    return wide(rounded(series.time_series(ens(spark, sf), "x", SETS), "mean_val"))
+    return wide(series.time_series(ens(spark, sf), "x", SETS))
 
 
 @query(with_ens(f'SELECT {big("set_num")}, CAST(time_step AS BIGINT) AS iteration, CAST(x AS DOUBLE) AS x_val, CAST(y AS DOUBLE) AS y_val FROM ens'))
@@ -108,17 +113,17 @@ DELAY_SQL = """SELECT * FROM (SELECT set_num, iteration, current_val, lag(curren
   FROM (SELECT CAST(set_num AS BIGINT) AS set_num, CAST(time_step AS BIGINT) AS iteration, avg(x) AS current_val FROM ens GROUP BY ALL)) WHERE lagged_val IS NOT NULL"""
 
 
-@query(with_ens(f"SELECT set_num, iteration, round(current_val, 4) AS current_val, round(lagged_val, 4) AS lagged_val FROM ({DELAY_SQL})"))
+@query(with_ens(f"SELECT set_num, iteration, current_val, lagged_val FROM ({DELAY_SQL})"))
 def delay_lag(spark, sf):
-    return wide(rounded(series.delay(ens(spark, sf), "x", SETS, 2), "current_val", "lagged_val"))
+    return wide(series.delay(ens(spark, sf), "x", SETS, 2))
 
 
 @query(with_ens(
-    "SELECT set_num, iteration, round(current_val, 4) AS current_val, round(lagged_val, 4) AS lagged_val FROM "
+    "SELECT set_num, iteration, current_val, lagged_val FROM "
     f"(SELECT *, row_number() OVER (PARTITION BY set_num ORDER BY iteration DESC) AS back FROM ({DELAY_SQL})) WHERE back <= 2"
 ))
 def delay_tail(spark, sf):
-    return wide(rounded(series.delay_tail(series.delay(ens(spark, sf), "x", SETS, 2)), "current_val", "lagged_val"))
+    return wide(series.delay_tail(series.delay(ens(spark, sf), "x", SETS, 2)))
 
 
 @query(with_ens(f'SELECT {big("set_num", "run_num")}, CAST(arg_max(x, row(time_step, "ID", part, price)) AS DOUBLE) AS last_val FROM ens GROUP BY set_num, run_num'))
@@ -136,7 +141,7 @@ def histogram_sql(rows: str, keys: str, v: str, bins: int) -> str:
   bounds AS (SELECT {keys}, CASE WHEN a = z THEN a - 0.5 ELSE a END AS lo, CASE WHEN a = z THEN z + 0.5 ELSE z END AS hi FROM ends),
   counts AS (SELECT {of_b}, least(CAST(floor((CAST({v} AS DOUBLE) - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin, count(*) AS n
     FROM rows_ c JOIN bounds b ON {on} GROUP BY ALL)
-  SELECT {of_b}, g.bin, round(lo + (hi - lo) * g.bin / {bins}, 4) AS bin_lo, round(lo + (hi - lo) * (g.bin + 1) / {bins}, 4) AS bin_hi, coalesce(c.n, 0) AS n
+  SELECT {of_b}, g.bin, lo + (hi - lo) * g.bin / {bins} AS bin_lo, lo + (hi - lo) * (g.bin + 1) / {bins} AS bin_hi, coalesce(c.n, 0) AS n
   FROM bounds b CROSS JOIN (SELECT unnest(generate_series(0, {bins - 1})) AS bin) g LEFT JOIN counts c ON {on} AND c.bin = g.bin"""
 
 
@@ -147,13 +152,13 @@ SNAPSHOT_SQL = "SELECT CAST(set_num AS BIGINT) AS set_num, CAST(time_step AS BIG
 def histogram_30(spark, sf):
     rows = series.snapshot(ens(spark, sf), "x", SETS, EVERY_TICK)
     h = distribution.histogram(rows, "target_value", at_most_groups=distribution.most_groups(SETS, EVERY_TICK))
-    return wide(rounded(h, "bin_lo", "bin_hi"))
+    return wide(h)
 
 
 @query(f"WITH ens AS ({ENS_SQL}), " + histogram_sql("SELECT CAST(set_num AS BIGINT) AS set_num, avg(x) AS x FROM ens GROUP BY set_num, run_num, time_step", "set_num", "x", 50))
 def histogram_of_means(spark, sf):
     means = levels.analyze(ens(spark, sf), "x", "multiple_run", "mean")
-    return wide(rounded(distribution.histogram(means, "x", ["set_num"], 50), "bin_lo", "bin_hi"))
+    return wide(distribution.histogram(means, "x", ["set_num"], 50))
 
 
 def box_sql(rows: str, keys: str, v: str) -> str:
@@ -165,26 +170,25 @@ def box_sql(rows: str, keys: str, v: str) -> str:
 
 
 @query(f"WITH ens AS ({ENS_SQL}), " + box_sql(SNAPSHOT_SQL, "iteration, set_num", "target_value") + """
-  SELECT iteration, set_num, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
-    round(least(q1, min(CASE WHEN inside THEN CAST(v AS DOUBLE) END)), 4) AS whisker_lo,
-    round(greatest(q3, max(CASE WHEN inside THEN CAST(v AS DOUBLE) END)), 4) AS whisker_hi,
+  SELECT iteration, set_num, n, q1, median, q3,
+    least(q1, min(CASE WHEN inside THEN CAST(v AS DOUBLE) END)) AS whisker_lo,
+    greatest(q3, max(CASE WHEN inside THEN CAST(v AS DOUBLE) END)) AS whisker_hi,
     count(*) FILTER (WHERE NOT inside) AS n_outliers FROM f GROUP BY iteration, set_num, n, q1, median, q3""")
 def box_stats(spark, sf):
     rows = series.snapshot(ens(spark, sf), "x", SETS, EVERY_TICK)
     b = distribution.box_stats(rows, "target_value", at_most_groups=distribution.most_groups(SETS, EVERY_TICK))
-    return wide(rounded(b, "q1", "median", "q3", "whisker_lo", "whisker_hi"))
+    return wide(b)
 
 
-VALUE_SQL = "SELECT CAST(o_orderstatus AS VARCHAR) AS status, o_totalprice AS total FROM orders"
+EVENT_SQL = "SELECT event_type, value FROM events"
 
 
-@query("WITH " + box_sql(VALUE_SQL, "status", "total").rstrip() + " SELECT status, round(v, 4) AS outlier FROM f WHERE NOT inside")
+@query("WITH " + box_sql(EVENT_SQL, "event_type", "value").rstrip() + " SELECT event_type, v AS outlier FROM f WHERE NOT inside")
 def box_outliers(spark, sf):
-    rows = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"))
-    return rounded(distribution.box_outliers(rows, "total", ["status"]), "outlier")
+    return distribution.box_outliers(table(spark, sf, "events"), "value", ["event_type"])
 
 
-@query("WITH rows_ AS (SELECT event_type, value FROM events), " + box_sql("SELECT event_type, value FROM events", "event_type", "value").split("), ", 1)[1].rstrip()
+@query("WITH " + box_sql(EVENT_SQL, "event_type", "value").rstrip()
        + " SELECT event_type, count(*) AS n, round(sum(v), 2) AS total FROM f WHERE inside GROUP BY event_type")
 def outliers_stripped(spark, sf):
     kept = selecting.strip_outliers(table(spark, sf, "events").select("event_type", "value"), "value", ["event_type"])
@@ -194,31 +198,31 @@ def outliers_stripped(spark, sf):
 # ---- levels of the hierarchy
 
 
-@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step")}, round(avg(x), 4) AS x, round(avg(y), 4) AS y FROM ens GROUP BY set_num, run_num, time_step'))
+@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step")}, avg(x) AS x, avg(y) AS y FROM ens GROUP BY set_num, run_num, time_step'))
 def level_mean_run(spark, sf):
-    return wide(rounded(levels.analyze(ens(spark, sf), ["x", "y"], "multiple_run"), "x", "y"))
+    return wide(levels.analyze(ens(spark, sf), ["x", "y"], "multiple_run"))
 
 
-@query(with_ens(f'SELECT {big("set_num", "time_step")}, round(avg(x), 4) AS x FROM ens GROUP BY set_num, time_step'))
+@query(with_ens(f'SELECT {big("set_num", "time_step")}, avg(x) AS x FROM ens GROUP BY set_num, time_step'))
 def level_mean_batch(spark, sf):
-    return wide(rounded(levels.analyze(ens(spark, sf), "x", "multiple_batch"), "x"))
+    return wide(levels.analyze(ens(spark, sf), "x", "multiple_batch"))
 
 
-@query(with_ens(f'SELECT {big("time_step")}, round(avg(x), 4) AS x FROM ens GROUP BY time_step'))
+@query(with_ens(f'SELECT {big("time_step")}, avg(x) AS x FROM ens GROUP BY time_step'))
 def level_mean_set(spark, sf):
-    return wide(rounded(levels.analyze(ens(spark, sf), "x", "multiple_set"), "x"))
+    return wide(levels.analyze(ens(spark, sf), "x", "multiple_set"))
 
 
-@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step", "ID")}, round(avg(x), 4) AS x FROM ens GROUP BY set_num, run_num, time_step, "ID"'))
+@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step", "ID")}, avg(x) AS x FROM ens GROUP BY set_num, run_num, time_step, "ID"'))
 def level_mean_agent(spark, sf):
-    return wide(rounded(levels.analyze(ens(spark, sf), "x", "agent"), "x"))
+    return wide(levels.analyze(ens(spark, sf), "x", "agent"))
 
 
 @query(with_ens(f"""SELECT CASE WHEN grouping(set_num) = 1 THEN 'multiple_set' WHEN grouping(run_num) = 1 THEN 'multiple_batch'
-  WHEN grouping("ID") = 1 THEN 'multiple_run' ELSE 'agent' END AS level, {big("set_num", "run_num", "time_step", "ID")}, round(avg(x), 4) AS mean_val, count(x) AS n
+  WHEN grouping("ID") = 1 THEN 'multiple_run' ELSE 'agent' END AS level, {big("set_num", "run_num", "time_step", "ID")}, avg(x) AS mean_val, count(x) AS n
   FROM ens GROUP BY GROUPING SETS ((set_num, run_num, time_step, "ID"), (set_num, run_num, time_step), (set_num, time_step), (time_step))"""))
 def level_grouping_sets(spark, sf):
-    return wide(rounded(levels.analyze_all(ens(spark, sf), "x"), "mean_val"))
+    return wide(levels.analyze_all(ens(spark, sf), "x"))
 
 
 @query(with_ens(f'SELECT {big("set_num", "time_step")}, {dbl("x")} FROM ens'))
@@ -226,10 +230,10 @@ def level_full(spark, sf):
     return wide(levels.analyze(ens(spark, sf), "x", "multiple_batch", "full"))
 
 
-@query(with_ens(f"""SELECT {big("set_num", "time_step")}, count(x) AS n, round(quantile_cont(CAST(x AS DOUBLE), 0.2), 4) AS q_lo,
-  round(quantile_cont(CAST(x AS DOUBLE), 0.5), 4) AS q_mid, round(quantile_cont(CAST(x AS DOUBLE), 0.8), 4) AS q_hi FROM ens GROUP BY set_num, time_step"""))
+@query(with_ens(f"""SELECT {big("set_num", "time_step")}, count(x) AS n, CAST(CAST(quantile_cont(CAST(x AS DOUBLE), 0.2) AS FLOAT) AS DOUBLE) AS q_lo,
+  CAST(CAST(quantile_cont(CAST(x AS DOUBLE), 0.5) AS FLOAT) AS DOUBLE) AS q_mid, CAST(CAST(quantile_cont(CAST(x AS DOUBLE), 0.8) AS FLOAT) AS DOUBLE) AS q_hi FROM ens GROUP BY set_num, time_step"""))
 def quantile_band(spark, sf):
-    return wide(rounded(levels.analyze(ens(spark, sf), "x", "multiple_batch", "custom_quantile", 0.2, 0.8), "q_lo", "q_mid", "q_hi"))
+    return wide(singles(levels.analyze(ens(spark, sf), "x", "multiple_batch", "custom_quantile", 0.2, 0.8), "q_lo", "q_mid", "q_hi"))
 
 
 @query(with_ens(
@@ -240,9 +244,9 @@ def quantile_subset(spark, sf):
     return wide(selecting.quantile_subset(ens(spark, sf), "x", 0.9, 1.0))
 
 
-@query(with_ens(f'SELECT {big("set_num", "time_step")}, round(avg(x), 4) AS x_mean, round(avg(y), 4) AS y_mean FROM ens GROUP BY set_num, time_step'))
+@query(with_ens(f'SELECT {big("set_num", "time_step")}, avg(x) AS x_mean, avg(y) AS y_mean FROM ens GROUP BY set_num, time_step'))
 def scatter_level_mean(spark, sf):
-    return wide(rounded(levels.analyze_xy(ens(spark, sf), "x", "y", "multiple_batch"), "x_mean", "y_mean"))
+    return wide(levels.analyze_xy(ens(spark, sf), "x", "y", "multiple_batch"))
 
 
 # ---- filters
@@ -356,7 +360,7 @@ LONG_PARAMS = " UNION ALL ".join(_single_param(n) for n in ("alpha", "beta", "ga
 
 @query(with_ens(
     """SELECT param, x_bin, least(CAST(floor(CAST(x AS DOUBLE) / top * 500) AS BIGINT), 499) AS y_bin,
-  round(any_value(lo + (hi - lo) * x_bin / 500), 6) AS x_lo, round(any_value(top * least(CAST(floor(CAST(x AS DOUBLE) / top * 500) AS BIGINT), 499) / 500), 4) AS y_lo, count(*) AS n
+  any_value(lo + (hi - lo) * x_bin / 500) AS x_lo, CAST(CAST(any_value(top * least(CAST(floor(CAST(x AS DOUBLE) / top * 500) AS BIGINT), 499) / 500) AS FLOAT) AS DOUBLE) AS y_lo, count(*) AS n
   FROM ens JOIN cells USING (set_num), thr WHERE x >= 0 AND CAST(x AS DOUBLE) <= top GROUP BY ALL""",
     params=PARAMS_SQL, long_=LONG_PARAMS, thr="SELECT quantile_cont(CAST(x AS DOUBLE), 0.99) AS top FROM ens",
     ends="SELECT param, min(v) AS lo, max(v) AS hi FROM long_ GROUP BY param",
@@ -365,7 +369,7 @@ LONG_PARAMS = " UNION ALL ".join(_single_param(n) for n in ("alpha", "beta", "ga
 def density_2d(spark, sf):
     rows = ens(spark, sf)
     grid = sensitivity.density2d(rows, params(spark, sf), "x", 500, 99)
-    return wide(rounded(rounded(grid, "x_lo", places=6), "y_lo"))
+    return wide(singles(grid, "y_lo"))
 
 
 @query(with_ens(
@@ -612,7 +616,7 @@ def tick_snapshots(spark, sf):
 
 @query(with_ens(
     f"SELECT 'band.png' AS view, set_num, iteration, mean_val AS v1, min_val AS v2, max_val AS v3 FROM ({BAND_SQL}) UNION ALL "
-    f"SELECT 'delay.png', set_num, iteration, round(current_val, 4), round(lagged_val, 4), NULL FROM ({DELAY_SQL}) UNION ALL "
+    f"SELECT 'delay.png', set_num, iteration, current_val, lagged_val, NULL FROM ({DELAY_SQL}) UNION ALL "
     "SELECT 'xy.png', CAST(set_num AS BIGINT), CAST(time_step AS BIGINT), CAST(x AS DOUBLE), CAST(y AS DOUBLE), NULL FROM ens"))
 def view_runner(spark, sf):
     spec = {
@@ -626,23 +630,23 @@ def view_runner(spark, sf):
         ],
     }
     made = run_views(spark, spec, ens(spark, sf))
-    band = rounded(made["band.png"], "mean_val").select("set_num", "iteration", F.col("mean_val").alias("v1"), F.col("min_val").cast("double").alias("v2"), F.col("max_val").cast("double").alias("v3"))
-    lag = rounded(made["delay.png"], "current_val", "lagged_val").select("set_num", "iteration", F.col("current_val").alias("v1"), F.col("lagged_val").alias("v2"))
+    band = made["band.png"].select("set_num", "iteration", F.col("mean_val").alias("v1"), F.col("min_val").cast("double").alias("v2"), F.col("max_val").cast("double").alias("v3"))
+    lag = made["delay.png"].select("set_num", "iteration", F.col("current_val").alias("v1"), F.col("lagged_val").alias("v2"))
     xy = made["xy.png"].select("set_num", "iteration", F.col("x_val").cast("double").alias("v1"), F.col("y_val").cast("double").alias("v2"))
     parts = [t.select(F.lit(n).alias("view"), "*") for n, t in (("band.png", band), ("delay.png", lag), ("xy.png", xy))]
     return wide(parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True))
 
 
-@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step")}, round(avg(x), 4) AS x FROM ens WHERE time_step BETWEEN 61 AND 143 GROUP BY set_num, run_num, time_step'))
+@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step")}, avg(x) AS x FROM ens WHERE time_step BETWEEN 61 AND 143 GROUP BY set_num, run_num, time_step'))
 def analysis_spec(spark, sf):
     spec = {
         "agent": "Agent", "analysis": "multiple_run", "variables": {"var1": ["x"]}, "set": ["range", [1, 7]], "run": ["range", [1, 10]],
         "major": ["range", [61, 143, 1]], "summary": "mean",
     }
-    return wide(rounded(run_analysis(ens(spark, sf), "timeseries", spec)["x"], "x"))
+    return wide(run_analysis(ens(spark, sf), "timeseries", spec)["x"])
 
 
-@query(with_ens(f'SELECT {big("set_num", "run_num")}, CAST(max(time_step) AS BIGINT) AS last_tick, count(*) AS rows, round(max(CAST(x AS DOUBLE)), 4) AS top FROM ens GROUP BY set_num, run_num'))
+@query(with_ens(f'SELECT {big("set_num", "run_num")}, CAST(max(time_step) AS BIGINT) AS last_tick, count(*) AS rows, max(CAST(x AS DOUBLE)) AS top FROM ens GROUP BY set_num, run_num'))
 def per_run_function(spark, sf):
     schema = "set_num smallint, run_num smallint, last_tick bigint, rows bigint, top double"
 
@@ -652,7 +656,7 @@ def per_run_function(spark, sf):
     def whole(pdf):
         return pdf.groupby(["set_num", "run_num"], as_index=False).agg(last_tick=("last_tick", "max"), rows=("rows", "sum"), top=("top", "max"))
 
-    return wide(rounded(per_run(ens(spark, sf).select("set_num", "run_num", "time_step", "ID", "x"), part, schema, whole, ticks_per_piece=12), "top"))
+    return wide(per_run(ens(spark, sf).select("set_num", "run_num", "time_step", "ID", "x"), part, schema, whole, ticks_per_piece=12))
 
 
 STREAM_SCHEMA = "_ITERATION_NO smallint, ID bigint, x float, y float, part bigint, price double"
@@ -672,4 +676,4 @@ def incremental_band(spark, sf):
     tree, out, state = run_tree(spark, sf), scratch_path(spark, "band-out"), scratch_path(spark, "band-state")
     rows = stream_tree(spark, f"{tree}/set_*/run_*/data_Agent.parquet", STREAM_SCHEMA, "widen", max_files=40)
     keep_band(rows, "x", out, state).awaitTermination()
-    return wide(rounded(read_band(spark, out), "mean_val"))
+    return wide(read_band(spark, out))
