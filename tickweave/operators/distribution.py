@@ -43,8 +43,12 @@ def histogram(df: DataFrame, v: str, by: Sequence[str] = SNAPSHOT_KEYS, bins: in
         .groupBy(*keys, "_lo", "_hi", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    blank = ends.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("bigint").alias("n"))
-    out = counted.unionByName(blank).groupBy(*keys, "_lo", "_hi", "bin").agg(F.sum("n").alias("n"))
+    # at most ``bins`` counts per group are folded into a map, then every bin is looked up in it
+    cells = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
+    folded = counted.groupBy(*keys, "_lo", "_hi").agg(cells.alias("_cells"))
+    out = folded.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumn(
+        "n", F.coalesce(F.try_element_at("_cells", F.col("bin")), F.lit(0).cast("bigint"))
+    )
     return out.select(
         *by,
         "bin",

@@ -9,15 +9,17 @@ The result equals linear interpolation between order statistics (numpy's default
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickweave.operators.joining import attach
 
-# Buckets per factor of two. A single-precision column then has at most 65,536 distinct values per
-# bucket and about 71,000 buckets.
-_PER_OCTAVE = 128
-_OFFSET = 200_000  # above 128 * 1075, so that positive buckets are positive numbers
+# Buckets per factor of two. Single-precision values then fall into at most 8,900 buckets of at most
+# 524,288 distinct values each, which bounds every window below.
+_PER_OCTAVE = 16
+_OFFSET = 20_000  # above 16 * 1075, so that buckets of positive values are positive numbers
 
 
 def magnitude_bucket(v: Column) -> Column:
@@ -54,29 +56,31 @@ def exact_quantiles(
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v) if drop_nan else v.isNotNull())
     rows = rows.select(*by, *([] if by else [F.lit(0).alias("_all")]), v.alias("_v"))
-    rows = rows.withColumn("_b", magnitude_bucket(F.col("_v")))
-
-    per_bucket = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*keys)
-    placed = (
-        per_bucket.withColumn("_end", F.sum("_n").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-    total = F.col("_total")
-    wanted = F.lit(False)
-    for p in sorted(set(probs.values())):
-        for up in (False, True):
-            r = _rank(total, p, up)
-            wanted = wanted | ((r >= F.col("_start")) & (r < F.col("_end")))
-    targets = placed.where(wanted).select(*keys, "_b", "_start", "_total")
+    rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_v")))
+    steps = ["_bucket"]
+    if not isinstance(df.schema[value].dataType, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
+        rows = rows.withColumn("_single", F.col("_v").cast("float"))
+        steps.append("_single")  # a bucket may hold too many distinct doubles; narrow once more
 
+    total = F.col("_total")
+    ranks = [_rank(total, p, up) for p in sorted(set(probs.values())) for up in (False, True)]
     groups = at_most_groups if by else 1
-    inside = attach(
-        rows, targets, [*keys, "_b"], at_most=None if groups is None else 2 * groups * len(probs), name="quantile-buckets"
-    )
-    per_value = inside.groupBy(*keys, "_b", "_start", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    up_to = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    bound = None if groups is None else 2 * groups * len(probs)
+    inside, known = rows, []
+    for i, step in enumerate(steps):
+        counted = inside.groupBy(*keys, *steps[: i + 1], *known).agg(F.count(F.lit(1)).alias("_n"))
+        within = Window.partitionBy(*keys, *steps[:i])
+        upto = F.sum("_n").over(within.orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
+        if i == 0:
+            counted = counted.withColumn("_total", F.sum("_n").over(within)).withColumn("_start", F.lit(0).cast("bigint"))
+        placed = counted.withColumn("_end", F.col("_start") + upto).withColumn("_start", F.col("_end") - F.col("_n"))
+        wanted = reduce(or_, [(r >= F.col("_start")) & (r < F.col("_end")) for r in ranks])
+        known = ["_start", "_total"]
+        targets = placed.where(wanted).select(*keys, *steps[: i + 1], *known)
+        inside = attach(rows, targets, [*keys, *steps[: i + 1]], at_most=bound, name="quantile-buckets")
+
+    per_value = inside.groupBy(*keys, *steps, *known, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    up_to = Window.partitionBy(*keys, *steps).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = per_value.withColumn("_to", F.col("_start") + F.sum("_n").over(up_to)).withColumn(
         "_from", F.col("_to") - F.col("_n")
     )

@@ -18,7 +18,7 @@ def threshold(df: DataFrame, v: str, p: float = 100.0, exact: bool = True) -> fl
     """
     if not 0 <= p <= 100:
         raise ValueError("percentile must lie in 0..100")
-    values = df.select(single(F.col(v)).alias("v"))
+    values = df.select(F.col(v).cast("float").alias("v"))
     if p == 100:
         top = values.where(~F.isnan("v")).agg(F.max("v"))
     elif exact:
