@@ -47,7 +47,8 @@ def set_folders(spark: SparkSession, root: str, sets: Range | str | None = None)
 def list_files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
     """(path, modificationTime, length) of all files below ``paths`` whose name matches ``glob``.
 
-    The ``binaryFile`` source lists in parallel and, as no content is selected, opens nothing.
+    The ``binaryFile`` source lists in parallel and, as no content is selected, opens nothing. Like all
+    Spark file sources it passes over files of zero bytes.
     """
     roots = [paths] if isinstance(paths, str) else list(paths)
     roots = [p for p in roots if any(ch in p for ch in "*?{[") or exists(spark, p)]
