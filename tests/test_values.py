@@ -193,3 +193,14 @@ def test_salted_join_is_the_join(spark):
     for how in ("inner", "left"):
         want = sorted(map(str, big.join(small, "k", how).collect()))
         assert sorted(map(str, joining.salted_join(big, small, ["k"], how).collect())) == want
+
+
+def test_counting_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
+    from tickweave.operators import distribution
+
+    df = spark.range(6_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.exp(F.sin("id") * 4)).alias("v"))
+    near = (distribution.histogram(df, "v", ["g"], 20), distribution.box_stats(df, "v", ["g"]))
+    near = [sorted(map(tuple, d.collect())) for d in near]
+    monkeypatch.setattr(joining, "BROADCAST_ROWS", 0)
+    far = (distribution.histogram(df, "v", ["g"], 20), distribution.box_stats(df, "v", ["g"]))
+    assert [sorted(map(tuple, d.collect())) for d in far] == near

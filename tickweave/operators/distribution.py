@@ -38,10 +38,10 @@ def histogram(df: DataFrame, v: str, by: Sequence[str] = SNAPSHOT_KEYS, bins: in
     lo, hi = F.col("_lo"), F.col("_hi")
     group_bound = at_most_groups if by else 1
     counted = (
-        attach(rows, ends, keys, at_most=group_bound, name="histogram-ends")
+        attach(rows, ends, keys, at_most=group_bound, name="histogram-ends", weight="_w")
         .withColumn("bin", bin_index(F.col("_v"), lo, hi, bins))
         .groupBy(*keys, "_lo", "_hi", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_w").alias("n"))
     )
     # at most ``bins`` counts per group are folded into a map, then every bin is looked up in it
     cells = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
@@ -58,13 +58,15 @@ def histogram(df: DataFrame, v: str, by: Sequence[str] = SNAPSHOT_KEYS, bins: in
     )
 
 
-def _with_fences(df: DataFrame, v: str, by: Sequence[str], reach: float, at_most_groups: int | None) -> DataFrame:
+def _with_fences(
+    df: DataFrame, v: str, by: Sequence[str], reach: float, at_most_groups: int | None, weight: str | None = None
+) -> DataFrame:
     c = F.col(v).cast("double")
     q = exact_quantiles(df, v, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, at_most_groups)
     pad = (F.col("q3") - F.col("q1")) * F.lit(reach)
     q = q.withColumn("_low", F.col("q1") - pad).withColumn("_high", F.col("q3") + pad)
-    rows = df.where(c.isNotNull() & ~F.isnan(c)).withColumn("_v", c)
-    return attach(rows, q, by, at_most=at_most_groups, name="box-fences")
+    rows = df.where(c.isNotNull() & ~F.isnan(c)).select(*by, c.alias("_v"))
+    return attach(rows, q, by, at_most=at_most_groups, name="box-fences", weight=weight)
 
 
 def box_stats(
@@ -78,12 +80,12 @@ def box_stats(
     x = F.col("_v")
     within = (x >= F.col("_low")) & (x <= F.col("_high"))
     out = (
-        _with_fences(df, v, by, reach, at_most_groups)
+        _with_fences(df, v, by, reach, at_most_groups, "_w")
         .groupBy(*by, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(within, x)).alias("_lo"),
             F.max(F.when(within, x)).alias("_hi"),
-            F.count_if(~within).alias("n_outliers"),
+            F.sum(F.when(~within, F.col("_w")).otherwise(0)).alias("n_outliers"),
         )
     )
     return out.select(

@@ -29,15 +29,22 @@ def attach(
     how: str = "inner",
     at_most: int | None = None,
     name: str = "bounds",
+    weight: str | None = None,
 ) -> DataFrame:
     """Join ``small`` (one row per key) to ``big``: broadcast if it is provably small, salted otherwise.
 
     ``at_most`` is a bound the caller can prove, for example number of sets times number of ticks asked
     for. Without one, ``small`` is written to the shared folder once and counted there.
+
+    Equal rows cannot be told apart by a salt. A caller that only counts names a ``weight`` column: it
+    tells how many equal rows of ``big`` a row stands for, 1 under a broadcast; before a salted join equal
+    rows are folded into one on the map side.
     """
     if at_most is None:
         small = settle(small, name)
         at_most = small.count()
     if at_most <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), list(on), how)
-    return salted_join(big, small, on, how)
+        left = big if weight is None else big.withColumn(weight, F.lit(1))
+        return left.join(F.broadcast(small), list(on), how)
+    left = big if weight is None else big.groupBy(*big.columns).agg(F.count(F.lit(1)).alias(weight))
+    return salted_join(left, small, on, how)

@@ -9,8 +9,6 @@ The result equals linear interpolation between order statistics (numpy's default
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -35,9 +33,9 @@ def magnitude_bucket(v: Column) -> Column:
     )
 
 
-def _rank(total: Column, p: float, up: bool) -> Column:
-    pos = (total - 1) * F.lit(float(p))
-    return F.ceil(pos) if up else F.floor(pos)
+def _rank(p: float, up: bool, total: str = "_total") -> str:
+    """0-based rank next below or above quantile ``p``, as an SQL expression."""
+    return f"{'ceil' if up else 'floor'}(({total} - 1) * {float(p)!r}D)"
 
 
 def exact_quantiles(
@@ -62,43 +60,39 @@ def exact_quantiles(
         rows = rows.withColumn("_single", F.col("_v").cast("float"))
         steps.append("_single")  # a bucket may hold too many distinct doubles; narrow once more
 
-    total = F.col("_total")
-    ranks = [_rank(total, p, up) for p in sorted(set(probs.values())) for up in (False, True)]
+    ranks = {_rank(p, up) for p in probs.values() for up in (False, True)}
+    wanted = " OR ".join(f"({r} >= _start AND {r} < _end)" for r in sorted(ranks))
     groups = at_most_groups if by else 1
     bound = None if groups is None else 2 * groups * len(probs)
-    inside, known = rows, []
+    inside, known = rows.withColumn("_w", F.lit(1)), []
     for i, step in enumerate(steps):
-        counted = inside.groupBy(*keys, *steps[: i + 1], *known).agg(F.count(F.lit(1)).alias("_n"))
+        counted = inside.groupBy(*keys, *steps[: i + 1], *known).agg(F.sum("_w").alias("_n"))
         within = Window.partitionBy(*keys, *steps[:i])
         upto = F.sum("_n").over(within.orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
         if i == 0:
             counted = counted.withColumn("_total", F.sum("_n").over(within)).withColumn("_start", F.lit(0).cast("bigint"))
         placed = counted.withColumn("_end", F.col("_start") + upto).withColumn("_start", F.col("_end") - F.col("_n"))
-        wanted = reduce(or_, [(r >= F.col("_start")) & (r < F.col("_end")) for r in ranks])
         known = ["_start", "_total"]
         targets = placed.where(wanted).select(*keys, *steps[: i + 1], *known)
-        inside = attach(rows, targets, [*keys, *steps[: i + 1]], at_most=bound, name="quantile-buckets")
+        inside = attach(rows, targets, [*keys, *steps[: i + 1]], at_most=bound, name="quantile-buckets", weight="_w")
 
-    per_value = inside.groupBy(*keys, *steps, *known, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    per_value = inside.groupBy(*keys, *steps, *known, "_v").agg(F.sum("_w").alias("_n"))
     up_to = Window.partitionBy(*keys, *steps).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = per_value.withColumn("_to", F.col("_start") + F.sum("_n").over(up_to)).withColumn(
         "_from", F.col("_to") - F.col("_n")
     )
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
-
     picks = [F.max("_total").alias("n")]
     for i, p in enumerate(probs.values()):
-        picks += [at(_rank(total, p, False)).alias(f"_lo{i}"), at(_rank(total, p, True)).alias(f"_hi{i}")]
+        for name, r in ((f"_lo{i}", _rank(p, False)), (f"_hi{i}", _rank(p, True))):
+            picks.append(F.expr(f"max(CASE WHEN {r} >= _from AND {r} < _to THEN _v END)").alias(name))
     out = ranked.groupBy(*keys).agg(*picks)
     cols = []
     for i, (name, p) in enumerate(probs.items()):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        part = pos - F.floor(pos)  # measured from the nearer end, as numpy does
-        between = F.when(part < 0.5, lo + (hi - lo) * part).otherwise(hi - (hi - lo) * (1 - part))
-        cols.append(F.when(lo == hi, lo).otherwise(between).alias(name))
+        part = f"((n - 1) * {float(p)!r}D - {_rank(p, False, 'n')})"  # distance between the two ranks, 0..1
+        lo, hi = f"_lo{i}", f"_hi{i}"  # interpolated from the nearer end, as numpy does
+        value_at = f"CASE WHEN {lo} = {hi} THEN {lo} WHEN {part} < 0.5D THEN {lo} + ({hi} - {lo}) * {part} ELSE {hi} - ({hi} - {lo}) * (1 - {part}) END"
+        cols.append(F.expr(value_at).alias(name))
     return out.select(*by, "n", *cols)
 
 
