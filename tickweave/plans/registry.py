@@ -602,7 +602,8 @@ def sqlite_conversion(spark, sf):
 
 @query(with_ens('SELECT CAST(time_step AS BIGINT) AS itno, 1.5 AS const_radius, CAST("ID" AS BIGINT) AS id, CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, CAST(part AS BIGINT) AS part, CAST(y AS DOUBLE) AS y FROM ens').replace("1.5 AS", "CAST(1.5 AS DOUBLE) AS"))
 def xml_snapshots(spark, sf):
-    rows = read_xml_snapshots(spark, snapshots_xml(spark, sf) + "/*", "Agent")
+    agent = "name string, id bigint, set_num int, run_num int, part bigint, y float"
+    rows = read_xml_snapshots(spark, snapshots_xml(spark, sf) + "/*", "Agent", agent, "set_no int, const_radius double")
     return wide(rows.select("itno", F.col("env.const_radius").alias("const_radius"), "id", "set_num", "run_num", "part", "y"))
 
 

@@ -14,9 +14,15 @@ BROADCAST_ROWS = 200_000
 _fallback_dirs: dict[str, str] = {}
 
 
+# For trees of very many small files: pack thousands of them into one task. Worth setting on a cluster too.
+SMALL_FILES = {"spark.sql.files.openCostInBytes": str(64 * 1024)}
+# On a local disk, listing from the driver is far quicker than a listing job; on an object store it is not.
+LOCAL_DISK = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "1000000"}
+
+
 def local_session(cores: int | str = "*", memory: str = "12g", app: str = "tickweave") -> SparkSession:
     """A session for tests and the bench. On a cluster, pass in the session the cluster gives."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
@@ -26,8 +32,10 @@ def local_session(cores: int | str = "*", memory: str = "12g", app: str = "tickw
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in {**SMALL_FILES, **LOCAL_DISK}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession) -> str:

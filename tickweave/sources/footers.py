@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tickweave.functions.names import in_bounds, parse_range, table_of_file
-from tickweave.sources.listing import list_files, open_input, part_of_path, run_of_path, set_folders, set_of_path
+from tickweave.sources.listing import RUN_FILE, list_files, open_input, part_of_path, run_of_path, set_of_path, tree_roots
 
 FOOTER_SCHEMA = "path string, n_rows bigint, position int, variable string, type string"
 FILES_PER_TASK = 500
@@ -39,9 +39,9 @@ def footers(files: DataFrame, n_files: int | None = None) -> DataFrame:
 def table_files(spark, root: str, sets=None, runs=None) -> DataFrame:
     """Run tables ``data_<agent>.parquet`` of a tree with their coordinates; helper tables are left out."""
     name = part_of_path(F.col("path"), 1)
-    files = list_files(spark, set_folders(spark, root, sets), "data_*.parquet")
+    files = list_files(spark, tree_roots(spark, root, sets), "data_*.parquet", check=False)
     return (
-        files.where(~name.contains("_iters_"))
+        files.where(F.col("path").rlike(RUN_FILE) & ~name.contains("_iters_"))
         .select(
             "path", "modificationTime", "length",
             set_of_path(F.col("path")).alias("set_num"),

@@ -36,7 +36,7 @@ def set_folders(spark: SparkSession, root: str, sets: Range | str | None = None)
     bounds = parse_range(sets)
     found = []
     for name in children(spark, root, folders=True):
-        if not re.match(r"(?i)set_", name):
+        if not name.startswith("set_"):
             continue
         n = number_of(name)
         if bounds is None or bounds[0] <= n <= bounds[1]:
@@ -44,14 +44,15 @@ def set_folders(spark: SparkSession, root: str, sets: Range | str | None = None)
     return [p for _, p in sorted(found)]
 
 
-def list_files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
+def list_files(spark: SparkSession, paths: str | list[str], glob: str, check: bool = True) -> DataFrame:
     """(path, modificationTime, length) of all files below ``paths`` whose name matches ``glob``.
 
     The ``binaryFile`` source lists in parallel and, as no content is selected, opens nothing. Like all
-    Spark file sources it passes over files of zero bytes.
+    Spark file sources it passes over files of zero bytes. ``check=False`` promises that the paths exist.
     """
     roots = [paths] if isinstance(paths, str) else list(paths)
-    roots = [p for p in roots if any(ch in p for ch in "*?{[") or exists(spark, p)]
+    if check:
+        roots = [p for p in roots if any(ch in p for ch in "*?{[") or exists(spark, p)]
     if not roots:
         return spark.createDataFrame([], FILE_SCHEMA)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -60,15 +61,31 @@ def list_files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFr
 
 def part_of_path(path: Column, back: int) -> Column:
     """Path component counted from the end: 1 is the file name, 2 its folder."""
-    return F.element_at(F.split(path, "/"), -back)
+    return F.substring_index(F.substring_index(path, "/", -back), "/", 1)
+
+
+def folder_number(name: Column) -> Column:
+    """Number in a folder name; the usual ``set_<n>`` and ``run_<n>`` are read without a regular expression,
+    which counts because this runs for every row of a scan."""
+    return F.coalesce(F.substring(name, 5, 12).try_cast("int"), first_number(name))
 
 
 def set_of_path(path: Column, back: int = 3) -> Column:
-    return first_number(part_of_path(path, back))
+    return folder_number(part_of_path(path, back))
 
 
 def run_of_path(path: Column, back: int = 2) -> Column:
-    return first_number(part_of_path(path, back))
+    return folder_number(part_of_path(path, back))
+
+
+# Fixed value: the place of a run file in a tree.
+RUN_FILE = r"/set_[^/]*/run_[^/]*/[^/]*$"
+
+
+def tree_roots(spark: SparkSession, root: str, sets: Range | str | None) -> list[str]:
+    """Where to list a tree from: the root itself if all sets are wanted, else the set folders in range."""
+    folders = set_folders(spark, root, sets)
+    return [root] if folders and parse_range(sets) is None else folders
 
 
 def local_path(uri: str) -> str | None:

@@ -11,7 +11,7 @@ from tickweave.functions.names import TICK_NAMES, in_bounds, parse_range, token_
 from tickweave.operators.shaping import canonicalize, downcast, resolve_roles, union_runs
 from tickweave.sources.footers import footers
 from tickweave.session import settle
-from tickweave.sources.listing import children, list_files, part_of_path, run_of_path, set_folders, set_of_path
+from tickweave.sources.listing import RUN_FILE, children, list_files, part_of_path, run_of_path, set_folders, set_of_path, tree_roots
 
 EMPTY = "set_num smallint, run_num smallint, time_step smallint, ID bigint"
 
@@ -22,9 +22,8 @@ def _path() -> Column:
 
 def tree_files(spark: SparkSession, root: str, glob: str, sets=None, runs=None) -> DataFrame:
     """Files of a tree with ``set_num`` and ``run_num``. Only set folders in range are listed."""
-    files = list_files(spark, set_folders(spark, root, sets), glob).select(
-        "*", set_of_path(F.col("path")).alias("set_num"), run_of_path(F.col("path")).alias("run_num")
-    )
+    files = list_files(spark, tree_roots(spark, root, sets), glob, check=False).where(F.col("path").rlike(RUN_FILE))
+    files = files.select("*", set_of_path(F.col("path")).alias("set_num"), run_of_path(F.col("path")).alias("run_num"))
     return files.where(in_bounds("run_num", parse_range(runs)))
 
 
@@ -137,7 +136,11 @@ def _stem() -> Column:
 
 def _glob_scan(spark: SparkSession, root: str, glob: str, sets, runs, schema: str | None, token: str | None) -> DataFrame:
     """One scan over globs. Filters on the file path drop files while the scan is planned."""
-    rows = _scan(spark, [f"{d}/run_*/{glob}" for d in set_folders(spark, root, sets)], schema)
+    if parse_range(sets) is None:
+        globs = [f"{root.rstrip('/')}/set_*/run_*/{glob}"]
+    else:
+        globs = [f"{d}/run_*/{glob}" for d in set_folders(spark, root, sets)]
+    rows = _scan(spark, globs, schema)
     if parse_range(runs) is not None:
         rows = rows.where(in_bounds(run_of_path(F.col("_file")), parse_range(runs)))
     return rows if token is None else rows.where(_stem().rlike(token_regex(token)))

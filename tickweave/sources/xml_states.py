@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tickweave.operators.joining import attach
 
 
-def read_xml_snapshots(spark: SparkSession, path: str, agent: str | None = None, agent_schema: T.StructType | None = None) -> DataFrame:
+def read_xml_snapshots(
+    spark: SparkSession, path: str, agent: str | None = None, agent_schema: str | T.StructType | None = None,
+    env_schema: str | T.StructType | None = None,
+) -> DataFrame:
     """One row per agent: ``itno``, the environment constants as a struct ``env``, then the agent's fields.
 
     Agents are read one by one (row tag ``xagent``), never as one array per file, and meet the iteration
-    number and environment of their file by file path. ``agent`` keeps one agent name.
+    number and environment of their file by file path. ``agent`` keeps one agent name. Schemas that are not
+    given are inferred, at the price of one more pass each.
     """
-    def rows(tag: str, schema: T.StructType | None = None) -> DataFrame:
+    def rows(tag: str, schema: str | T.StructType | None = None) -> DataFrame:
         reader = spark.read.format("xml").option("rowTag", tag)
         if schema is not None:
             reader = reader.schema(schema)
@@ -24,7 +28,7 @@ def read_xml_snapshots(spark: SparkSession, path: str, agent: str | None = None,
     agents = agents.select(where, *[F.col(f"`{c}`") for c in agents.columns])
     if agent is not None:
         agents = agents.where(F.col("name") == agent)
-    env = rows("environment")
+    env = rows("environment", env_schema)
     env = env.select(where, F.struct(*[F.col(f"`{c}`") for c in env.columns]).alias("env"))
     tick = rows("itno", T.StructType([T.StructField("_VALUE", T.LongType())]))
     tick = tick.select(where, F.col("_VALUE").alias("itno"))
