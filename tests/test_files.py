@@ -330,3 +330,53 @@ def test_only_new_files_are_ingested(spark, tmp_path):
     assert spark.read.parquet(out).count() == 6
     got = {(r.set_num, r.iteration): (r.mean_val, r.min_val, r.max_val, r.n) for r in incremental.read_band(spark, str(tmp_path / "b")).collect()}
     assert got == {(1, 1): (2.0, 1.0, 3.0, 2), (1, 2): (2.0, 1.0, 3.0, 2), (2, 1): (5.0, 5.0, 5.0, 1), (2, 2): (5.0, 5.0, 5.0, 1)}
+
+
+def test_long_runs_can_be_split_over_files(spark, tmp_path):
+    ens = circle(spark, 1, 1, 2, 100)
+    made = run_files.write_run_files(ens, str(tmp_path), "data_Agent.parquet", ["time_step", "ID"], ticks_per_file=30)
+    assert sorted(r.n_rows for r in made.collect()) == [22, 58, 60, 60]
+    assert sorted(os.listdir(tmp_path / "set_1" / "run_1"))[-1] == "3_data_Agent.parquet"
+    back = tree.read_tree(spark, str(tmp_path), "Agent")
+    assert back.count() == 200 and back.agg(F.count_distinct("time_step")).first()[0] == 100
+
+
+def test_view_filters_reach_the_scan(spark, tmp_path):
+    from tickweave.operators import series
+
+    tables.write_checkpoint(tree_like(spark), str(tmp_path), "Agent")
+    view = series.snapshot(tree.resolve_agent(spark, str(tmp_path), "Agent"), "x", [1, 3], {"start": 5, "stop": 9, "step": 1})
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "set_num" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(time_step,5)" in plan and "LessThanOrEqual(time_step,9)" in plan
+    assert plan.split("ReadSchema: ")[1].startswith("struct<time_step:smallint,x:float>")
+
+
+def tree_like(spark):
+    from tickweave.operators.shaping import downcast
+
+    return downcast(circle(spark, 3, 1, 2, 20))
+
+
+def test_command_line(spark, tmp_path, databases):
+    import json
+
+    from tickweave.__main__ import main
+
+    out = tmp_path / "cli"
+    main(["convert", "-i", databases, "-o", str(out / "tree")])
+    main(["etl", "-i", str(out / "tree"), "-o", str(out / "chk"), "--agent-types", "Bank", "--sets", "1-2", "--runs", "1-1", "--mode", "widen"])
+    assert spark.read.parquet(str(out / "chk" / "checkpoint_Bank.parquet")).count() == 4
+    spec = {"comparison_sets": ["set_1", "set_2"], "time_variable": "time_step",
+            "plots": [{"plot_style": "time_series", "agent_type": "Bank", "variable_name": "cash", "output_filename": "cash.png"}]}
+    (out / "views.json").write_text(json.dumps(spec))
+    main(["views", "-i", str(out / "chk"), "-o", str(out / "views"), "-c", str(out / "views.json")])
+    assert spark.read.parquet(str(out / "views" / "cash.png.parquet")).count() == 4
+    main(["inspect", "-i", str(out / "tree"), "-o", str(out / "report")])
+    assert spark.read.option("header", "true").csv(str(out / "report" / "totals")).first()["cells"] == "3"
+    main(["to-feather", "-i", str(out / "chk" / "checkpoint_Bank.parquet"), "-o", str(out / "f")])
+    main(["from-feather", "-i", str(out / "f"), "-o", str(out / "back"), "--compression", "gzip"])
+    assert spark.read.parquet(str(out / "back")).count() == 4
+    (out / "p.csv").write_text("set_num,alpha\n1,0.5\n2,0.7\n3,0.9\n")
+    main(["sensitivity", "-i", str(out / "tree"), "-o", str(out / "gsa"), "--parameters", str(out / "p.csv"), "--table", "Bank", "--metric", "cash"])
+    assert spark.read.parquet(str(out / "gsa" / "cash" / "density_cash.parquet")).agg(F.sum("n")).first()[0] >= 2

@@ -34,15 +34,18 @@ def mirror_tables(df: DataFrame, out: str, table: str, compression: str = "snapp
 
 
 def write_run_files(
-    df: DataFrame, out: str, file_name: str, order: list[str], compression: str = "snappy", force: bool = False
+    df: DataFrame, out: str, file_name: str, order: list[str], compression: str = "snappy", force: bool = False,
+    ticks_per_file: int | None = None,
 ) -> DataFrame:
     """One Parquet file per (set, run), rows in ``order``; returns one row per file with its status.
 
     The layout demands one file per run, so a run is written by one task; rows pass through it in Arrow
-    batches and are never held together. A run whose folder already holds Parquet is SKIPPED unless
-    ``force``.
+    batches and are never held together. With ``ticks_per_file`` (``order[0]`` is the tick) a run becomes
+    several files ``<piece>_<file_name>``, written by different tasks; ``read_tree`` takes them together.
+    A file that is already there is SKIPPED unless ``force``.
     """
     columns = [c for c in df.columns if c not in ("set_num", "run_num")]
+    piece = F.lit(0) if ticks_per_file is None else F.floor(F.col(order[0]) / F.lit(ticks_per_file))
     schema = to_arrow_schema(df.select(*columns).schema)
     squeeze = codec(compression)
     squeeze = "none" if squeeze == "uncompressed" else squeeze
@@ -66,21 +69,23 @@ def write_run_files(
             if writer is not None:
                 writer.close()
                 system.move(draft, final)
-            done.append((final, *here, count, "CONVERTED" if writer is not None else "SKIPPED"))
+            done.append((final, *here[:2], count, "CONVERTED" if writer is not None else "SKIPPED"))
 
         for batch in batches:
-            s, r = batch.column("set_num"), batch.column("run_num")
+            s, r, k = (batch.column(c) for c in ("set_num", "run_num", "_piece"))
             start = 0
             while start < batch.num_rows:
-                cell = (s[start].as_py(), r[start].as_py())
+                cell = (s[start].as_py(), r[start].as_py(), k[start].as_py())
                 same = pc.and_(pc.equal(s.slice(start), cell[0]), pc.equal(r.slice(start), cell[1]))
+                same = pc.and_(same, pc.equal(k.slice(start), cell[2]))
                 stop = pc.index(same, False).as_py()
                 stop = batch.num_rows if stop < 0 else start + stop
                 if cell != here:
                     finish()
                     here, count = cell, 0
                     folder = f"{root}/set_{cell[0]}/run_{cell[1]}"
-                    final, draft = f"{folder}/{file_name}", f"{folder}/.{file_name}.{attempt}"
+                    name = file_name if ticks_per_file is None else f"{cell[2]}_{file_name}"
+                    final, draft = f"{folder}/{name}", f"{folder}/.{name}.{attempt}"
                     taken = not force and system.get_file_info(final).is_file
                     system.create_dir(folder, recursive=True)
                     writer = None if taken else pq.ParquetWriter(draft, schema, filesystem=system, compression=squeeze)
@@ -93,7 +98,8 @@ def write_run_files(
         if done:
             yield pa.RecordBatch.from_pydict({n: list(v) for n, v in zip(MANIFEST_ARROW.names, zip(*done))}, schema=MANIFEST_ARROW)
 
-    keys = ["set_num", "run_num"]
-    grouped = df.select(*[F.col(k).cast("int").alias(k) for k in keys], *columns).repartition(*keys)
+    keys = ["set_num", "run_num", "_piece"]
+    numbers = [F.col("set_num").cast("int").alias("set_num"), F.col("run_num").cast("int").alias("run_num")]
+    grouped = df.select(*numbers, piece.cast("bigint").alias("_piece"), *columns).repartition(*keys)
     return settle(grouped.sortWithinPartitions(*keys, *order).mapInArrow(save, MANIFEST_SCHEMA), "written-files")
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickweave.functions.names import TICK_NAMES, in_bounds, parse_range, token_regex
-from tickweave.operators.shaping import canonicalize, downcast, resolve_roles, union_runs
+from tickweave.operators.shaping import canonicalize, coordinate_columns, downcast, resolve_roles, union_runs
 from tickweave.sources.footers import footers
 from tickweave.session import settle
 from tickweave.sources.listing import RUN_FILE, children, list_files, part_of_path, run_of_path, set_folders, set_of_path, tree_roots
@@ -230,7 +230,9 @@ def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
         raise ValueError(f"{len(hits)} checkpoints match agent {agent!r} in {folder}: {[h[0] for h in hits]}")
     name, ext = hits[0]
     path = f"{folder.rstrip('/')}/{name}"
-    return spark.read.parquet(path) if ext == "parquet" else read_feather(spark, path)
+    df = spark.read.parquet(path) if ext == "parquet" else read_feather(spark, path)
+    first = coordinate_columns(df)
+    return df.select(*first, *[F.col(f"`{c}`") for c in df.columns if c not in first])
 
 
 def read_snapshots(spark: SparkSession, folder: str, agent: str, schema: T.StructType | None = None) -> DataFrame:
