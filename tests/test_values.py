@@ -12,17 +12,28 @@ from tickweave.operators import joining, numbering, params, quantiles, selecting
 INF, NAN = float("inf"), float("nan")
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@pytest.fixture(autouse=True)
+def usual_limits(monkeypatch):
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", quantiles.SMALL_GROUP)
+
+
+@pytest.fixture(params=["small groups", "large groups"])
+def both_ways(request, monkeypatch):
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0 if request.param == "large groups" else 100_000)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(width=32, allow_nan=False, allow_infinity=False), min_size=1, max_size=60), st.floats(0, 1))
 def test_quantile_equals_numpy(spark, values, p):
-    for kind in ("float", "double"):
+    for kind, small in (("float", 0), ("double", 0), ("double", 100_000)):
+        quantiles.SMALL_GROUP = small
         df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
         got = quantiles.exact_quantiles(df, "v", {"q": p, "top": 1.0}).first()
         assert got.q == pytest.approx(float(np.percentile(np.array(values, dtype=np.float64), p * 100)), rel=1e-9, abs=1e-30)
         assert (got.n, got.top) == (len(values), max(values))
 
 
-def test_quantile_of_one_hot_value(spark):
+def test_quantile_of_one_hot_value(spark, both_ways):
     hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(0).cast("double").alias("v"), (F.col("id") % 2).alias("g"))
     got = {r.g: r for r in quantiles.exact_quantiles(hot, "v", {"a": 0.1, "m": 0.5, "z": 0.9}, ["g"]).collect()}
     raw = hot.toPandas()
@@ -34,12 +45,13 @@ def test_quantile_of_one_hot_value(spark):
 def test_quantile_salted_path_equals_broadcast_path(spark, monkeypatch):
     df = spark.range(5_000).select((F.col("id") % 7).alias("g"), F.sin(F.col("id")).alias("v"))
     probs = {"q1": 0.25, "q3": 0.75}
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
     want = {r.g: tuple(r) for r in quantiles.exact_quantiles(df, "v", probs, ["g"]).collect()}
     monkeypatch.setattr(joining, "BROADCAST_ROWS", 0)
     assert {r.g: tuple(r) for r in quantiles.exact_quantiles(df, "v", probs, ["g"]).collect()} == want
 
 
-def test_infinities_and_nan(spark):
+def test_infinities_and_nan(spark, both_ways):
     df = spark.createDataFrame([(v,) for v in (1.0, -INF, INF, NAN, None, 2.0)], "v double")
     got = quantiles.exact_quantiles(df, "v", {"lo": 0.0, "hi": 1.0}).first()
     assert (got.n, got.lo, got.hi) == (4, -INF, INF)
@@ -199,6 +211,7 @@ def test_counting_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
     from tickweave.operators import distribution
 
     df = spark.range(6_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.exp(F.sin("id") * 4)).alias("v"))
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
     near = (distribution.histogram(df, "v", ["g"], 20), distribution.box_stats(df, "v", ["g"]))
     near = [sorted(map(tuple, d.collect())) for d in near]
     monkeypatch.setattr(joining, "BROADCAST_ROWS", 0)

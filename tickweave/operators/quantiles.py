@@ -1,9 +1,11 @@
 """Exact quantiles whose memory per task does not grow with the group.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. Here the first pass counts
-rows per (group, bucket of magnitude), where buckets are fixed and ordered; cumulative counts tell
-which one or two buckets hold a wanted rank. The second pass looks at the rows of those buckets only.
-The result equals linear interpolation between order statistics (numpy's default).
+Spark's ``percentile`` keeps every distinct value of a group in one task, which is fine for small groups
+only. So the largest group is counted first. If it is small, each group's values are sorted as one array.
+If not, the first pass counts rows per (group, bucket of magnitude), where buckets are fixed and ordered;
+cumulative counts tell which one or two buckets hold a wanted rank, and the next pass looks at the rows of
+those buckets only (double columns take one more pass, narrowing to one single-precision value).
+The result equals linear interpolation between order statistics (numpy's default) either way.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickweave.operators.joining import attach
 
+SMALL_GROUP = 100_000  # rows of a group whose values may be held as one array
+
 # Buckets per factor of two. Single-precision values then fall into at most 8,900 buckets of at most
 # 524,288 distinct values each, which bounds every window below.
 _PER_OCTAVE = 16
@@ -54,15 +58,44 @@ def exact_quantiles(
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v) if drop_nan else v.isNotNull())
     rows = rows.select(*by, *([] if by else [F.lit(0).alias("_all")]), v.alias("_v"))
+    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= SMALL_GROUP:
+        ranked = _rank_small(rows, keys, probs)
+    else:
+        narrow = isinstance(df.schema[value].dataType, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
+        ranked = _rank_large(rows, keys, probs, narrow, at_most_groups if by else 1)
+    cols = []
+    for i, (name, p) in enumerate(probs.items()):
+        part = f"((n - 1) * {float(p)!r}D - {_rank(p, False, 'n')})"  # distance between the two ranks, 0..1
+        lo, hi = f"_lo{i}", f"_hi{i}"  # interpolated from the nearer end, as numpy does
+        value_at = f"CASE WHEN {lo} = {hi} THEN {lo} WHEN {part} < 0.5D THEN {lo} + ({hi} - {lo}) * {part} ELSE {hi} - ({hi} - {lo}) * (1 - {part}) END"
+        cols.append(F.expr(value_at).alias(name))
+    return ranked.select(*by, "n", *cols)
+
+
+def _rank_small(rows: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
+    """Per group ``n`` and, for each quantile, the values at the two ranks next to it."""
+    sorted_values = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
+    sized = sorted_values.withColumn("n", F.size("_a").cast("bigint"))
+    picks = []
+    for i, p in enumerate(probs.values()):
+        for name, up in ((f"_lo{i}", False), (f"_hi{i}", True)):
+            picks.append(F.expr(f"element_at(_a, cast({_rank(p, up, 'n')} as int) + 1)").alias(name))
+    return sized.select(*keys, "n", *picks)
+
+
+def _rank_large(
+    rows: DataFrame, keys: list[str], probs: Mapping[str, float], narrow: bool, groups: int | None
+) -> DataFrame:
+    """Same as :func:`_rank_small` by narrowing buckets; ``narrow`` values are single precision or small integers."""
     rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_v")))
     steps = ["_bucket"]
-    if not isinstance(df.schema[value].dataType, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
+    if not narrow:
         rows = rows.withColumn("_single", F.col("_v").cast("float"))
         steps.append("_single")  # a bucket may hold too many distinct doubles; narrow once more
 
     ranks = {_rank(p, up) for p in probs.values() for up in (False, True)}
     wanted = " OR ".join(f"({r} >= _start AND {r} < _end)" for r in sorted(ranks))
-    groups = at_most_groups if by else 1
     bound = None if groups is None else 2 * groups * len(probs)
     inside, known = rows.withColumn("_w", F.lit(1)), []
     for i, step in enumerate(steps):
@@ -86,14 +119,7 @@ def exact_quantiles(
     for i, p in enumerate(probs.values()):
         for name, r in ((f"_lo{i}", _rank(p, False)), (f"_hi{i}", _rank(p, True))):
             picks.append(F.expr(f"max(CASE WHEN {r} >= _from AND {r} < _to THEN _v END)").alias(name))
-    out = ranked.groupBy(*keys).agg(*picks)
-    cols = []
-    for i, (name, p) in enumerate(probs.items()):
-        part = f"((n - 1) * {float(p)!r}D - {_rank(p, False, 'n')})"  # distance between the two ranks, 0..1
-        lo, hi = f"_lo{i}", f"_hi{i}"  # interpolated from the nearer end, as numpy does
-        value_at = f"CASE WHEN {lo} = {hi} THEN {lo} WHEN {part} < 0.5D THEN {lo} + ({hi} - {lo}) * {part} ELSE {hi} - ({hi} - {lo}) * (1 - {part}) END"
-        cols.append(F.expr(value_at).alias(name))
-    return out.select(*by, "n", *cols)
+    return ranked.groupBy(*keys).agg(*picks)
 
 
 def approx_quantiles(
