@@ -246,7 +246,10 @@ def test_big_database_is_read_in_pieces(spark, tmp_path, monkeypatch):
         con.executemany("INSERT INTO T VALUES (?, ?)", [(i, i / 2) for i in range(2_500)])
         con.execute("CREATE TABLE W (k INTEGER PRIMARY KEY, v TEXT) WITHOUT ROWID")
         con.execute("INSERT INTO W VALUES (1, 'a'), (2, 'b')")
+        con.execute("CREATE TABLE N (k INTEGER, v REAL)")  # a stretch of nulls does not decide a type
+        con.executemany("INSERT INTO N VALUES (?, ?)", [(i, None if i < 1_500 else i) for i in range(2_000)])
     got = sqlite_db.ingest_sqlite_tree(spark, str(tmp_path))
+    assert dict(got.read("N").dtypes)["v"] == "double" and got.manifest.first()["rows"] == 2_500 + 2 + 2_000
     assert got.read("T").agg(F.count("*"), F.sum("k"), F.sum("v")).first() == (2_500, 3123750, 1561875.0)
     assert sorted(r.v for r in got.read("W").collect()) == ["a", "b"]
 

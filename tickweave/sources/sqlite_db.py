@@ -18,10 +18,8 @@ from tickweave.sources.listing import list_files, local_path, open_input, part_o
 
 ROWS_PER_PIECE = 250_000
 FILES_PER_TASK = 20
-PLAN_SCHEMA = (
-    "path string, set_num int, run_num int, table string, first bigint, last bigint, n_rows bigint, "
-    "columns string, status string, message string"
-)
+PIECE_SCHEMA = "path string, set_num int, run_num int, table string, first bigint, last bigint, status string, message string"
+SURVEY_SCHEMA = PIECE_SCHEMA + ", n_rows bigint, columns string"
 
 
 def database_files(spark: SparkSession, root: str, sets=None, runs=None) -> DataFrame:
@@ -67,60 +65,102 @@ SPARK_CLASSES = {"bigint": LongType(), "double": DoubleType(), "string": StringT
 
 
 def _column_type(classes: set[str]) -> str:
+    """Spark type for the storage classes seen in a column, ``null`` if there were only nulls."""
     classes = classes - {"null"}
     if not classes:
-        return "string"
+        return "null"
     if classes <= {"integer", "real"}:
         return "double" if "real" in classes else "bigint"
     return STORAGE_TYPES[classes.pop()] if len(classes) == 1 else "string"
 
 
-def _describe(con: sqlite3.Connection, table: str) -> tuple[int, int | None, int | None, str]:
-    """Row count, row-number range and ``name<TAB>type`` lines of a table, from one statement."""
-    names = [r[1] for r in con.execute(f"PRAGMA table_info({_quoted(table)})")]
-    seen = ", ".join(f"group_concat(DISTINCT typeof({_quoted(c)}))" for c in names)
+def _row_numbers(con: sqlite3.Connection, table: str) -> tuple[int | None, int | None]:
+    """First and last row number, both from the ends of the table; None for a table without row numbers."""
     try:
-        n, lo, hi, *kinds = con.execute(f"SELECT count(*), min(rowid), max(rowid), {seen} FROM {_quoted(table)}").fetchone()
-    except sqlite3.OperationalError:  # a table without row numbers
-        n, *kinds = con.execute(f"SELECT count(*), {seen} FROM {_quoted(table)}").fetchone()
-        lo = hi = None
-    return n, lo, hi, "\n".join(f"{c}\t{_column_type(set((k or '').split(',')) - {''})}" for c, k in zip(names, kinds))
+        t = _quoted(table)
+        return con.execute(f"SELECT (SELECT min(rowid) FROM {t}), (SELECT max(rowid) FROM {t})").fetchone()
+    except sqlite3.OperationalError:
+        return None, None
 
 
-def _plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+    for c in ("set_num", "run_num", "first", "last"):
+        frame[c] = frame[c].astype("Int64")
+    return frame
+
+
+def _number(v) -> int | None:
+    return None if pd.isna(v) else int(v)
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Tables of each file, cut into stretches of row numbers. Reads catalogues only."""
     for batch in batches:
         out = []
         for path, s, r in zip(batch["path"], batch["set_num"], batch["run_num"]):
-            who = (path, None if pd.isna(s) else int(s), None if pd.isna(r) else int(r))
+            who = (path, _number(s), _number(r))
             try:
                 con = _connect(path)
                 try:
                     q = "SELECT name FROM sqlite_master WHERE type = 'table' AND name NOT LIKE 'sqlite_%' ORDER BY name"
                     tables = [row[0] for row in con.execute(q)]
-                    rows = []
                     for table in tables:
-                        n, lo, hi, columns = _describe(con, table)
-                        cuts = [(lo, hi)] if lo is None else [(a, min(a + ROWS_PER_PIECE - 1, hi)) for a in range(lo, hi + 1, ROWS_PER_PIECE)]
-                        if n:
-                            rows += [(*who, table, a, z, n, columns, "CONVERTED", None) for a, z in cuts]
-                    out += rows or [(*who, None, None, None, 0, None, "CONVERTED" if tables else "EMPTY", None)]
+                        lo, hi = _row_numbers(con, table)
+                        cuts = [(None, None)] if lo is None else [(a, min(a + ROWS_PER_PIECE - 1, hi)) for a in range(lo, hi + 1, ROWS_PER_PIECE)]
+                        out += [(*who, table, a, z, "CONVERTED", None) for a, z in cuts]
+                    if not tables:
+                        out.append((*who, None, None, None, "EMPTY", None))
                 finally:
                     con.close()
             except Exception as e:  # a broken file is a row of the report, not a failed job
-                out.append((*who, None, None, None, 0, None, "ERROR", str(e)))
-        names = [c.split()[0] for c in PLAN_SCHEMA.split(", ")]
-        frame = pd.DataFrame(out, columns=names)
-        for c in ("set_num", "run_num", "first", "last"):
-            frame[c] = frame[c].astype("Int64")
-        yield frame
+                out.append((*who, None, None, None, "ERROR", str(e)))
+        yield _frame(out, PIECE_SCHEMA)
+
+
+def _stretch(item: dict) -> tuple[str, tuple]:
+    return ("", ()) if pd.isna(item["first"]) else (" WHERE rowid BETWEEN ? AND ?", (int(item["first"]), int(item["last"])))
+
+
+def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds to each piece its row count and ``name<TAB>type`` lines, from one statement."""
+    for batch in batches:
+        out = []
+        for item in batch.to_dict("records"):
+            head = (item["path"], _number(item["set_num"]), _number(item["run_num"]), item["table"], _number(item["first"]), _number(item["last"]))
+            if item["table"] is None:
+                out.append((*head, item["status"], item["message"], 0, None))
+                continue
+            try:
+                con = _connect(item["path"])
+                try:
+                    names = [row[1] for row in con.execute(f"PRAGMA table_info({_quoted(item['table'])})")]
+                    seen = ", ".join(f"group_concat(DISTINCT typeof({_quoted(c)}))" for c in names)
+                    where, args = _stretch(item)
+                    n, *kinds = con.execute(f"SELECT count(*), {seen} FROM {_quoted(item['table'])}{where}", args).fetchone()
+                    lines = "\n".join(f"{c}\t{_column_type(set((k or 'null').split(',')))}" for c, k in zip(names, kinds))
+                    out.append((*head, "CONVERTED", None, n, lines))
+                finally:
+                    con.close()
+            except Exception as e:
+                out.append((*head, "ERROR", str(e), 0, None))
+        yield _frame(out, SURVEY_SCHEMA)
+
+
+def _tasks(spark: SparkSession, items: int) -> int:
+    return max(1, -(-items // FILES_PER_TASK), min(items, spark.sparkContext.defaultParallelism))
 
 
 def ingest_sqlite_tree(spark: SparkSession, root: str, sets=None, runs=None) -> "SqliteTree":
-    """Survey all databases below ``root`` once; tables are then read from the result."""
+    """Survey all databases below ``root`` once; tables are then read from the result.
+
+    Files are first cut into stretches of row numbers, which only looks at catalogues; counting and type
+    detection then run per stretch, so one huge database is surveyed by many tasks.
+    """
     files = database_files(spark, root, sets, runs).select("path", "set_num", "run_num")
-    tasks = max(1, -(-files.count() // FILES_PER_TASK), spark.sparkContext.defaultParallelism)
-    plan = files.repartition(tasks, "path").mapInPandas(_plan, PLAN_SCHEMA)
-    return SqliteTree(spark, settle(plan, "sqlite-plan"))
+    pieces = settle(files.repartition(_tasks(spark, files.count()), "path").mapInPandas(_pieces, PIECE_SCHEMA), "sqlite-pieces")
+    spread = pieces.repartition(_tasks(spark, pieces.count()), "path", "table", "first")
+    return SqliteTree(spark, settle(spread.mapInPandas(_survey, SURVEY_SCHEMA), "sqlite-survey"))
 
 
 class SqliteTree:
@@ -131,28 +171,35 @@ class SqliteTree:
 
     @property
     def manifest(self) -> DataFrame:
-        """One row per file: CONVERTED, EMPTY (no tables) or ERROR, with tables, rows and message."""
-        per_table = self._plan.groupBy("path", "set_num", "run_num", "status", "message", "table").agg(F.max("n_rows").alias("n_rows"))
-        return per_table.groupBy("path", "set_num", "run_num", "status", "message").agg(
-            F.count("table").alias("tables"), F.sum("n_rows").alias("rows")
+        """One row per file: CONVERTED, EMPTY (no tables) or ERROR, with non-empty tables, rows and message."""
+        failed = F.max(F.when(F.col("status") == "ERROR", "ERROR"))
+        return self._plan.groupBy("path", "set_num", "run_num").agg(
+            F.coalesce(failed, F.max("status")).alias("status"),
+            F.max("message").alias("message"),
+            F.count_distinct(F.when(F.col("n_rows") > 0, F.col("table"))).alias("tables"),
+            F.sum("n_rows").alias("rows"),
         )
 
     def tables(self) -> list[str]:
-        rows = self._plan.where(F.col("table").isNotNull()).select("table").distinct().orderBy("table")
+        """Names of all tables that hold rows somewhere."""
+        rows = self._plan.where(F.col("n_rows") > 0).select("table").distinct().orderBy("table")
         return [r[0] for r in rows.toLocalIterator()]
 
     def schema(self, table: str) -> StructType:
         """Columns of a table over all files; whole and fractional numbers meet in double, else text."""
-        lines = self._plan.where(F.col("table") == table).select("columns").distinct().orderBy("columns")
-        types: dict[str, set[str]] = {}
-        for row in lines.toLocalIterator():
-            for entry in row["columns"].split("\n"):
-                name, kind = entry.split("\t")
-                types.setdefault(name, set()).add(kind)
+        lines = self._plan.where((F.col("table") == table) & (F.col("n_rows") > 0))
+        entry = lines.select(F.posexplode(F.split("columns", "\n")).alias("pos", "entry"))
+        parts = F.split("entry", "\t")
+        kinds_of = (
+            entry.groupBy(parts[0].alias("name"))
+            .agg(F.min("pos").alias("pos"), F.collect_set(parts[1]).alias("kinds"))
+            .orderBy("pos", "name")
+        )
         out = StructType()
-        for name, kinds in types.items():
-            kind = next(iter(kinds)) if len(kinds) == 1 else ("double" if kinds <= {"bigint", "double"} else "string")
-            out.add(name, SPARK_CLASSES[kind])
+        for row in kinds_of.toLocalIterator():
+            kinds = set(row["kinds"]) - {"null"}
+            kind = "string" if not kinds else next(iter(kinds)) if len(kinds) == 1 else "double" if kinds <= {"bigint", "double"} else "string"
+            out.add(row["name"], SPARK_CLASSES[kind])
         return out
 
     def read(self, table: str) -> DataFrame:
@@ -175,12 +222,10 @@ class SqliteTree:
                 for item in batch.to_pylist():
                     have = {entry.split("\t")[0] for entry in item["columns"].split("\n")}
                     cols = ", ".join(_quoted(c) if c in have else "NULL" for c in arrow.names)
-                    query, args = f"SELECT {cols} FROM {_quoted(table)}", ()
-                    if item["first"] is not None:
-                        query, args = query + " WHERE rowid BETWEEN ? AND ?", (item["first"], item["last"])
+                    where, args = _stretch(item)
                     con = _connect(item["path"])
                     try:
-                        cursor = con.execute(query, args)
+                        cursor = con.execute(f"SELECT {cols} FROM {_quoted(table)}{where}", args)
                         while rows := cursor.fetchmany(20_000):
                             n = len(rows)
                             got = [pa.array([item["set_num"]] * n, pa.int32()), pa.array([item["run_num"]] * n, pa.int32())]
@@ -192,7 +237,6 @@ class SqliteTree:
                     finally:
                         con.close()
 
-        work = self._plan.where(F.col("table") == table).select("path", "set_num", "run_num", "first", "last", "columns")
-        n = work.count()
-        tasks = max(1, -(-n // FILES_PER_TASK), min(n, self._spark.sparkContext.defaultParallelism))
-        return work.repartition(tasks, "path", "first").mapInArrow(load, outer)
+        work = self._plan.where((F.col("table") == table) & (F.col("n_rows") > 0))
+        work = work.select("path", "set_num", "run_num", "first", "last", "columns")
+        return work.repartition(_tasks(self._spark, work.count()), "path", "first").mapInArrow(load, outer)
