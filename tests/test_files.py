@@ -260,6 +260,11 @@ def test_feather_round_trip(spark, tmp_path):
     manifest = feather_sink.write_feather(df, folder)
     assert manifest.agg(F.sum("n_rows")).first()[0] == 1_000
     back = feather.read_feather(spark, folder)
+    feather_sink.write_feather(df.coalesce(2), folder)  # a second writing leaves nothing of the first
+    assert len([f for f in os.listdir(folder) if f.endswith(".feather")]) == 2
+    back = feather.read_feather(spark, folder)
+    with pytest.raises(FileExistsError):
+        feather_sink.write_feather(df, folder, mode="errorifexists")
     assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 

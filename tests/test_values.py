@@ -22,7 +22,7 @@ def both_ways(request, monkeypatch):
     monkeypatch.setattr(quantiles, "SMALL_GROUP", 0 if request.param == "large groups" else 100_000)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(width=32, allow_nan=False, allow_infinity=False), min_size=1, max_size=60), st.floats(0, 1))
 def test_quantile_equals_numpy(spark, values, p):
     for kind, small in (("float", 0), ("double", 0), ("double", 100_000)):

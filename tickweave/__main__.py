@@ -51,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
+    if a.input.rstrip("/") == a.output.rstrip("/"):
+        raise SystemExit("input and output must differ")
     spark = SparkSession.builder.appName(f"tickweave-{a.job}").getOrCreate()
     if a.job == "etl":
         print(json.dumps(jobs.build_checkpoints(spark, a.input, a.output, a.agent_types, a.sets, a.runs, a.mode, a.suffix)))

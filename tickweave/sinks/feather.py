@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tickweave.sources.listing import local_path
+from tickweave.sources.listing import exists, local_path, remove_matching
 
 MANIFEST_SCHEMA = "path string, n_rows bigint, n_batches bigint"
 
@@ -23,12 +23,18 @@ def _target(folder: str):
     return (fs.LocalFileSystem(), plain) if plain is not None else fs.FileSystem.from_uri(folder)
 
 
-def write_feather(df: DataFrame, folder: str) -> DataFrame:
+def write_feather(df: DataFrame, folder: str, mode: str = "overwrite") -> DataFrame:
     """Write ``part-<n>.feather`` files into ``folder`` on storage all executors share; returns the manifest.
 
+    ``mode`` is ``overwrite`` (an earlier export in the folder goes) or ``errorifexists``.
+
     A task writes under a name of its own attempt and moves the file into place when it is complete, so a
     task that runs twice leaves one good file.
     """
+    if mode not in ("overwrite", "errorifexists"):
+        raise ValueError("mode must be 'overwrite' or 'errorifexists'")
+    if mode == "errorifexists" and exists(df.sparkSession, folder):
+        raise FileExistsError(folder)
     arrow = to_arrow_schema(df.schema)
     if local_path(folder) is not None:
         folder = os.path.abspath(local_path(folder))
@@ -48,6 +54,7 @@ def write_feather(df: DataFrame, folder: str) -> DataFrame:
         system.move(draft, final)
         yield pa.RecordBatch.from_pydict({"path": [final], "n_rows": [n_rows], "n_batches": [n_batches]})
 
+    remove_matching(df.sparkSession, folder, "part-*.feather", ".part-*", "_manifest")
     written = df.mapInArrow(save, MANIFEST_SCHEMA)
     written.write.mode("overwrite").parquet(f"{folder}/_manifest")
     return df.sparkSession.read.parquet(f"{folder}/_manifest").where(F.col("path").isNotNull())

@@ -23,6 +23,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove_matching(spark: SparkSession, folder: str, *globs: str) -> None:
+    """Make way for new output in ``folder``: delete entries with these names and nothing else."""
+    for glob in globs:
+        fs, p = _fs(spark, f"{folder.rstrip('/')}/{glob}")
+        for status in fs.globStatus(p) or []:
+            fs.delete(status.getPath(), True)
+
+
 def children(spark: SparkSession, path: str, folders: bool) -> list[str]:
     """Names of the folders (or files) right below ``path``."""
     fs, p = _fs(spark, path)
