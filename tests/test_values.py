@@ -69,13 +69,14 @@ def test_bucket_is_monotone(spark):
 def test_positions_match_row_number(spark, monkeypatch, hot):
     monkeypatch.setattr(numbering, "HOT_CHUNK", hot)
     monkeypatch.setattr(numbering, "ID_CHUNK", 16)
-    rows = [(1, t, a) for t in range(5) for a in range(100)] + [(2, 1, 5)] * 40 + [(3, -7, 1), (3, -6, -20), (3, -6, 3)]
+    rows = [(1, t, a) for t in range(5) for a in range(100)] + [(2, 1, 5)] * 40 + [(3, -7, 1), (3, -6, -20), (3, -6, 3), (3, -6, None), (3, None, 4)]
     df = spark.createDataFrame(rows, "g int, t int, a bigint")
     got = numbering.with_position(df, ["g"], ["t", "a"]).collect()
     for g in (1, 2, 3):
-        mine = sorted((r.position, r.t, r.a) for r in got if r.g == g)
+        low = -(10**9)  # nulls sort first
+        mine = sorted((r.position, low if r.t is None else r.t, low if r.a is None else r.a) for r in got if r.g == g)
         assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
-        assert [m[1:] for m in mine] == sorted((t, a) for gg, t, a in rows if gg == g)
+        assert [m[1:] for m in mine] == sorted((low if t is None else t, low if a is None else a) for gg, t, a in rows if gg == g)
 
 
 def test_stride_and_ordinal(spark):

@@ -36,25 +36,30 @@ def with_position(
     equal rows are folded into one with a count before they are shuffled and unfolded afterwards.
     """
     tick, *rest = order
-    chunk = [*keys, tick, "_cut"]
-    rows = df.withColumn("_cut", _cut(df, rest[0]) if rest else F.lit(0).cast("bigint"))
-    sizes = settle(rows.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_size")), "chunk-sizes")
+    cut = _cut(df, rest[0]) if rest else F.lit(0).cast("bigint")
+    # one struct as join key: unlike separate columns it also matches where a part is null
+    rows = df.withColumn("_chunk", F.struct(*keys, F.col(tick).alias("_tick"), cut.alias("_cut")))
+    sizes = settle(rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_size")), "chunk-sizes")
     largest = sizes.agg(F.max("_size")).first()[0] or 0
-    before = Window.partitionBy(*keys).orderBy(tick, "_cut").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*chunk, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*chunk).orderBy(*rest, *tie, F.xxhash64(*df.columns))
+    run = [F.col(f"_chunk.{k}") for k in keys]
+    before = Window.partitionBy(*run).orderBy("_chunk._tick", "_chunk._cut").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_chunk").orderBy(*rest, *tie, F.xxhash64(*df.columns))
     if largest <= HOT_CHUNK:
-        placed = rows.join(starts, chunk).withColumn(name, F.col("_start") + F.row_number().over(within))
+        placed = rows.join(starts, "_chunk").withColumn(name, F.col("_start") + F.row_number().over(within))
         return placed.select(*df.columns, name)
     folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
     last = F.col("_start") + F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    placed = folded.join(starts, chunk).withColumn("_last", last)
+    placed = folded.join(starts, "_chunk").withColumn("_last", last)
     return placed.select(*df.columns, F.explode(F.sequence(F.col("_last") - F.col("_copies") + 1, F.col("_last"))).alias(name))
 
 
 def with_label_position(df: DataFrame, keys: Sequence[str], label: str, name: str = "position") -> DataFrame:
-    """Distinct (keys, label) with the 0-based place of the label in its group, spread the same way."""
-    labels = df.select(*keys, label).distinct().withColumn("_cut", _cut(df, label))
+    """Distinct (keys, label) with the 0-based place of the label in its group, spread the same way.
+
+    Rows without a label or key have no place.
+    """
+    labels = df.select(*keys, label).dropna().distinct().withColumn("_cut", _cut(df, label))
     sizes = labels.groupBy(*keys, "_cut").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, "_cut", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

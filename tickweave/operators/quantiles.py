@@ -50,13 +50,17 @@ def exact_quantiles(
     at_most_groups: int | None = None,
     drop_nan: bool = True,
 ) -> DataFrame:
-    """One row per group: the group columns, ``n`` (rows used) and one column per entry of ``probs``."""
+    """One row per group: the group columns, ``n`` (rows used) and one column per entry of ``probs``.
+
+    Rows without a value or with a null in a group column belong to no group.
+    """
     for p in probs.values():
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"quantile {p} is outside 0..1")
     keys = list(by) or ["_all"]
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v) if drop_nan else v.isNotNull())
+    rows = rows.dropna(subset=list(by)) if by else rows
     rows = rows.select(*by, *([] if by else [F.lit(0).alias("_all")]), v.alias("_v"))
     largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= SMALL_GROUP:
