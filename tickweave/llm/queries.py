@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickweave.llm import chat, quality, topk, urls
+from tickweave.llm import bpe, chat, mixing, quality, secrets, topk, urls
 from tickweave.llm.common import LOWER, UPPER, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +75,67 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_layers")
+
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    out = bpe.encode_documents(docs, VOCABULARY, public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(read_table(spark, sf_dir, "documents"))
+
+
+# The mixture: domains by number of the source, weights by name (1 where none is given).
+MIX_DOMAINS = ["web", "news", "books"]
+MIX_WEIGHTS = {"domain": {"web": 3, "news": 2}, "lang": {"en": 4, "de": 2, "fr": 2}, "source": {"src0": 2, "src7": 3}}
+
+
+def mix_levels() -> dict:
+    number = F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "^src([0-9]{1,9})$", 1).try_cast("int")
+    domain = F.coalesce(F.get(F.array(*map(F.lit, MIX_DOMAINS)), number % 3), F.lit("other"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _mix_level_sql(level: str, path: list[str], source: str) -> str:
+    """One level of the tree in SQL: what each node is given out of its parent's budget."""
+    above = path[:-1]
+    weights = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items())
+    by = f"PARTITION BY {', '.join(above)}" if above else ""
+    keys, joined = ", ".join(path), f"USING ({', '.join(above)})" if above else "ON true"
+    return f"""
+{level}_0 AS (SELECT {keys}, sum(cap)::HUGEINT AS cap, CASE {level} {weights} ELSE 1 END::HUGEINT AS w FROM leaves GROUP BY {keys}),
+{level}_1 AS (SELECT *, coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(w) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM {level}_0 JOIN {source} {joined} WHERE cap > 0 WINDOW w AS ({by} ORDER BY cap::DOUBLE / w::DOUBLE, {level})),
+{level}_2 AS (SELECT *, cap * rest <= w * (given - before) AS is_full FROM {level}_1),
+{level}_3 AS (SELECT {keys}, CASE WHEN is_full THEN cap ELSE w * (given - coalesce(sum(cap) FILTER (WHERE is_full) OVER ({by}), 0)) // sum(w) FILTER (WHERE NOT is_full) OVER ({by}) END AS given FROM {level}_2)"""
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, coalesce(['web', 'news', 'books'][TRY_CAST(regexp_extract(coalesce(source, ''), '^src([0-9]{{1,9}})$', 1) AS INTEGER) % 3 + 1], 'other') AS domain,
+  coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS t, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, 2 * sum(n_tokens)::HUGEINT AS cap FROM d GROUP BY ALL),
+root AS (SELECT floor(sum(tokens)::DOUBLE * 0.6)::HUGEINT AS given FROM leaves),
+{_mix_level_sql("domain", ["domain"], "root")}, {_mix_level_sql("lang", ["domain", "lang"], "domain_3")}, {_mix_level_sql("source", ["domain", "lang", "source"], "lang_3")},
+b AS (SELECT l.*, coalesce(given, 0) AS budget FROM leaves l LEFT JOIN source_3 USING (domain, lang, source)),
+e AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs FROM b),
+k AS (SELECT doc_id, domain, lang, source, n_tokens, epochs, budget - epochs * tokens AS rest, md5(concat_ws(':', 'mix', (epochs + 1)::VARCHAR, coalesce(doc_id::VARCHAR, ''), t)) AS key FROM d JOIN e USING (domain, lang, source)),
+s AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM k)
+SELECT doc_id, domain, lang, source, (epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS n_epochs FROM s""")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, levels = read_table(spark, sf_dir, "documents"), mix_levels()
+    out, taken = mixing.with_copies(docs, levels, mixing.plan(docs, levels, MIX_WEIGHTS, share=0.6))
+    return out.select("doc_id", *[F.coalesce(c, F.lit("")).alias(n) for n, c in levels.items()], F.col(taken).alias("n_epochs"))
+
+
 @query()
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
