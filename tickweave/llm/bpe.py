@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tickweave.llm.common import keyed
+from tickweave.llm.common import keyed, real_id
 
 LOOKAHEAD = 4  # a match looks at most this far beyond its end: contractions of three characters, one after white space
 LEAF_CHARS, SPLIT_CHARS = 8192, 1 << 18
@@ -254,7 +254,7 @@ def _tokens(path: str, pattern: str):
         for pdf in batches:
             for r in pdf.itertuples():
                 ids = [t for p in _pieces(r.text, r.lengths) for t in enc.match(p)]
-                yield pd.DataFrame({"doc_id": pd.array([None if pd.isna(r.doc_id) else int(r.doc_id)] * int(r.copies), "Int64"), "n_tokens": len(ids), "ids": _packed(ids), "decoded": enc.decode(ids)})
+                yield pd.DataFrame({"doc_id": [r.doc_id] * int(r.copies), "n_tokens": len(ids), "ids": _packed(ids), "decoded": enc.decode(ids)})
 
     return run
 
@@ -270,7 +270,7 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, doc_id: str =
     long = rows.filter(F.length("text") > split_chars)
     most = long.agg(F.max(F.length("text"))).first()[0]
     if most is None:
-        return short
+        return short.select(real_id().alias("doc_id"), "n_tokens", "ids", "decoded")
     nodes = long.groupBy("doc_id", "fp").agg(F.first("text").alias("whole"), F.count("*").alias("copies"))
     nodes = nodes.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.length("whole") - 1) / split_chars).cast("int"))).cast("long").alias("node"))
     nodes = nodes.select("doc_id", "fp", "copies", "node", F.substring("whole", F.col("node").cast("int") * split_chars + 1, F.lit(split_chars)).alias("text"))
@@ -279,4 +279,5 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, doc_id: str =
     while count > 1:  # one join of neighbours per tree level
         nodes = nodes.withColumn("up", F.floor(F.col("node") / 2)).groupBy("doc_id", "fp", "up").applyInPandas(lambda pdf, f=_pairs(vocabulary, pattern): f(pdf.drop(columns="up")), NODE)
         count = (count + 1) // 2
-    return short.unionByName(nodes.mapInPandas(_tokens(vocabulary, pattern), out))
+    out = short.unionByName(nodes.mapInPandas(_tokens(vocabulary, pattern), out))
+    return out.select(real_id().alias("doc_id"), "n_tokens", "ids", "decoded")

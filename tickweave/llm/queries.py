@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickweave.llm import bpe, chat, mixing, quality, secrets, topk, urls
+from tickweave.llm import bpe, chat, mixing, quality, secrets, substrings, suffixes, topk, urls
 from tickweave.llm.common import LOWER, UPPER, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def query(sql: str | None = None):
     return keep
 
 
+@query()
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.dedup_bytes(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
 
@@ -121,7 +133,8 @@ def _mix_level_sql(level: str, path: list[str], source: str) -> str:
 
 @query(rf"""
 WITH d AS (SELECT doc_id, coalesce(['web', 'news', 'books'][TRY_CAST(regexp_extract(coalesce(source, ''), '^src([0-9]{{1,9}})$', 1) AS INTEGER) % 3 + 1], 'other') AS domain,
-  coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS t, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens FROM documents),
+  coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS t, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS n_tokens FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, 2 * sum(n_tokens)::HUGEINT AS cap FROM d GROUP BY ALL),
 root AS (SELECT floor(sum(tokens)::DOUBLE * 0.6)::HUGEINT AS given FROM leaves),
 {_mix_level_sql("domain", ["domain"], "root")}, {_mix_level_sql("lang", ["domain", "lang"], "domain_3")}, {_mix_level_sql("source", ["domain", "lang", "source"], "lang_3")},
