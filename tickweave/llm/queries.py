@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickweave.llm import bpe, chat, mixing, quality, secrets, substrings, suffixes, topk, urls
+from tickweave.llm import bpe, chat, mixing, neardup, quality, secrets, substrings, suffixes, topk, urls
 from tickweave.llm.common import LOWER, UPPER, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_layers")
 
 
+@query()
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
