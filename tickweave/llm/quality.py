@@ -159,4 +159,7 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
 def keep_good(df: DataFrame, **how) -> DataFrame:
     """The rows of ``df``, all columns unchanged, whose document is kept."""
     out, c = judged(df, **how)
-    return out.filter(c["kept"]).select(*[F.col(f"`{x}`") for x in df.columns])
+    # a filter moves through projections and takes their expressions along into every lambda; a row number stops it here
+    row = fresh(out, "quality_row")
+    out = out.select(*df.columns, c["kept"], F.monotonically_increasing_id().alias(row))
+    return out.filter(F.col(c["kept"]) & (F.col(row) >= 0)).select(*[F.col(f"`{x}`") for x in df.columns])
