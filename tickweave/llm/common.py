@@ -6,7 +6,7 @@ import gc
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickweave.session import settle
+from tickweave.session import scratch_path
 
 # Words are runs of anything but blank, tab, newline, vertical tab, form feed and carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -54,12 +54,24 @@ def real_id(doc_id: str = "doc_id") -> Column:
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder; afterwards Spark may drop the shuffle files that it took to make it."""
-    out = settle(df, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()  # the cleaner removes shuffles whose plans are garbage
+    spark.sparkContext._jvm.System.gc()  # the cleaner removes shuffles whose plans are garbage
     return out
 
 
+def used_up(*tables: DataFrame) -> None:
+    """Deletes tables that ``settled`` made, once all that reads them has been settled itself."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._settled_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def unique_ids(df: DataFrame, doc_id: str) -> bool:
     """Whether no id is null or comes twice; then rows need no second key column."""
     ids = df.select(F.col(doc_id).cast("long").alias("i"))

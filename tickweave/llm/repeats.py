@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickweave.llm.common import keyed, settled, unique_ids
+from tickweave.llm.common import keyed, settled, unique_ids, used_up
 from tickweave.llm.hashing import BYTES, POLY, SLICE, U, anchored, grams, mixed, text_bytes, word_hashes, words
 
 SEGMENT = "doc_id long, fp long, start int, n int, anchor long, kind long"
@@ -173,7 +173,18 @@ def _kinds(segments: DataFrame, *carried: str) -> DataFrame:
     folded = folded.select("anchor", "kind", "n_rows", *[f"f.{c}" for c in ("doc_id", "fp", "start", "n", *carried)])
     folded = settled(folded, "repeat-kinds")
     several = folded.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n_rows").alias("fewest"))
-    return settled(folded.join(several.filter("kinds > 1 OR fewest > 1"), "anchor"), "repeat-groups")
+    out = settled(folded.join(several.filter("kinds > 1 OR fewest > 1"), "anchor"), "repeat-groups")
+    used_up(folded)
+    return out
+
+
+def _copies(found: DataFrame, groups: DataFrame, width: int, keep_earliest: bool) -> DataFrame:
+    """Stretches of the segments that have copies: all of them, or all but the earliest, are covered throughout."""
+    many = groups.filter("n_rows > 1").select("anchor", "kind", F.col("doc_id").alias("d0"), F.col("fp").alias("f0"), F.col("start").alias("s0"))
+    copies = found.join(many, ["anchor", "kind"])
+    if keep_earliest:
+        copies = copies.filter("NOT (doc_id = d0 AND fp = f0 AND start = s0)")
+    return settled(copies.select("doc_id", "fp", "start", (F.col("start") + F.col("n") + width - 1).alias("stop")), "repeat-copies")
 
 
 def repeated(df: DataFrame, search: Search, solver: Solver, keep_earliest: bool, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -189,37 +200,34 @@ def repeated(df: DataFrame, search: Search, solver: Solver, keep_earliest: bool,
     counts = docs.mapInArrow(_segments(search, gram, True), "anchor long, c long").groupBy("anchor").agg(F.sum("c").alias("c"))
     twice = settled(counts.filter("c > 1").select("anchor"), "repeat-anchors")
     found = settled(docs.mapInArrow(_segments(search, gram, False), SEGMENT).join(twice, "anchor"), "repeat-segments")
+    used_up(twice)
     groups = _kinds(found.withColumn("n_rows", F.lit(1).cast("long")))
-    # copies of a kind: all of them, or all but the earliest, are covered throughout
-    many = groups.filter("n_rows > 1").select("anchor", "kind", F.col("doc_id").alias("d0"), F.col("fp").alias("f0"), F.col("start").alias("s0"))
-    copies = found.join(many, ["anchor", "kind"])
-    if keep_earliest:
-        copies = copies.filter("NOT (doc_id = d0 AND fp = f0 AND start = s0)")
-    out = [copies.select("doc_id", "fp", "start", (F.col("start") + F.col("n") + search.width - 1).alias("stop"))]
-    open_ = groups.filter("kinds > 1" if keep_earliest else "kinds > 1 AND fewest = 1").drop("kinds", "fewest")
-    wanted = open_.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("anchor", "kind", "n_rows", "start", "n")).alias("wanted"))
+    out = [_copies(found, groups, search.width, keep_earliest)]
+    used_up(found)
+    unsolved = "kinds > 1" if keep_earliest else "kinds > 1 AND fewest = 1"
+    wanted = groups.filter(unsolved).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("anchor", "kind", "n_rows", "start", "n")).alias("wanted"))
     kinds = docs.join(wanted, ["doc_id", "fp"]).select("doc_id", "fp", "text", "wanted").mapInArrow(_extract(search), KIND)
     kinds = settled(kinds, "repeat-units")
+    used_up(groups)
     for gram in search.gram_sizes[1:]:
         hot = settled(kinds.groupBy("anchor").agg(F.count("*").alias("k")).filter(F.col("k") > search.hot_kinds).select("anchor"), "repeat-hot")
-        out.append(_solved(kinds.join(hot, "anchor", "left_anti"), search, solver))
+        out.append(settled(_solved(kinds.join(hot, "anchor", "left_anti"), search, solver), "repeat-solved"))
         if hot.isEmpty():
             break
-        again = kinds.join(hot, "anchor").select(*kinds.columns).mapInPandas(_again(search, gram), KIND)
-        again = settled(again, "repeat-again")
+        again = settled(kinds.join(hot, "anchor").select(*kinds.columns).mapInPandas(_again(search, gram), KIND), "repeat-again")
+        used_up(kinds)
         groups = _kinds(again, "units")
-        many = groups.filter("n_rows > 1").select("anchor", "kind", F.col("doc_id").alias("d0"), F.col("fp").alias("f0"), F.col("start").alias("s0"))
-        copies = again.join(many, ["anchor", "kind"])
-        if keep_earliest:
-            copies = copies.filter("NOT (doc_id = d0 AND fp = f0 AND start = s0)")
-        out.append(copies.select("doc_id", "fp", "start", (F.col("start") + F.col("n") + search.width - 1).alias("stop")))
-        kinds = settled(groups.filter("kinds > 1" if keep_earliest else "kinds > 1 AND fewest = 1").select(*kinds.columns), "repeat-units")
+        out.append(_copies(again, groups, search.width, keep_earliest))
+        used_up(again)
+        kinds = settled(groups.filter(unsolved).select(*kinds.columns), "repeat-units")
+        used_up(groups)
     else:
-        out.append(_solved(kinds, search, solver))
+        out.append(settled(_solved(kinds, search, solver), "repeat-solved"))
+    used_up(kinds)
     spans = out[0]
     for more in out[1:]:
         spans = spans.unionByName(more)
-    return every, settled(spans, "repeat-spans")
+    return every, spans
 
 
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
