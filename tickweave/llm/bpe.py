@@ -239,7 +239,7 @@ def _pieces(text: str, lengths: bytes) -> list[str]:
 def _pairs(path: str, pattern: str):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         enc = encoder(path, pattern)
-        pdf = pdf.sort_values("node")
+        pdf = pdf.drop(columns="up").sort_values("node")
         pieces: list[str] = []
         for text, lengths in zip(pdf["text"], pdf["lengths"], strict=True):
             pieces = enc.joined(pieces, _pieces(text, lengths))
@@ -272,12 +272,12 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, doc_id: str =
     if most is None:
         return short.select(real_id().alias("doc_id"), "n_tokens", "ids", "decoded")
     nodes = long.groupBy("doc_id", "fp").agg(F.first("text").alias("whole"), F.count("*").alias("copies"))
-    nodes = nodes.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.length("whole") - 1) / split_chars).cast("int"))).cast("long").alias("node"))
+    nodes = nodes.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length("whole") - 1) / split_chars))).alias("node"))
     nodes = nodes.select("doc_id", "fp", "copies", "node", F.substring("whole", F.col("node").cast("int") * split_chars + 1, F.lit(split_chars)).alias("text"))
     nodes = nodes.repartition("doc_id", "fp", "node").withColumn("lengths", F.lit(None).cast("binary")).mapInPandas(_leaves(vocabulary, pattern), NODE)
     count = (most - 1) // split_chars + 1
     while count > 1:  # one join of neighbours per tree level
-        nodes = nodes.withColumn("up", F.floor(F.col("node") / 2)).groupBy("doc_id", "fp", "up").applyInPandas(lambda pdf, f=_pairs(vocabulary, pattern): f(pdf.drop(columns="up")), NODE)
+        nodes = nodes.withColumn("up", F.shiftright("node", 1)).groupBy("doc_id", "fp", "up").applyInPandas(_pairs(vocabulary, pattern), NODE)
         count = (count + 1) // 2
     out = short.unionByName(nodes.mapInPandas(_tokens(vocabulary, pattern), out))
     return out.select(real_id().alias("doc_id"), "n_tokens", "ids", "decoded")

@@ -65,6 +65,11 @@ def _class_counts(text: Column, words: Column) -> Column:
     return F.transform(F.array(*classes, spaces, F.length(text)), lambda x: x.cast("double"))
 
 
+def _pinned(value: Column) -> Column:
+    """The same value, but filters stay above it: moved below, they would take the expressions into every lambda again."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def _with_counts(df: DataFrame, text: Column, lang: str, common: dict[str, list[str]], c: dict[str, str]) -> DataFrame:
     """Adds the words and both histograms. Each step is a projection of its own: what a lambda reads must be a column."""
     df = df.withColumns({c["lang"]: _listed(F.coalesce(F.col(lang).cast("string"), F.lit("")), [*common]), c["words"]: words_of(text)})
@@ -92,7 +97,7 @@ def _with_repeats(df: DataFrame, c: dict[str, str], size: int = WINDOW) -> DataF
     same = lambda p, j: F.coalesce(F.get(c["pairs"], j)["h"] == p["h"], F.lit(False))
     df = df.withColumn(c["starts"], F.sort_array(F.transform(F.filter(c["pairs"], lambda p, i: same(p, i - 1) | same(p, i + 1)), lambda p: p["i"])))
     widths = F.transform(c["starts"], lambda p, i: F.least(F.lit(size), F.coalesce(F.get(c["starts"], i + 1) - p, F.lit(size))))
-    return df.withColumn(c["repeats"], F.coalesce(F.aggregate(widths, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"))
+    return df.withColumn(c["repeats"], _pinned(F.coalesce(F.aggregate(widths, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")))
 
 
 def _names(df: DataFrame) -> dict[str, str]:
@@ -135,7 +140,7 @@ def judged(
         c["share_class"]: F.when(F.length(t) >= max(1, min_class_chars), _shares(F.col(c["classes"]), F.length(t))),
         c["share_common"]: F.when(n >= max(1, min_common_words), _shares(F.col(c["common"]), n)),
     })
-    out = out.withColumns({c["d_class"]: _distance(F.col(c["share_class"]), F.col(c["ref_class"])), c["d_common"]: _distance(F.col(c["share_common"]), F.col(c["ref_common"]))})
+    out = out.withColumns({c["d_class"]: _pinned(_distance(F.col(c["share_class"]), F.col(c["ref_class"]))), c["d_common"]: _pinned(_distance(F.col(c["share_common"]), F.col(c["ref_common"])))})
     out = out.withColumn(c["failed"], (n < min_words) | (100 * F.col(c["repeats"]) > max_repeat_pct * n))
     odd = F.coalesce(F.col(c["d_class"]) > max_class_distance, F.lit(False)) | F.coalesce(F.col(c["d_common"]) > max_word_distance, F.lit(False))
     return out.withColumn(c["kept"], ~F.col(c["failed"]) & ~odd), c
@@ -159,7 +164,4 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
 def keep_good(df: DataFrame, **how) -> DataFrame:
     """The rows of ``df``, all columns unchanged, whose document is kept."""
     out, c = judged(df, **how)
-    # a filter moves through projections and takes their expressions along into every lambda; a row number stops it here
-    row = fresh(out, "quality_row")
-    out = out.select(*df.columns, c["kept"], F.monotonically_increasing_id().alias(row))
-    return out.filter(F.col(c["kept"]) & (F.col(row) >= 0)).select(*[F.col(f"`{x}`") for x in df.columns])
+    return out.filter(c["kept"]).select(*[F.col(f"`{x}`") for x in df.columns])
