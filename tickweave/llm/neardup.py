@@ -4,11 +4,13 @@ A document's set holds its distinct shingles of five lower-cased words. Its sket
 bucket the register keeps the number of leading zeros and ten mantissa bits. Bands of four registers bring similar sets
 together; a band in which no register is filled brings nothing together. Equal sets are folded into one node first.
 
-In each bucket of a band, nodes are compared with the smallest node only, so a bucket yields as many pairs as it has nodes.
-Of these, each node's best is verified; what remains apart within a bucket afterwards is compared in blocks: those outside
-the bucket's largest component with all of it. Pairs are first judged by the registers (share of equal ones, corrected for
-chance collisions, with a margin of six standard deviations) and then verified on their full sets. A pair at the threshold
-misses all 32 bands with a probability of five in a million; nothing else can lose a link.
+In each bucket of a band, nodes are paired with the smallest node only, so a bucket yields as many pairs as it has nodes.
+Pairs are first judged by the registers (share of equal ones, corrected for chance collisions, with a margin of six standard
+deviations); of those left, each node's best is verified on the full sets. Clusters, the components of all pairs, hold
+whatever shares a band. Where a cluster still has several components, the nodes beside the largest one are compared with all
+of the cluster, in blocks of bounded size, through an index of the blocks' shingles, and a block tells only links that
+join components. A pair at the threshold misses all 32 bands with a probability of five in a million; nothing else can lose
+a link.
 
 Defined results: texts without words have an empty set and are linked with nothing; fewer than five words count as one
 shingle; rows alike in id and text are one document; rows without id are linked with nothing and are kept.
@@ -23,13 +25,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickweave.llm.common import NO_ID, fresh, keyed, real_id, settled, unique_ids
+from tickweave.llm.common import NO_ID, fresh, keyed, real_id, settled, unique_ids, used_up
 from tickweave.llm.components import components
 from tickweave.llm.hashing import U, grams, lowered, mixed, text_bytes, word_hashes, words
 
 SHINGLE, THRESHOLD = 5, 75  # words; per cent of the union
 BUCKETS, MANTISSA, BAND, MARGIN = 128, 10, 4, 6.0
-STRAGGLERS, CROWD = 512, 2048  # sides of a block of comparisons
+STRAGGLERS, CROWD, SHINGLES = 512, 2048, 1_500_000  # sides of a block of comparisons, in nodes and in shingles
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -132,14 +134,37 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _block(key: tuple, few: pd.DataFrame, crowd: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block that may be linked: nodes outside the largest component with nodes of other components."""
-    out = [pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})]
+    """Links between components, by full sets: each node of ``few`` against all of ``crowd`` through an index of hashes.
+
+    Only links that join what the block's other links have not joined yet are told, so there are fewer than nodes.
+    """
+    found: list[tuple[int, int]] = []
     if len(few) and len(crowd):
-        regs, sizes, nodes, comps = _rows(crowd["registers"]), crowd["n"].to_numpy(), crowd["node"].to_numpy(), crowd["component"].to_numpy()
-        for r, n, node, comp in zip(_rows(few["registers"]), few["n"], few["node"], few["component"], strict=True):
-            ok = (comps != comp) & _likely(np.broadcast_to(r, regs.shape), regs, np.full(len(sizes), n), sizes)
-            out.append(pd.DataFrame({"a": np.minimum(node, nodes[ok]), "b": np.maximum(node, nodes[ok])}))
-    return pd.concat(out)
+        sets = [np.frombuffer(h, U) for h in crowd["hashes"]]
+        sizes, nodes, comps = np.array([len(x) for x in sets]), crowd["node"].to_numpy(), crowd["component"].to_numpy()
+        hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(hashes, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+        label: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while (up := label.get(c, c)) != c:
+                c = up
+            return c
+
+        for packed, node, comp in zip(few["hashes"], few["node"].tolist(), few["component"].tolist(), strict=True):
+            own = np.frombuffer(packed, U)
+            lo, hi = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
+            many = hi - lo
+            at = np.arange(many.sum()) + np.repeat(lo - np.cumsum(many) + many, many)
+            both = np.bincount(owner[at], minlength=len(sets))
+            linked = (comps != comp) & (100 * both >= THRESHOLD * (len(own) + sizes - both))
+            for j in np.flatnonzero(linked):
+                x, y = top(comp), top(int(comps[j]))
+                if x != y:
+                    label[max(x, y)] = min(x, y)
+                    found.append((node, int(nodes[j])))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,37 +196,39 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     nodes = settled(nodes, "nodes")  # written once, so the numbers stay
     bands = nodes.select("node", "registers").mapInArrow(_bands, "node long, band int, key long")
     shared = bands.groupBy("band", "key").agg(F.min("node").alias("first"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    members = settled(bands.join(shared, ["band", "key"]), "bands")
+    members = bands.join(shared, ["band", "key"])
     sketch = nodes.select("node", "n", "registers")
     side = lambda c: sketch.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}"))
-    pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = settled(members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = settled(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_judged, "a long, b long, j double"), "stars")
     best = stars.groupBy("b").agg(F.max(F.struct("j", F.col("a").alias("a"))).alias("top")).select("top.a", "b")
 
     # sets of all nodes that share a band with another node
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "fp"), "node")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "doc_id", "fp"), "node")
     sets = settled(docs.join(wanted, ["doc_id", "fp"]).select("node", "text").mapInArrow(_sets, "node long, hashes binary"), "sets")
     links = settled(verified(best, sets), "links")
     comps = components(links)
 
-    # buckets whose nodes are not all in one component yet
-    labelled = members.join(comps, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("component"))
-    parts = settled(labelled.groupBy("band", "key", "component").agg(F.count("*").alias("k")), "parts")
-    largest = parts.groupBy("band", "key").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("comps"))
-    largest = largest.filter("comps > 1").select("band", "key", F.col("top.component").alias("main"), F.col("all"), (F.col("all") - F.col("top.k")).alias("few"))
-    apart = labelled.join(largest, ["band", "key"]).join(sketch, "node")
-    apart = settled(apart, "apart")
-    rows = F.floor((F.col("few") - 1) / STRAGGLERS).cast("int") + 1
-    columns = F.floor((F.col("all") - 1) / CROWD).cast("int") + 1
-    few = apart.filter("component != main").select("*", F.pmod(F.hash("node"), rows).alias("row"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("col"))
-    crowd = apart.select("*", F.pmod(F.hash("node"), columns).alias("col"), F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"))
-    place = ["band", "key", "row", "col"]
-    need = [*place, "node", "component", "n", "registers"]
-    more = few.select(*need).groupBy(*place).cogroup(crowd.select(*need).groupBy(*place)).applyInPandas(_block, "a long, b long").distinct()
-    more = settled(more, "more-pairs")
+    # clusters are what bands hold together; where one has several components, those beside the largest meet all of it
+    clusters = components(pairs).select("node", F.col("component").alias("cluster"))
+    labelled = clusters.join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("component")).join(nodes.select("node", "n"), "node")
+    labelled = settled(labelled, "labelled")
+    parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
+    largest = parts.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("top"), F.sum("k").alias("k"), F.sum("s").alias("s"), F.count("*").alias("comps"))
+    blocks = lambda k, s, side: F.greatest(F.floor((k - 1) / side), F.floor((s - 1) / SHINGLES)).cast("int") + 1
+    largest = largest.filter("comps > 1").select(
+        "cluster", F.col("top.component").alias("main"), blocks(F.col("k"), F.col("s"), CROWD).alias("cols"),
+        blocks(F.col("k") - F.col("top.k"), F.col("s") - F.col("top.s"), STRAGGLERS).alias("rows"),
+    )
+    apart = labelled.join(largest, "cluster").join(sets, "node")
+    need = ["cluster", "row", "col", "node", "component", "hashes"]
+    few = apart.filter("component != main").withColumns({"row": F.pmod(F.hash("node"), F.col("rows")), "col": F.explode(F.sequence(F.lit(0), F.col("cols") - 1))})
+    crowd = apart.withColumns({"col": F.pmod(F.hash("node"), F.col("cols")), "row": F.explode(F.sequence(F.lit(0), F.col("rows") - 1))})
+    place = ["cluster", "row", "col"]
+    more = settled(few.select(*[F.col(c).alias(c) for c in need]).groupBy(*place).cogroup(crowd.select(*[F.col(c).alias(c) for c in need]).groupBy(*place)).applyInPandas(_block, "a long, b long"), "more-links")
     if not more.isEmpty():
-        links = settled(links.union(verified(more, sets)), "links")
-        comps = components(links)
+        comps = components(links.union(more))
+    used_up(sets)
 
     of_node = nodes.join(comps, "node", "left").select("sig_a", "sig_b", "n", "doc_id", F.coalesce("component", "node").alias("component"))
     lowest = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
