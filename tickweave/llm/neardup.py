@@ -31,7 +31,8 @@ from tickweave.llm.hashing import U, grams, lowered, mixed, text_bytes, word_has
 
 SHINGLE, THRESHOLD = 5, 75  # words; per cent of the union
 BUCKETS, MANTISSA, BAND, MARGIN = 128, 10, 4, 6.0
-STRAGGLERS, CROWD, SHINGLES = 512, 2048, 1_500_000  # sides of a block of comparisons, in nodes and in shingles
+# sides of a block of comparisons, in nodes and in shingles; wide ones, since each side is copied once per block of the other
+STRAGGLERS, CROWD, STRAGGLER_SHINGLES, CROWD_SHINGLES = 8192, 4096, 3_000_000, 2_000_000
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -215,10 +216,10 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     labelled = settled(labelled, "labelled")
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
     largest = parts.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("top"), F.sum("k").alias("k"), F.sum("s").alias("s"), F.count("*").alias("comps"))
-    blocks = lambda k, s, side: F.greatest(F.floor((k - 1) / side), F.floor((s - 1) / SHINGLES)).cast("int") + 1
+    blocks = lambda k, s, side, most: F.greatest(F.floor((k - 1) / side), F.floor((s - 1) / most)).cast("int") + 1
     largest = largest.filter("comps > 1").select(
-        "cluster", F.col("top.component").alias("main"), blocks(F.col("k"), F.col("s"), CROWD).alias("cols"),
-        blocks(F.col("k") - F.col("top.k"), F.col("s") - F.col("top.s"), STRAGGLERS).alias("rows"),
+        "cluster", F.col("top.component").alias("main"), blocks(F.col("k"), F.col("s"), CROWD, CROWD_SHINGLES).alias("cols"),
+        blocks(F.col("k") - F.col("top.k"), F.col("s") - F.col("top.s"), STRAGGLERS, STRAGGLER_SHINGLES).alias("rows"),
     )
     apart = labelled.join(largest, "cluster").join(sets, "node")
     need = ["cluster", "row", "col", "node", "component", "hashes"]
