@@ -363,7 +363,7 @@ def test_view_filters_reach_the_scan(spark, tmp_path):
 def tree_like(spark):
     from tickweave.operators.shaping import downcast
 
-    return downcast(circle(spark, 3, 1, 2, 20))
+    return downcast(circle(spark, 3, 1, 2, 20), "checked")
 
 
 def test_command_line(spark, tmp_path, databases):
@@ -388,3 +388,44 @@ def test_command_line(spark, tmp_path, databases):
     (out / "p.csv").write_text("set_num,alpha\n1,0.5\n2,0.7\n3,0.9\n")
     main(["sensitivity", "-i", str(out / "tree"), "-o", str(out / "gsa"), "--parameters", str(out / "p.csv"), "--table", "Bank", "--metric", "cash"])
     assert spark.read.parquet(str(out / "gsa" / "cash" / "density_cash.parquet")).agg(F.sum("n")).first()[0] >= 2
+
+
+def test_rejects_are_reported(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, 1, 5, 70000), (1, 1, 2, 40000, 7), (2, 1, 1, 6, 8)], "set_num int, run_num int, time_step int, ID bigint, v int")
+    root = str(tmp_path / "tree")
+    run_files.write_run_files(rows, root, "data_Agent.parquet", ["time_step"])
+    for mode, lost in (("widen", 0), ("checked", 1)):
+        out = str(tmp_path / mode)
+        paths = jobs.build_checkpoints(spark, root, out, "Agent", mode=mode)
+        assert spark.read.parquet(paths["Agent"]).where("v is null").count() == lost
+        assert jobs.reject_totals(spark, out, "Agent")["v"] == lost and jobs.reject_totals(spark, out, "Agent")["rows"] == 3
+
+
+def test_null_keys_do_not_swallow_other_runs(spark, tmp_path):
+    rows = spark.createDataFrame([(None, None, 0, 1), (1, 1, 0, 2), (1, 1, 1, 3), (2, 5, 0, 4)], "set_num int, run_num int, time_step int, v int")
+    root = str(tmp_path / "tree")
+    files = run_files.write_run_files(rows.coalesce(1), root, "data_A.parquet", ["time_step"])
+    assert {(r.set_num, r.run_num, r.n_rows) for r in files.collect()} == {(None, None, 1), (1, 1, 2), (2, 5, 1)}
+    held = {(r.set_num, r.run_num): pq.read_table(r.path)["v"].to_pylist() for r in files.collect()}
+    assert held == {(None, None): [1], (1, 1): [2, 3], (2, 5): [4]}
+
+
+def test_row_groups_of_run_files_are_large(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("1 AS set_num", "1 AS run_num", "id AS time_step", "id * 2.5D AS v")
+    path = run_files.write_run_files(rows, str(tmp_path), "data_A.parquet", ["time_step"]).first().path
+    assert pq.ParquetFile(path).num_row_groups == 1 and pq.read_table(path)["time_step"].to_pylist() == list(range(40_000))
+
+
+def test_columns_of_later_snapshots(spark, tmp_path):
+    for name, sql in (("A_1", "1 AS tick, 2 AS a"), ("A_2", "2 AS tick, 3 AS a, 4 AS b")):
+        spark.sql(f"SELECT {sql}").toPandas().to_parquet(tmp_path / f"{name}.parquet")
+    assert sorted((r.tick, r.a, r.b) for r in tree.read_snapshots(spark, str(tmp_path), "A").collect() if r.b) == [(2, 3, 4)]
+
+
+@pytest.mark.parametrize("rows", (30, 1000))
+def test_compacted_order(spark, tmp_path, rows):
+    df = spark.range(200).selectExpr("199 - id AS time_step", "1 AS set_num", "1 AS run_num", "id AS v").repartition(7)
+    tables.compact(df, str(tmp_path / "c"), rows)
+    files = sorted((tmp_path / "c").glob("*.parquet"))
+
+    assert [t for f in files for t in pq.read_table(f)["time_step"].to_pylist()] == list(range(200))

@@ -89,12 +89,12 @@ def test_stride_and_ordinal(spark):
 
 def test_overflow_policies(spark):
     df = spark.createDataFrame([(1, 1, 5, 1.5, 40000, 1e285), (1, 1, 6, 2.0, 7, NAN)], "set_num int, run_num int, time_step int, ID double, k int, v double")
-    rows = shaping.downcast(df).orderBy("time_step").collect()
+    rows = shaping.downcast(df, "checked").orderBy("time_step").collect()
     assert [(r.ID, r.k) for r in rows] == [(None, None), (2, 7)] and rows[0].v == INF
-    assert dict(shaping.downcast(df).dtypes) == {"set_num": "smallint", "run_num": "smallint", "time_step": "smallint", "ID": "bigint", "k": "smallint", "v": "float"}
+    assert dict(shaping.downcast(df, "checked").dtypes) == {"set_num": "smallint", "run_num": "smallint", "time_step": "smallint", "ID": "bigint", "k": "smallint", "v": "float"}
     lost = shaping.reject_counts(df).first()
     assert (lost.ID, lost.k, lost.rows) == (1, 1, 2)
-    assert [r.k for r in shaping.downcast(df, "widen").orderBy("time_step").collect()] == [40000, 7]
+    assert [r.k for r in shaping.downcast(df).orderBy("time_step").collect()] == [40000, 7]
     with pytest.raises(Exception):
         shaping.downcast(df, "strict").collect()
     assert shaping.downcast(df.where("k = 7"), "strict").first().k == 7
@@ -218,3 +218,30 @@ def test_counting_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
     monkeypatch.setattr(joining, "BROADCAST_ROWS", 0)
     far = (distribution.histogram(df, "v", ["g"], 20), distribution.box_stats(df, "v", ["g"]))
     assert [sorted(map(tuple, d.collect())) for d in far] == near
+
+
+def test_bins_are_those_of_numpy(spark):
+    from tickweave.operators.distribution import histogram
+
+    rng = np.random.default_rng(3)
+    cases = {"tenths": np.arange(11) / 10, "cents": rng.integers(0, 5000, 3000) / 100, "whole": rng.integers(-40, 60, 3000).astype(float), "real": rng.normal(size=3000)}
+    df = spark.createDataFrame([(k, float(x)) for k, v in cases.items() for x in v], "k string, v double")
+    for bins in (10, 30, 50):
+        got = {k: [0] * bins for k in cases}
+        for r in histogram(df, "v", ["k"], bins).collect():
+            got[r.k][r.bin] = r.n
+        assert got == {k: np.histogram(v, bins)[0].tolist() for k, v in cases.items()}
+
+
+def test_number_text_of_any_width(spark):
+    df = spark.createDataFrame([("99999999999999999999", "\t7\r\n", "5"), ("1", " 8 ", "x")], "long string, padded string, word string")
+    out = shaping.infer_numeric_strings(df)
+    assert out.dtypes == [("long", "double"), ("padded", "bigint"), ("word", "string")]
+    assert sorted((r.long, r.padded) for r in out.collect()) == [(1.0, 8), (1e20, 7)]
+
+
+def test_joins_of_map_columns(spark):
+    df = spark.range(20).selectExpr("id % 2 AS k", "id", "map('a', id) AS m")
+    small = spark.createDataFrame([(0, "even"), (1, "odd")], "k bigint, word string")
+    assert joining.salted_join(df, small, ["k"]).count() == 20
+    assert sorted(r.p for r in numbering.with_position(df, ["k"], ["id"], name="p").collect()) == sorted(list(range(1, 11)) * 2)

@@ -6,18 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickweave.session import BROADCAST_ROWS, settle
+from tickweave.session import BROADCAST_BYTES, BROADCAST_ROWS, settle
 
 SALTS = 32
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns whose type Spark can hash (all but those that hold maps or variants)."""
+    return [f"`{f.name}`" for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Equi-join that spreads every key of ``big`` over ``salts`` tasks, so one hot key is no straggler.
 
     The salt is a hash of the row, not a random number: a task that runs again after a lost executor
     sends each row to the same place as before.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable(big)), F.lit(salts)))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
@@ -43,7 +48,7 @@ def attach(
     if at_most is None:
         small = settle(small, name)
         at_most = small.count()
-    if at_most <= BROADCAST_ROWS:
+    if at_most <= BROADCAST_ROWS and at_most * small._jdf.schema().defaultSize() <= BROADCAST_BYTES:
         left = big if weight is None else big.withColumn(weight, F.lit(1))
         return left.join(F.broadcast(small), list(on), how)
     left = big if weight is None else big.groupBy(*big.columns).agg(F.count(F.lit(1)).alias(weight))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tickweave.operators.joining import hashable
 from tickweave.session import settle
 
 ID_CHUNK = 65_536
@@ -44,7 +45,7 @@ def with_position(
     run = [F.col(f"_chunk.{k}") for k in keys]
     before = Window.partitionBy(*run).orderBy("_chunk._tick", "_chunk._cut").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_chunk").orderBy(*rest, *tie, F.xxhash64(*df.columns))
+    within = Window.partitionBy("_chunk").orderBy(*rest, *tie, F.xxhash64(*hashable(df)))
     if largest <= HOT_CHUNK:
         placed = rows.join(starts, "_chunk").withColumn(name, F.col("_start") + F.row_number().over(within))
         return placed.select(*df.columns, name)

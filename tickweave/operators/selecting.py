@@ -106,7 +106,7 @@ def strip_outliers(
     return joined.where(c.between(F.col("_q1") - pad, F.col("_q3") + pad)).select(*ens.columns)
 
 
-def cap_points(df: DataFrame, n: int = 5_000_000, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
+def cap_points(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
     """Reproducible uniform sample of exactly min(n, rows) rows.
 
     Rows are ranked by a seeded 64-bit hash of ``key`` and the n smallest are kept. The cut-off is found

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickweave.functions.numeric import bin_edge, bin_index, single
 from tickweave.operators.params import long_params
 from tickweave.operators.quantiles import approx_quantiles, exact_quantiles
 from tickweave.operators.selecting import clip_window
+from tickweave.session import settle
 
 
 def threshold(df: DataFrame, v: str, p: float = 100.0, exact: bool = True) -> float | None:
@@ -86,8 +87,9 @@ def first_order(df: DataFrame, params: DataFrame, v: str, bins: int = 10) -> Dat
         "set_num", "param", bin_index(F.col("x"), F.col("x_min"), F.col("x_max"), bins).alias("x_bin")
     )
     n, m = F.col("n"), F.col("m")
-    whole = Window.partitionBy("param")  # one row per set
-    rows = per_set.join(placed, "set_num").withColumn("mean", F.sum(n * m).over(whole) / F.sum(n).over(whole))
+    rows = settle(per_set, "per-set").join(placed, "set_num")
+    means = rows.groupBy("param").agg((F.sum(n * m) / F.sum(n)).alias("mean"))  # one row per parameter column
+    rows = rows.join(F.broadcast(means), "param")
     mean = F.col("mean")
     per_bin = rows.groupBy("param", "x_bin", "mean").agg(
         F.sum(n).alias("bn"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickweave.functions.names import COORDINATES, ID_NAMES, TICK_NAMES
-from tickweave.functions.numeric import NUMBER_TEXT, WHOLE_NUMBER_TEXT, number_from_text
+from tickweave.functions.numeric import NUMBER_TEXT, WHOLE_NUMBER_TEXT, number_from_text, stripped
 
 MODES = ("checked", "strict", "widen")
 
@@ -68,24 +68,25 @@ def _fit(name: str, t: T.DataType, mode: str) -> Column:
     return c
 
 
-def downcast(df: DataFrame, mode: str = "checked") -> DataFrame:
-    """Integers to 16 bit, floating point to 32 bit, everything else untouched.
+def downcast(df: DataFrame, mode: str = "widen") -> DataFrame:
+    """Floating point to 32 bit and, on request, integers to 16 bit; everything else untouched.
 
-    ``checked`` turns a value that does not fit into null (see :func:`reject_counts`), ``strict`` fails
-    the job, ``widen`` keeps the integer width. Too large floating-point values become infinite.
+    ``widen`` keeps the integer width, ``checked`` turns an integer that does not fit 16 bits into null (see
+    :func:`reject_counts`), ``strict`` fails the job. Too large floating-point values become infinite. An ID with a
+    fraction is null in all modes but ``strict``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     return df.select(*[_fit(f.name, f.dataType, mode).alias(f.name) for f in df.schema.fields])
 
 
-def reject_counts(df: DataFrame, by: Sequence[str] = ("set_num", "run_num")) -> DataFrame:
-    """Per group: how many values of each column ``downcast`` in ``checked`` mode would turn into null."""
+def reject_counts(df: DataFrame, by: Sequence[str] = ("set_num", "run_num"), mode: str = "checked") -> DataFrame:
+    """Per group: how many values of each column ``downcast`` in this mode would turn into null."""
     lost = []
     for f in df.schema.fields:
         if f.name in by or not (isinstance(f.dataType, T.IntegralType) or f.name == "ID"):
             continue
-        bad = F.col(f"`{f.name}`").isNotNull() & _fit(f.name, f.dataType, "checked").isNull()
+        bad = F.col(f"`{f.name}`").isNotNull() & _fit(f.name, f.dataType, "checked" if mode == "strict" else mode).isNull()
         lost.append(F.count_if(bad).alias(f.name))
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *lost)
 
@@ -126,19 +127,19 @@ def infer_numeric_strings(df: DataFrame) -> DataFrame:
     """Text columns in which every non-blank value looks like a number become numeric.
 
     One aggregate over all text columns decides; blanks turn into null and do not stop a promotion,
-    nor do nulls. All-whole columns become bigint, others double.
+    nor do nulls. Columns of whole numbers become bigint if all of them fit 64 bits, all others double.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return df
     checks = []
     for c in texts:
-        t = F.trim(F.col(f"`{c}`"))
+        t = stripped(F.col(f"`{c}`"))
         filled = t != ""
         checks += [
             F.count_if(filled).alias(f"{c}#filled"),
             F.bool_and(F.when(filled, t.rlike(NUMBER_TEXT))).alias(f"{c}#number"),
-            F.bool_and(F.when(filled, t.rlike(WHOLE_NUMBER_TEXT))).alias(f"{c}#whole"),
+            F.bool_and(F.when(filled, t.rlike(WHOLE_NUMBER_TEXT) & t.try_cast("bigint").isNotNull())).alias(f"{c}#whole"),
         ]
     seen = df.agg(*checks).first().asDict()
     cols = []

@@ -16,19 +16,30 @@ from tickweave.sources.feather import read_feather
 from tickweave.sources.footers import schema_manifest, table_files
 from tickweave.sources.params import read_params
 from tickweave.sources.sqlite_db import ingest_sqlite_tree
-from tickweave.sources.tree import read_metric, read_tree
+from tickweave.sources.tree import read_metric, read_tree, tree_rejects
 
 
-def build_checkpoints(spark: SparkSession, root: str, out: str, agents: str, sets=None, runs=None, mode: str = "checked", suffix: bool = False) -> dict[str, str]:
-    """``checkpoint_<agent>.parquet`` for each agent type in a comma list; agents without files are skipped."""
+def build_checkpoints(spark: SparkSession, root: str, out: str, agents: str, sets=None, runs=None, mode: str = "widen", suffix: bool = False) -> dict[str, str]:
+    """``checkpoint_<agent>.parquet`` for each agent type in a comma list; agents without files are skipped.
+
+    Beside each checkpoint, ``rejects_<agent>.parquet`` tells per set and run how many values became null.
+    """
     paths = {}
     for agent in split_list(agents):
         ens = read_tree(spark, root, agent, sets, runs, suffix=suffix, mode=mode)
         if len(ens.columns) > 4 or not ens.isEmpty():
             paths[agent] = write_checkpoint(ens, out, agent)
+            lost = tree_rejects(spark, root, agent, sets, runs, suffix, mode)
+            lost.write.mode("overwrite").parquet(f"{out.rstrip('/')}/rejects_{agent}.parquet")
     return paths
 
 
+def reject_totals(spark: SparkSession, out: str, agent: str) -> dict[str, int]:
+    """Rows of a checkpoint and, per column, the values that became null when it was built."""
+    lost = spark.read.parquet(f"{out.rstrip('/')}/rejects_{agent}.parquet").drop("set_num", "run_num")
+    return lost.agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in lost.columns]).first().asDict()
+
+
 def convert_databases(spark: SparkSession, root: str, out: str, sets=None, runs=None, force: bool = False) -> DataFrame:
     """SQLite tree to ``out/set_<n>/run_<m>/data_<table>.parquet``; returns the tally per status.
 

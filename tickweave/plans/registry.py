@@ -134,14 +134,23 @@ def run_terminal_value(spark, sf):
 # ---- distributions
 
 
+def edge_sql(lo: str, hi: str, i: str, bins: int) -> str:
+    return f"CASE WHEN {i} = {bins} THEN {hi} ELSE {lo} + {i} * (({hi} - {lo}) / {bins}) END"
+
+
+def bin_sql(v: str, lo: str, hi: str, bins: int) -> str:
+    """Bin of a value by comparing it with every inner edge."""
+    return f"len(list_filter(range(1, {bins}), lambda i: {v} >= {lo} + i * (({hi} - {lo}) / {bins})))"
+
+
 def histogram_sql(rows: str, keys: str, v: str, bins: int) -> str:
     on = " AND ".join(f"b.{k} = c.{k}" for k in keys.split(", "))
     of_b = ", ".join(f"b.{k}" for k in keys.split(", "))
     return f"""rows_ AS ({rows}), ends AS (SELECT {keys}, min(CAST({v} AS DOUBLE)) AS a, max(CAST({v} AS DOUBLE)) AS z FROM rows_ GROUP BY {keys}),
   bounds AS (SELECT {keys}, CASE WHEN a = z THEN a - 0.5 ELSE a END AS lo, CASE WHEN a = z THEN z + 0.5 ELSE z END AS hi FROM ends),
-  counts AS (SELECT {of_b}, least(CAST(floor((CAST({v} AS DOUBLE) - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin, count(*) AS n
+  counts AS (SELECT {of_b}, {bin_sql(f"CAST({v} AS DOUBLE)", "lo", "hi", bins)} AS bin, count(*) AS n
     FROM rows_ c JOIN bounds b ON {on} GROUP BY ALL)
-  SELECT {of_b}, g.bin, lo + (hi - lo) * g.bin / {bins} AS bin_lo, lo + (hi - lo) * (g.bin + 1) / {bins} AS bin_hi, coalesce(c.n, 0) AS n
+  SELECT {of_b}, g.bin, {edge_sql("lo", "hi", "g.bin", bins)} AS bin_lo, {edge_sql("lo", "hi", "(g.bin + 1)", bins)} AS bin_hi, coalesce(c.n, 0) AS n
   FROM bounds b CROSS JOIN (SELECT unnest(generate_series(0, {bins - 1})) AS bin) g LEFT JOIN counts c ON {on} AND c.bin = g.bin"""
 
 
@@ -161,6 +170,11 @@ def histogram_of_means(spark, sf):
     return wide(distribution.histogram(means, "x", ["set_num"], 50))
 
 
+@query("WITH " + histogram_sql("SELECT l_linenumber, l_discount FROM lineitem", "l_linenumber", "l_discount", 10))
+def histogram_decimal(spark, sf):
+    return wide(distribution.histogram(table(spark, sf, "lineitem"), "l_discount", ["l_linenumber"], 10))
+
+
 def box_sql(rows: str, keys: str, v: str) -> str:
     on = " AND ".join(f"q.{k} = r.{k}" for k in keys.split(", "))
     return f"""rows_ AS ({rows}), q AS (SELECT {keys}, count(*) AS n, quantile_cont(CAST({v} AS DOUBLE), 0.25) AS q1,
@@ -359,12 +373,11 @@ LONG_PARAMS = " UNION ALL ".join(_single_param(n) for n in ("alpha", "beta", "ga
 
 
 @query(with_ens(
-    """SELECT param, x_bin, least(CAST(floor(CAST(x AS DOUBLE) / top * 500) AS BIGINT), 499) AS y_bin,
-  any_value(lo + (hi - lo) * x_bin / 500) AS x_lo, CAST(CAST(any_value(top * least(CAST(floor(CAST(x AS DOUBLE) / top * 500) AS BIGINT), 499) / 500) AS FLOAT) AS DOUBLE) AS y_lo, count(*) AS n
-  FROM ens JOIN cells USING (set_num), thr WHERE x >= 0 AND CAST(x AS DOUBLE) <= top GROUP BY ALL""",
+    f"""SELECT param, x_bin, y_bin, any_value({edge_sql("lo", "hi", "x_bin", 500)}) AS x_lo, CAST(CAST(any_value({edge_sql("0.0", "top", "y_bin", 500)}) AS FLOAT) AS DOUBLE) AS y_lo, count(*) AS n
+  FROM (SELECT set_num, top, {bin_sql("CAST(x AS DOUBLE)", "0.0", "top", 500)} AS y_bin FROM ens, thr WHERE x >= 0 AND CAST(x AS DOUBLE) <= top) JOIN cells USING (set_num) GROUP BY ALL""",
     params=PARAMS_SQL, long_=LONG_PARAMS, thr="SELECT quantile_cont(CAST(x AS DOUBLE), 0.99) AS top FROM ens",
     ends="SELECT param, min(v) AS lo, max(v) AS hi FROM long_ GROUP BY param",
-    cells="SELECT set_num, param, lo, hi, CASE WHEN lo = hi THEN 499 ELSE least(CAST(floor((v - lo) / (hi - lo) * 500) AS BIGINT), 499) END AS x_bin FROM long_ JOIN ends USING (param)",
+    cells=f"SELECT set_num, param, lo, hi, CASE WHEN lo = hi THEN 499 ELSE {bin_sql('v', 'lo', 'hi', 500)} END AS x_bin FROM long_ JOIN ends USING (param)",
 ))
 def density_2d(spark, sf):
     rows = ens(spark, sf)
@@ -378,7 +391,7 @@ def density_2d(spark, sf):
     (SELECT param, x_bin, avg(CAST(x AS DOUBLE)) OVER (PARTITION BY param, x_bin) AS bin_mean FROM ens JOIN cells USING (set_num))) GROUP BY param, var_pop_of_bins""",
     params=PARAMS_SQL, long_=LONG_PARAMS,
     ends="SELECT param, min(v) AS lo, max(v) AS hi FROM long_ GROUP BY param",
-    cells="SELECT set_num, param, CASE WHEN lo = hi THEN 9 ELSE least(CAST(floor((v - lo) / (hi - lo) * 10) AS BIGINT), 9) END AS x_bin FROM long_ JOIN ends USING (param)",
+    cells=f"SELECT set_num, param, CASE WHEN lo = hi THEN 9 ELSE {bin_sql('v', 'lo', 'hi', 10)} END AS x_bin FROM long_ JOIN ends USING (param)",
 ))
 def sensitivity_first_order(spark, sf):
     return wide(rounded(sensitivity.first_order(ens(spark, sf), params(spark, sf), "x", 10), "s1", places=6))
@@ -535,6 +548,23 @@ def tree_scan_ranges(spark, sf):
     return wide(read_tree(spark, run_tree(spark, sf), "Agent", "2-4", "1-5", mode="widen"))
 
 
+@query(with_ens(f'SELECT {big("set_num", "run_num", "time_step", "ID")}, CAST(part AS BIGINT) + 40000 AS part FROM ens'))
+def tree_scan_default(spark, sf):
+    """Whole numbers beyond 16 bits keep their values without a word about modes."""
+    root = scratch_path(spark, "wide-tree")
+    rows = ens(spark, sf).select("set_num", "run_num", "time_step", "ID", (F.col("part") + 40000).alias("part"))
+    write_run_files(rows, root, "data_Agent.parquet", ["time_step", "ID", "part"])
+    return wide(read_tree(spark, root, "Agent"))
+
+
+@query(with_ens(f'SELECT CAST(set_num AS BIGINT) + 40000 AS set_num, CAST(run_num AS BIGINT) + 70000 AS run_num, {big("time_step", "ID", "part")} FROM ens WHERE set_num <= 3'))
+def large_set_numbers(spark, sf):
+    root = scratch_path(spark, "many-sets")
+    rows = ens(spark, sf).where("set_num <= 3").select((F.col("set_num") + 40000).alias("set_num"), (F.col("run_num") + 70000).alias("run_num"), "time_step", "ID", "part")
+    write_run_files(rows, root, "data_Agent.parquet", ["time_step", "ID", "part"])
+    return wide(read_tree(spark, root, "Agent", "40001-40003"))
+
+
 @query(with_ens(f'SELECT {big("set_num", "run_num")}, pos // 3 + 1 AS time_step, CAST(time_step AS BIGINT) AS tick, {dbl("x", "y")} FROM ({STRIDE_SQL}) WHERE pos % 3 = 0'))
 def metric_scan(spark, sf):
     return wide(read_metric(spark, run_tree(spark, sf), "Agent", ["x", "y"], stride=3))

@@ -69,7 +69,7 @@ def run_analysis(ens: DataFrame, kind: str, spec: Mapping) -> dict[str, DataFram
     """One entry of a hierarchical analysis specification: slice, then summarise at a level.
 
     ``kind`` is timeseries, boxplot, histogram or scatterplot. Variables may be a name or a list; all that
-    are named are analysed, a scatter takes the first two.
+    are named are analysed; a scatter needs two, and ``full`` or ``mean``.
     """
     level, summary = spec["analysis"], spec["summary"]
     names = [n for v in spec["variables"].values() for n in ([v] if isinstance(v, str) else v)]
@@ -77,9 +77,13 @@ def run_analysis(ens: DataFrame, kind: str, spec: Mapping) -> dict[str, DataFram
     if kind == "scatterplot":
         if len(names) < 2:
             raise ValueError("a scatter plot needs two variables")
-        x, y = names[:2]
+        if len(names) > 2:
+            raise ValueError(f"a scatter plot needs two variables, not {names}")
+        x, y = names
         if summary == "full":
             return {f"{x},{y}": analyze(part, [x, y], level, "full")}
+        if summary != "mean":
+            raise ValueError(f"a scatter plot shows full data or means, not {summary!r}")
         return {f"{x},{y}": analyze_xy(part, x, y, level)}
     q = spec.get("quantile_values", {})
     out = {}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Most rows we are willing to ship to every executor. At about 100 bytes a row this is 20 MB.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024  # by the widths Spark assumes for the column types
 
 _fallback_dirs: dict[str, str] = {}
 
@@ -41,12 +42,17 @@ def local_session(cores: int | str = "*", memory: str = "12g", app: str = "tickw
 def scratch_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    is a fresh temporary folder made, once per application.
+    The cluster names it in ``spark.checkpoint.dir``; a folder given to ``setCheckpointDir`` counts too. Only where both
+    are unset and all tasks run on this machine (tests, a laptop) is a fresh temporary folder made, once per application.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback_dirs:
         _fallback_dirs[app] = tempfile.mkdtemp(prefix="tickweave-")

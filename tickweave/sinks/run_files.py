@@ -14,6 +14,9 @@ from tickweave.session import settle
 from tickweave.sinks.tables import codec
 from tickweave.sources.listing import local_path
 
+# rows of a run file that a task holds before it writes them as one row group
+ROW_GROUP_BYTES = 64 * 1024 * 1024
+
 MANIFEST_SCHEMA = "path string, set_num int, run_num int, n_rows bigint, status string"
 MANIFEST_ARROW = pa.schema(
     [("path", pa.string()), ("set_num", pa.int32()), ("run_num", pa.int32()), ("n_rows", pa.int64()), ("status", pa.string())]
@@ -40,9 +43,9 @@ def write_run_files(
     """One Parquet file per (set, run), rows in ``order``; returns one row per file with its status.
 
     The layout demands one file per run, so a run is written by one task; rows pass through it in Arrow
-    batches and are never held together. With ``ticks_per_file`` (``order[0]`` is the tick) a run becomes
+    batches, which are gathered to row groups of bounded size. With ``ticks_per_file`` (``order[0]`` is the tick) a run becomes
     several files ``<piece>_<file_name>``, written by different tasks; ``read_tree`` takes them together.
-    A file that is already there is SKIPPED unless ``force``.
+    A file that is already there is SKIPPED unless ``force``. Rows without a set or run number go to ``set_None`` or ``run_None``.
     """
     columns = [c for c in df.columns if c not in ("set_num", "run_num")]
     piece = F.lit(0) if ticks_per_file is None else F.floor(F.col(order[0]) / F.lit(ticks_per_file))
@@ -63,10 +66,22 @@ def write_run_files(
         count, draft, final = 0, "", ""
         done: list[tuple] = []
 
+        held: list[pa.RecordBatch] = []
+
+        def equals(column: pa.Array, value) -> pa.Array:
+            return pc.is_null(column) if value is None else pc.fill_null(pc.equal(column, value), False)
+
+        def flush(least: int = 0):
+            if held and sum(b.nbytes for b in held) >= least:
+                rows = pa.Table.from_batches(held, schema=schema)
+                writer.write_table(rows, row_group_size=rows.num_rows)
+                held.clear()
+
         def finish():
             if here is None:
                 return
             if writer is not None:
+                flush()
                 writer.close()
                 system.move(draft, final)
             done.append((final, *here[:2], count, "CONVERTED" if writer is not None else "SKIPPED"))
@@ -76,8 +91,8 @@ def write_run_files(
             start = 0
             while start < batch.num_rows:
                 cell = (s[start].as_py(), r[start].as_py(), k[start].as_py())
-                same = pc.and_(pc.equal(s.slice(start), cell[0]), pc.equal(r.slice(start), cell[1]))
-                same = pc.and_(same, pc.equal(k.slice(start), cell[2]))
+                same = pc.and_(equals(s.slice(start), cell[0]), equals(r.slice(start), cell[1]))
+                same = pc.and_(same, equals(k.slice(start), cell[2]))
                 stop = pc.index(same, False).as_py()
                 stop = batch.num_rows if stop < 0 else start + stop
                 if cell != here:
@@ -91,7 +106,8 @@ def write_run_files(
                     writer = None if taken else pq.ParquetWriter(draft, schema, filesystem=system, compression=squeeze)
                 if writer is not None:
                     part = batch.slice(start, stop - start)
-                    writer.write_batch(pa.RecordBatch.from_arrays([part.column(c).cast(schema.field(c).type) for c in columns], schema=schema))
+                    held.append(pa.RecordBatch.from_arrays([part.column(c).cast(schema.field(c).type) for c in columns], schema=schema))
+                    flush(ROW_GROUP_BYTES)
                 count += stop - start
                 start = stop
         finish()

@@ -73,12 +73,13 @@ def write_metric_checkpoints(
 def compact(df: DataFrame, out: str, rows: int = 5_000_000, compression: str = "snappy", mode: str = "overwrite") -> str:
     """Rewrite many small pieces as files of about ``rows`` rows with one large row group each.
 
-    The rows are counted first (a metadata read for Parquet input), then spread evenly; the split is by a
-    hash of the row, which gives the same files when a task runs again.
+    The rows are counted first (a metadata read for Parquet input), then spread evenly. Tables with coordinates are
+    in their order, from file to file too; other tables keep no order, however small.
     """
     n = df.count()
     parts = max(1, -(-n // rows))
-    even = df.repartition(parts, F.xxhash64(*df.columns)) if parts > 1 else df.coalesce(1)
+    keys = coordinate_columns(df)
+    even = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys) if keys else df.repartition(parts)
     (
         even.write.mode(mode)
         .option("compression", codec(compression))

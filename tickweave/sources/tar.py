@@ -92,7 +92,7 @@ def _row_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_tar_tree(
-    spark: SparkSession, path: str | list[str], target: str, sets=(1, 513), runs=(1, 1000), schema: StructType | None = None
+    spark: SparkSession, path: str | list[str], target: str, sets=None, runs=None, schema: StructType | None = None
 ) -> DataFrame:
     """Rows of ``.../set_<i>/run_<j>/<target>`` members with ``set_num`` and ``run_num`` in front.
 

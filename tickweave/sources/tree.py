@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickweave.functions.names import TICK_NAMES, in_bounds, parse_range, token_regex
-from tickweave.operators.shaping import canonicalize, coordinate_columns, downcast, resolve_roles, union_runs
+from tickweave.operators.shaping import canonicalize, coordinate_columns, downcast, reject_counts, resolve_roles, union_runs
 from tickweave.sources.footers import footers
 from tickweave.session import settle
 from tickweave.sources.listing import RUN_FILE, children, list_files, part_of_path, run_of_path, set_folders, set_of_path, tree_roots
 
-EMPTY = "set_num smallint, run_num smallint, time_step smallint, ID bigint"
+EMPTY = "set_num int, run_num int, time_step int, ID bigint"
 
 
 def _path() -> Column:
@@ -122,8 +123,8 @@ def _scan(spark: SparkSession, paths: list[str], schema: str | None) -> DataFram
     """Rows with coordinates from the path and ``_row``, the place in the file, from the Parquet reader."""
     df = (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
     return df.select(
-        set_of_path(_path()).cast("smallint").alias("set_num"),
-        run_of_path(_path()).cast("smallint").alias("run_num"),
+        set_of_path(_path()).alias("set_num"),
+        run_of_path(_path()).alias("run_num"),
         *[F.col(f"`{c}`") for c in df.columns if c not in ("set_num", "run_num")],
         F.col("_metadata.row_index").alias("_row"),
         _path().alias("_file"),
@@ -147,7 +148,7 @@ def _glob_scan(spark: SparkSession, root: str, glob: str, sets, runs, schema: st
 
 
 def read_tree(
-    spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "checked",
+    spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen",
     schema: str | T.StructType | None = None,
 ) -> DataFrame:
     """All runs of one agent type as one canonical table.
@@ -156,26 +157,40 @@ def read_tree(
     it. Footers decide how the files are read: usually one scan in the merged schema; files with other
     role names or clashing types get scans of their own, united by name after the casts. Files without a
     tick column or without rows are skipped. ``schema`` promises a schema and saves reading the footers.
-    No match gives a warning and an empty table.
+    No match gives a warning and an empty table. ``mode`` is that of :func:`downcast`.
     """
+    parts = _canonical_parts(spark, root, agent, sets, runs, suffix, schema, lambda rows: downcast(rows, mode))
+    return union_runs(*parts) if parts else _empty(spark, f"*{agent}.parquet in {root}")
+
+
+def tree_rejects(spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen") -> DataFrame:
+    """Per set and run: rows, and how many values of each column :func:`read_tree` turns into null in this mode."""
+    parts = _canonical_parts(spark, root, agent, sets, runs, suffix, None, lambda rows: reject_counts(rows, mode=mode))
+    if not parts:
+        return spark.createDataFrame([], "set_num int, run_num int, rows bigint")
+    lost = union_runs(*parts)
+    return lost.fillna(0, [c for c in lost.columns if c not in ("set_num", "run_num")])
+
+
+def _canonical_parts(spark, root, agent, sets, runs, suffix, schema, shape: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    """``shape`` applied to the canonical rows of each group of files that one scan reads."""
     glob, token = f"*{agent}.parquet", None if suffix else agent
 
     def canonical(rows: DataFrame) -> DataFrame:
-        plain = canonicalize(rows.drop("_file"), F.col("_row")).drop("_row")
-        return downcast(plain, mode)
+        return shape(canonicalize(rows.drop("_file"), F.col("_row")).drop("_row"))
 
     files = tree_files(spark, root, glob, sets, runs)
     if token is not None:
         files = files.where(F.regexp_replace(part_of_path(F.col("path"), 1), r"\.parquet$", "").rlike(token_regex(agent)))
     if schema is not None and not files.isEmpty():
         text = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        return canonical(_glob_scan(spark, root, glob, sets, runs, text, token))
+        return [canonical(_glob_scan(spark, root, glob, sets, runs, text, token))]
     scan = plan_scan(files) if schema is None else None
     if scan is None or not scan.groups:
-        return _empty(spark, f"{glob} in {root}")
+        return []
     if scan.whole:
-        return canonical(_glob_scan(spark, root, glob, sets, runs, scan.groups[0].schema, token))
-    return union_runs(*[canonical(_scan(spark, scan.paths(g), g.schema)) for g in scan.groups])
+        return [canonical(_glob_scan(spark, root, glob, sets, runs, scan.groups[0].schema, token))]
+    return [canonical(_scan(spark, scan.paths(g), g.schema)) for g in scan.groups]
 
 
 def read_metric(
@@ -194,7 +209,7 @@ def read_metric(
     scan = plan_scan(tree_files(spark, root, glob, sets, runs), metrics)
     if not scan.groups:
         _empty(spark, f"{glob} with {metrics} in {root}")
-        cols = "set_num smallint, run_num smallint, time_step int, tick bigint, " + ", ".join(f"`{m}` float" for m in metrics)
+        cols = "set_num int, run_num int, time_step int, tick bigint, " + ", ".join(f"`{m}` float" for m in metrics)
         return spark.createDataFrame([], cols)
     parts = []
     for g in scan.groups:
@@ -236,6 +251,9 @@ def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, folder: str, agent: str, schema: T.StructType | None = None) -> DataFrame:
-    """Per-tick files ``<agent>_<tick>.parquet`` as one table; the tick is a column of the files."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    """Per-tick files ``<agent>_<tick>.parquet`` as one table; the tick is a column of the files.
+
+    Columns of any file appear; they are null where a file lacks them.
+    """
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{folder.rstrip('/')}/{agent}_[0-9]*.parquet")

@@ -14,13 +14,13 @@ from tickweave.operators.shaping import canonicalize, downcast
 from tickweave.sources.listing import run_of_path, set_of_path
 
 
-def stream_tree(spark: SparkSession, glob: str, schema: StructType | str, mode: str = "checked", max_files: int = 5_000) -> DataFrame:
+def stream_tree(spark: SparkSession, glob: str, schema: StructType | str, mode: str = "widen", max_files: int = 5_000) -> DataFrame:
     """Canonical rows of the run files matching ``glob``, as a stream; coordinates come from the path."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(glob)
     path = F.col("_metadata.file_path")
     own = [F.col(f"`{c}`") for c in rows.columns if c not in ("set_num", "run_num")]
     rows = rows.select(
-        set_of_path(path).cast("smallint").alias("set_num"), run_of_path(path).cast("smallint").alias("run_num"), *own,
+        set_of_path(path).alias("set_num"), run_of_path(path).alias("run_num"), *own,
         F.col("_metadata.row_index").alias("_row"),
     )
     return downcast(canonicalize(rows, F.col("_row")).drop("_row"), mode)
