@@ -90,8 +90,7 @@ def _with_repeats(df: DataFrame, c: dict[str, str], size: int = WINDOW) -> DataF
     w, n = F.col(c["words"]), F.size(c["words"])
     hashes = F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)])))
     df = df.withColumn(c["hashes"], hashes)
-    df = df.withColumn(c["ordered"], F.sort_array(c["hashes"]))
-    df = df.withColumn(c["twice"], F.size(F.filter(c["ordered"], lambda x, i: (i > 0) & (x == F.get(c["ordered"], i - 1)))) > 0)
+    df = df.withColumn(c["twice"], F.size(F.array_distinct(c["hashes"])) < F.size(c["hashes"]))
     # only texts with a repeated window are looked at more closely
     df = df.withColumn(c["pairs"], F.when(F.col(c["twice"]), F.sort_array(F.transform(c["hashes"], lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
     same = lambda p, j: F.coalesce(F.get(c["pairs"], j)["h"] == p["h"], F.lit(False))
@@ -101,7 +100,7 @@ def _with_repeats(df: DataFrame, c: dict[str, str], size: int = WINDOW) -> DataF
 
 
 def _names(df: DataFrame) -> dict[str, str]:
-    parts = ("lang", "words", "classes", "wanted", "hits", "common", "hashes", "ordered", "twice", "pairs", "starts", "repeats", "text",
+    parts = ("lang", "words", "classes", "wanted", "hits", "common", "hashes", "twice", "pairs", "starts", "repeats", "text",
              "ref_lang", "ref_class", "ref_common", "share_class", "share_common", "d_class", "d_common", "n", "failed", "kept")
     return {k: fresh(df, f"quality_{k}") for k in parts}
 
