@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.names import first_number, has_token, label_number, number_of, parse_range, trailing_number
 from tickweave.functions.ticks import Ticks, axis, iterations, selected
-from tickweave.operators import joining, numbering, params, quantiles, selecting, shaping
+from tickweave.operators import joining, levels, numbering, params, quantiles, selecting, shaping
 
 INF, NAN = float("inf"), float("nan")
 
@@ -65,10 +65,7 @@ def test_bucket_is_monotone(spark):
     assert b == sorted(b)
 
 
-@pytest.mark.parametrize("hot", [5_000_000, 10])
-def test_positions_match_row_number(spark, monkeypatch, hot):
-    monkeypatch.setattr(numbering, "HOT_CHUNK", hot)
-    monkeypatch.setattr(numbering, "ID_CHUNK", 16)
+def test_positions_match_row_number(spark):
     rows = [(1, t, a) for t in range(5) for a in range(100)] + [(2, 1, 5)] * 40 + [(3, -7, 1), (3, -6, -20), (3, -6, 3), (3, -6, None), (3, None, 4)]
     df = spark.createDataFrame(rows, "g int, t int, a bigint")
     got = numbering.with_position(df, ["g"], ["t", "a"]).collect()
@@ -79,6 +76,34 @@ def test_positions_match_row_number(spark, monkeypatch, hot):
         assert [m[1:] for m in mine] == sorted((low if t is None else t, low if a is None else a) for gg, t, a in rows if gg == g)
 
 
+def test_positions_spread_one_run(spark):
+    """One run at one tick, with text names or nothing but copies, is dealt over several tasks of like size."""
+    named = spark.range(20_000).select(F.lit(1).alias("g"), F.lit(3).alias("t"), F.sha2(F.col("id").cast("string"), 256).alias("a"), F.create_map(F.lit("k"), "id").alias("m"))
+    copies = spark.range(20_000).select(F.lit(1).alias("g"), F.lit(3).alias("t"), F.lit("x").alias("a"))
+    for df in (named, copies):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else such small data are one range
+        try:
+            sizes = [r["count"] for r in numbering.ranged(df, ["g", "t", "a"]).groupBy("_part").count().collect()]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert len(sizes) > 1 and max(sizes) < 10_000
+        got = numbering.with_position(df, ["g"], ["t", "a"])
+        assert got.columns == [*df.columns, "position"]
+        rows = sorted((r.position, r.a) for r in got.collect())
+        assert [p for p, _ in rows] == list(range(1, 20_001)) and [a for _, a in rows] == sorted(a for _, a in rows)
+    assert numbering.with_position(named.limit(0), ["g"], ["t", "a"]).count() == 0
+
+
+def test_levels_roll_up(spark):
+    rows = [(1, 1, 1, 1, 2), (1, 1, 1, 1, 4), (1, 1, 1, 2, None), (1, 2, 1, 1, 9), (None, 2, 1, 1, 5), (2, 1, 7, 1, None)]
+    df = spark.createDataFrame(rows, "set_num int, run_num int, time_step int, ID int, v int")
+    got = levels.analyze_all(df, "v")
+    for level, keys in levels.LEVELS.items():
+        mine = {tuple(r[k] for k in keys): (r.mean_val, r.n) for r in got.where(F.col("level") == level).collect()}
+        assert mine == {tuple(r[k] for k in keys): (r.m, r.n) for r in df.groupBy(*keys).agg(F.avg("v").alias("m"), F.count("v").alias("n")).collect()}
+    assert "Expand" not in got._jdf.queryExecution().toString()
+
+
 def test_stride_and_ordinal(spark):
     df = spark.range(1, 1001).select(F.lit(1).alias("set_num"), F.lit(1).alias("run_num"), F.col("id").cast("int").alias("time_step"))
     rows = selecting.strided(df, 10).orderBy("ordinal").collect()

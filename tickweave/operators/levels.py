@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -54,27 +55,21 @@ def analyze(
 
 
 def analyze_all(ens: DataFrame, v: str) -> DataFrame:
-    """Means of all four levels in one pass, as grouping sets, with the level's name.
+    """Means (doubles) of all four levels with the level's name.
 
-    Every level but the finest shrinks to few rows before the shuffle (partial aggregation).
+    Rows are added up once, per agent; each coarser level adds up the sums and counts of the finer one, so no row is
+    copied per level and the scan happens once (the levels share the exchange).
     """
     require_columns(ens, v)
-    cols = list(LEVELS["agent"])
-    sets = [[F.col(c) for c in keys] for keys in LEVELS.values()]
-    rolled = ens.groupingSets(sets, *cols).agg(
-        F.avg(v).alias("mean_val"),
-        F.count(v).alias("n"),
-        F.grouping("ID").alias("_no_id"),
-        F.grouping("run_num").alias("_no_run"),
-        F.grouping("set_num").alias("_no_set"),
-    )
-    level = (
-        F.when(F.col("_no_set") == 1, "multiple_set")
-        .when(F.col("_no_run") == 1, "multiple_batch")
-        .when(F.col("_no_id") == 1, "multiple_run")
-        .otherwise("agent")
-    )
-    return rolled.select(level.alias("level"), *cols, "mean_val", "n")
+    cols = LEVELS["agent"]
+    sums = ens.groupBy(*cols).agg(F.sum(F.col(v).cast("double")).alias("_sum"), F.count(v).alias("n"))
+    parts = []
+    for level, keys in LEVELS.items():
+        if level != "agent":
+            sums = sums.groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.sum("n").alias("n"))
+        shown = [F.col(c) if c in keys else F.lit(None).cast(ens.schema[c].dataType).alias(c) for c in cols]
+        parts.append(sums.select(F.lit(level).alias("level"), *shown, F.try_divide("_sum", "n").alias("mean_val"), "n"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def analyze_xy(ens: DataFrame, x: str, y: str, level: str) -> DataFrame:

@@ -1,58 +1,44 @@
 """Row positions inside a run without pulling the run into one task.
 
-A plain ``row_number() over (partition by run)`` sorts a whole run in one task. Here a run is cut into
-chunks by tick and by high bits of the agent ID, both monotone in the sort order. Chunk sizes come from
-one partial aggregate; their running total gives each chunk its first position; ``row_number`` only
-runs inside a chunk.
+A plain ``row_number() over (partition by run)`` sorts a whole run in one task. Here rows are dealt by ranges of the full
+sort order into partitions of about equal size and written once, so the ranges stay as they are. Counts per run and
+partition give each piece of a run its first position, and ``row_number`` only runs inside a piece. The spread follows the
+data: text, hashed or sparse agent IDs, a single tick or one hot run make no difference.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickweave.operators.joining import hashable
 from tickweave.session import settle
 
-ID_CHUNK = 65_536
-HOT_CHUNK = 5_000_000  # rows of one chunk above which copies are folded first
 
+def ranged(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ranges of ``by``, with ``_part``, a number that grows with the range; written once.
 
-def _cut(df: DataFrame, col: str) -> Column:
-    """Monotone chunk number of an ordering column."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(col) / F.lit(ID_CHUNK)).cast("bigint")
-    return F.lit(0).cast("bigint")
+    ``_whole`` orders rows that ``by`` leaves equal. Copies of one row differ in ``_copy`` only, so that many of them are
+    spread over several ranges too; which copy comes first makes no difference.
+    """
+    rows = df.withColumns({"_whole": F.xxhash64(*hashable(df)), "_copy": F.monotonically_increasing_id()})
+    return settle(rows.repartitionByRange(*by, "_whole", "_copy").withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def with_position(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], tie: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
-    """Adds 1..n per ``keys`` in the order of ``order`` then ``tie``. ``order[0]`` is the tick.
-
-    One shuffle of the rows, on (keys, tick, chunk of the second order column). The chunk sizes are
-    counted first; if a chunk is huge, which for unique coordinates only copies of one row can cause,
-    equal rows are folded into one with a count before they are shuffled and unfolded afterwards.
-    """
-    tick, *rest = order
-    cut = _cut(df, rest[0]) if rest else F.lit(0).cast("bigint")
+    """Adds 1..n per ``keys`` in the order of ``order`` then ``tie``; null keys make a run of their own."""
+    rows = ranged(df, [*keys, *order, *tie])
     # one struct as join key: unlike separate columns it also matches where a part is null
-    rows = df.withColumn("_chunk", F.struct(*keys, F.col(tick).alias("_tick"), cut.alias("_cut")))
-    sizes = settle(rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_size")), "chunk-sizes")
-    largest = sizes.agg(F.max("_size")).first()[0] or 0
-    run = [F.col(f"_chunk.{k}") for k in keys]
-    before = Window.partitionBy(*run).orderBy("_chunk._tick", "_chunk._cut").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_chunk").orderBy(*rest, *tie, F.xxhash64(*hashable(df)))
-    if largest <= HOT_CHUNK:
-        placed = rows.join(starts, "_chunk").withColumn(name, F.col("_start") + F.row_number().over(within))
-        return placed.select(*df.columns, name)
-    folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    last = F.col("_start") + F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    placed = folded.join(starts, "_chunk").withColumn("_last", last)
-    return placed.select(*df.columns, F.explode(F.sequence(F.col("_last") - F.col("_copies") + 1, F.col("_last"))).alias(name))
+    rows = rows.withColumn("_piece", F.struct(*keys, "_part"))
+    sizes = rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_size"))  # at most one row per run and one per partition
+    before = Window.partitionBy(*[F.col(f"_piece.{k}") for k in keys]).orderBy("_piece._part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_piece").orderBy(*order, *tie, "_whole", "_copy")
+    placed = rows.join(starts, "_piece").withColumn(name, F.col("_start") + F.row_number().over(within))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def with_label_position(df: DataFrame, keys: Sequence[str], label: str, name: str = "position") -> DataFrame:
@@ -60,13 +46,5 @@ def with_label_position(df: DataFrame, keys: Sequence[str], label: str, name: st
 
     Rows without a label or key have no place.
     """
-    labels = df.select(*keys, label).dropna().distinct().withColumn("_cut", _cut(df, label))
-    sizes = labels.groupBy(*keys, "_cut").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_cut", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*keys, "_cut").orderBy(label)
-    return (
-        labels.join(starts, [*keys, "_cut"])
-        .withColumn(name, F.col("_start") + F.row_number().over(within) - 1)
-        .select(*keys, label, name)
-    )
+    labels = df.select(*keys, label).dropna().distinct()
+    return with_position(labels, keys, [label], name=name).withColumn(name, F.col(name) - 1)

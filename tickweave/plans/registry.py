@@ -302,6 +302,14 @@ def stride_ordinal(spark, sf):
     return wide(selecting.strided(ens(spark, sf), 5, tie=TIE))
 
 
+@query("""SELECT event_type, user_id, props, event_id, pos // 7 + 1 AS ordinal FROM
+  (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY props NULLS FIRST, event_id) - 1 AS pos FROM events) WHERE pos % 7 = 0""")
+def stride_text_id(spark, sf):
+    """Positions under a text order, with few and hot groups."""
+    rows = table(spark, sf, "events").select("event_type", "user_id", "props", "event_id")
+    return wide(selecting.strided(rows, 7, ["event_type"], ["props", "event_id"]))
+
+
 @query(with_ens(f'SELECT {big("set_num", "run_num", "time_step", "part")}, {dbl("x", "y", "price")}, pos AS "ID" FROM ({STRIDE_SQL.replace(chr(34) + "ID" + chr(34) + ", ", "")})'))
 def surrogate_id(spark, sf):
     rows = ens(spark, sf).drop("ID")
@@ -315,14 +323,26 @@ def percentile_clip(spark, sf):
     return wide(selecting.clip_window(rows, "x", sensitivity.threshold(rows, "x", 95)))
 
 
-@query()
+@query(with_ens("SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS in_source, least(5000, count(*)) AS drawn_again FROM ens"))
 def capped_points(spark, sf):
-    return wide(selecting.cap_points(ens(spark, sf), 5_000))
+    """The sample's size, how many of its rows the table has (copies counted), and how many another draw brings again."""
+    rows = ens(spark, sf)
+    one, two = selecting.cap_points(rows, 5_000), selecting.cap_points(rows, 5_000)
+    size = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return size(one, "n").join(size(one.intersectAll(rows), "in_source")).join(size(one.intersectAll(two), "drawn_again"))
 
 
-@query()
+@query(with_ens("SELECT CAST(set_num AS BIGINT) AS set_num, count(x) AS n, p, true AS within FROM ens, (SELECT unnest([0.2, 0.5, 0.8])::DOUBLE AS p) GROUP BY ALL"))
 def quantiles_approximate(spark, sf):
-    return wide(quantiles.approx_quantiles(ens(spark, sf), "x", {"q_lo": 0.2, "q_mid": 0.5, "q_hi": 0.8}, ["set_num"]))
+    """Whether the ranks of each picked value, counted over all rows, are as near to the wanted one as promised."""
+    rows, probs, accuracy = ens(spark, sf), [0.2, 0.5, 0.8], 1_000
+    picked = quantiles.approx_quantiles(rows, "x", {f"q{i}": p for i, p in enumerate(probs)}, ["set_num"], accuracy)
+    v = F.col("x").cast("double")
+    ranks = [F.count_if(c).alias(f"{n}{i}") for i in range(len(probs)) for n, c in (("below", v < F.col(f"q{i}")), ("upto", v <= F.col(f"q{i}")))]
+    counted = rows.join(picked, "set_num").groupBy("set_num", "n").agg(*ranks)
+    room = F.col("n") / accuracy + 1
+    each = [F.struct(F.lit(p).alias("p"), ((F.col(f"below{i}") <= p * F.col("n") + room) & (F.col(f"upto{i}") >= p * F.col("n") - room)).alias("within")) for i, p in enumerate(probs)]
+    return wide(counted.select("set_num", "n", F.inline(F.array(*each))))
 
 
 @query("SELECT count(*) AS n, count(customer_value) AS kept, round(sum(CASE WHEN customer_value IS NOT NULL THEN customer_value END), 2) AS total FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS customer_value FROM orders) WHERE customer_value IS NOT NULL")
@@ -557,6 +577,22 @@ def tree_scan_default(spark, sf):
     return wide(read_tree(spark, root, "Agent"))
 
 
+@query("""SELECT o_orderkey % 3 + 1 AS set_num, o_custkey % 2 + 1 AS run_num, o_orderkey % 11 AS time_step, o_orderkey AS "ID", strftime(o_orderdate, '%Y-%m-%d') AS day,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed, CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) AS cost, [o_orderstatus, o_orderpriority][2] AS tag FROM orders""")
+def tree_scan_types(spark, sf):
+    """Dates, local times, decimals and lists in run files pass as they are."""
+    root, key = scratch_path(spark, "typed-tree"), F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(
+        (key % 3 + 1).cast("int").alias("set_num"), (F.col("o_custkey") % 2 + 1).cast("int").alias("run_num"), (key % 11).alias("time_step"), key.alias("ID"),
+        F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderdate").alias("placed"), F.col("o_totalprice").cast("decimal(15,2)").alias("cost"),
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    )
+    write_run_files(rows, root, "data_Order.parquet", ["time_step", "ID"])
+    back = read_tree(spark, root, "Order")
+    shown = [F.date_format("day", "yyyy-MM-dd").alias("day"), F.date_format("placed", "yyyy-MM-dd HH:mm:ss").alias("placed"), F.col("cost").cast("string").alias("cost"), F.get("tags", F.lit(1)).alias("tag")]
+    return wide(back.select("set_num", "run_num", "time_step", "ID", *shown))
+
+
 @query(with_ens(f'SELECT CAST(set_num AS BIGINT) + 40000 AS set_num, CAST(run_num AS BIGINT) + 70000 AS run_num, {big("time_step", "ID", "part")} FROM ens WHERE set_num <= 3'))
 def large_set_numbers(spark, sf):
     root = scratch_path(spark, "many-sets")

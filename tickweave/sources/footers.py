@@ -10,11 +10,29 @@ from pyspark.sql import DataFrame, functions as F
 from tickweave.functions.names import in_bounds, parse_range, table_of_file
 from tickweave.sources.listing import RUN_FILE, list_files, open_input, part_of_path, run_of_path, set_of_path, tree_roots
 
-FOOTER_SCHEMA = "path string, n_rows bigint, position int, variable string, type string"
+FOOTER_SCHEMA = "path string, n_rows bigint, position int, variable string, type string, spark_type string"
 FILES_PER_TASK = 500
 HIDDEN = ("_ITERATION_NO",)  # fixed value: the iteration index is not a variable
 
 
+def spark_type(kind) -> str:
+    """Type in which Spark's Parquet reader reads a column that Arrow calls ``kind``; Arrow's name if there is none."""
+    from pyarrow import types
+    from pyspark.errors import PySparkTypeError
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    if types.is_dictionary(kind):
+        kind = kind.value_type
+    if types.is_unsigned_integer(kind):
+        return {8: "smallint", 16: "int", 32: "bigint", 64: "decimal(20,0)"}[kind.bit_width]
+    # without a zone: local times, except for the old 96-bit layout, which Arrow shows in nanoseconds
+    local = types.is_timestamp(kind) and kind.unit != "ns"
+    try:
+        return from_arrow_type(kind, prefer_timestamp_ntz=local).simpleString()
+    except PySparkTypeError:
+        return str(kind)
+
+
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
 
@@ -24,8 +42,8 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with open_input(path) as f:
                 meta = pq.ParquetFile(f)
                 rows = meta.metadata.num_rows
-                out += [(path, rows, i, c.name, str(c.type)) for i, c in enumerate(meta.schema_arrow)]
-        yield pd.DataFrame(out, columns=["path", "n_rows", "position", "variable", "type"])
+                out += [(path, rows, i, c.name, str(c.type), spark_type(c.type)) for i, c in enumerate(meta.schema_arrow)]
+        yield pd.DataFrame(out, columns=["path", "n_rows", "position", "variable", "type", "spark_type"])
 
 
 def footers(files: DataFrame, n_files: int | None = None) -> DataFrame:

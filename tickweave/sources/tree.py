@@ -28,12 +28,6 @@ def tree_files(spark: SparkSession, root: str, glob: str, sets=None, runs=None)
     return files.where(in_bounds("run_num", parse_range(runs)))
 
 
-# Arrow type names and the Spark types that read them.
-SPARK_TYPES = {
-    "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint",
-    "float": "float", "double": "double",
-    "string": "string", "large_string": "string", "bool": "boolean",
-}
 INT_ORDER = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -94,7 +88,7 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None) -> TreeScan:
     cols = footers(files).where(F.col("n_rows") > 0)
     if wanted is not None:
         cols = cols.where(F.col("variable").isin(*wanted, *TICK_NAMES))
-    line = F.concat_ws("\t", F.col("variable"), F.col("type"))
+    line = F.concat_ws("\t", F.col("variable"), F.col("spark_type"))
     per_file = cols.groupBy("path").agg(
         F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct(F.col("position"), line.alias("line")))), lambda s: s["line"])).alias("signature")
     )
@@ -107,7 +101,6 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None) -> TreeScan:
         if (wanted is None and roles.tick is None) or (wanted is not None and not set(wanted) <= set(kinds)):
             skipped = True
             continue
-        kinds = {n: SPARK_TYPES.get(t, t) for n, t in kinds.items()}
         who = (roles.tick, roles.agent if wanted is None else None)
         if not any(g.roles == who and g.try_add(kinds, row["signature"]) for g in groups):
             groups.append(FileGroup(who, kinds, [row["signature"]]))
