@@ -51,6 +51,23 @@ def test_quantile_salted_path_equals_broadcast_path(spark, monkeypatch):
     assert {r.g: tuple(r) for r in quantiles.exact_quantiles(df, "v", probs, ["g"]).collect()} == want
 
 
+@pytest.mark.parametrize("values", ["1.7e15D + id", "2147483647 - id", "CASE WHEN id < 60000 THEN 5.0D ELSE 5.0D + id * 1e-12D END"])
+def test_quantile_brackets_stay_small(spark, monkeypatch, values):
+    """Many distinct values in one bucket: doubles within one single-precision value, large integers, and a hot value among near ones."""
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
+    monkeypatch.setattr(quantiles, "BRACKET", 1_000)
+    seen = []
+    settle = quantiles.settle
+    monkeypatch.setattr(quantiles, "settle", lambda df, name: seen.append(settle(df, name)) or seen[-1])
+    df = spark.range(100_000).selectExpr("CAST(id % 2 AS int) AS g", f"{values} AS v")
+    got = quantiles.exact_quantiles(df, "v", {"a": 0.01, "m": 0.5, "z": 0.999}, ["g"]).collect()
+    raw = df.toPandas()
+    for r in got:
+        assert [r.a, r.m, r.z] == pytest.approx(list(np.percentile(raw[raw.g == r.g].v, [1, 50, 99.9])), rel=1e-15)
+    last = seen[-1].where("_lo < _hi").agg(F.max("_n")).first()[0]
+    assert len(got) == 2 and (last or 0) <= 1_000 and len(seen) > 1
+
+
 def test_infinities_and_nan(spark, both_ways):
     df = spark.createDataFrame([(v,) for v in (1.0, -INF, INF, NAN, None, 2.0)], "v double")
     got = quantiles.exact_quantiles(df, "v", {"lo": 0.0, "hi": 1.0}).first()

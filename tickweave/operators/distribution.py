@@ -62,7 +62,7 @@ def _with_fences(
     df: DataFrame, v: str, by: Sequence[str], reach: float, at_most_groups: int | None, weight: str | None = None
 ) -> DataFrame:
     c = F.col(v).cast("double")
-    q = exact_quantiles(df, v, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, at_most_groups)
+    q = exact_quantiles(df, v, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     pad = (F.col("q3") - F.col("q1")) * F.lit(reach)
     q = q.withColumn("_low", F.col("q1") - pad).withColumn("_high", F.col("q3") + pad)
     rows = df.where(c.isNotNull() & ~F.isnan(c)).select(*by, c.alias("_v"))

@@ -3,8 +3,9 @@
 Spark's ``percentile`` keeps every distinct value of a group in one task, which is fine for small groups
 only. So the largest group is counted first. If it is small, each group's values are sorted as one array.
 If not, the first pass counts rows per (group, bucket of magnitude), where buckets are fixed and ordered;
-cumulative counts tell which one or two buckets hold a wanted rank, and the next pass looks at the rows of
-those buckets only (double columns take one more pass, narrowing to one single-precision value).
+cumulative counts tell which one or two buckets hold a wanted rank. Such a bracket, known by its least and greatest value,
+is divided into equal parts and counted again as long as it has many rows and more than one value, which bounds the last
+window for integers and doubles of any spread; most data need no division.
 The result equals linear interpolation between order statistics (numpy's default) either way.
 """
 
@@ -12,15 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickweave.operators.joining import attach
+from tickweave.session import settle
 
 SMALL_GROUP = 100_000  # rows of a group whose values may be held as one array
 
-# Buckets per factor of two. Single-precision values then fall into at most 8,900 buckets of at most
-# 524,288 distinct values each, which bounds every window below.
-_PER_OCTAVE = 16
+BRACKET = 500_000  # rows of a bracket whose values one window may order; one value alone may have any number of rows
+DIVIDE = 4096  # parts of a bracket; neighbouring doubles of one bucket are apart after four divisions
+
+_PER_OCTAVE = 16  # buckets per factor of two
 _OFFSET = 20_000  # above 16 * 1075, so that buckets of positive values are positive numbers
 
 
@@ -47,7 +50,6 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     by: Sequence[str] = (),
-    at_most_groups: int | None = None,
     drop_nan: bool = True,
 ) -> DataFrame:
     """One row per group: the group columns, ``n`` (rows used) and one column per entry of ``probs``.
@@ -66,8 +68,7 @@ def exact_quantiles(
     if largest <= SMALL_GROUP:
         ranked = _rank_small(rows, keys, probs)
     else:
-        narrow = isinstance(df.schema[value].dataType, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
-        ranked = _rank_large(rows, keys, probs, narrow, at_most_groups if by else 1)
+        ranked = _rank_large(rows, keys, probs)
     cols = []
     for i, (name, p) in enumerate(probs.items()):
         part = f"((n - 1) * {float(p)!r}D - {_rank(p, False, 'n')})"  # distance between the two ranks, 0..1
@@ -88,36 +89,42 @@ def _rank_small(rows: DataFrame, keys: list[str], probs: Mapping[str, float]) ->
     return sized.select(*keys, "n", *picks)
 
 
-def _rank_large(
-    rows: DataFrame, keys: list[str], probs: Mapping[str, float], narrow: bool, groups: int | None
-) -> DataFrame:
-    """Same as :func:`_rank_small` by narrowing buckets; ``narrow`` values are single precision or small integers."""
+def _rank_large(rows: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
+    """Same as :func:`_rank_small` by brackets: each holds a wanted rank and is divided until it is small or one value."""
     rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_v")))
-    steps = ["_bucket"]
-    if not narrow:
-        rows = rows.withColumn("_single", F.col("_v").cast("float"))
-        steps.append("_single")  # a bucket may hold too many distinct doubles; narrow once more
-
     ranks = {_rank(p, up) for p in probs.values() for up in (False, True)}
     wanted = " OR ".join(f"({r} >= _start AND {r} < _end)" for r in sorted(ranks))
-    bound = None if groups is None else 2 * groups * len(probs)
-    inside, known = rows.withColumn("_w", F.lit(1)), []
-    for i, step in enumerate(steps):
-        counted = inside.groupBy(*keys, *steps[: i + 1], *known).agg(F.sum("_w").alias("_n"))
-        within = Window.partitionBy(*keys, *steps[:i])
-        upto = F.sum("_n").over(within.orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
-        if i == 0:
-            counted = counted.withColumn("_total", F.sum("_n").over(within)).withColumn("_start", F.lit(0).cast("bigint"))
-        placed = counted.withColumn("_end", F.col("_start") + upto).withColumn("_start", F.col("_end") - F.col("_n"))
-        known = ["_start", "_total"]
-        targets = placed.where(wanted).select(*keys, *steps[: i + 1], *known)
-        inside = attach(rows, targets, [*keys, *steps[: i + 1]], at_most=bound, name="quantile-buckets", weight="_w")
-
-    per_value = inside.groupBy(*keys, *steps, *known, "_v").agg(F.sum("_w").alias("_n"))
-    up_to = Window.partitionBy(*keys, *steps).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = per_value.withColumn("_to", F.col("_start") + F.sum("_n").over(up_to)).withColumn(
-        "_from", F.col("_to") - F.col("_n")
-    )
+    ends = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    bracket = ["_bucket", "_lo", "_hi", "_start", "_total", "_n"]
+
+    def settled(counted: DataFrame) -> tuple[DataFrame, int, int]:
+        """Brackets with a wanted rank, how many there are, and the rows of the largest that can be divided."""
+        out = settle(counted.where(wanted).select(*keys, *bracket), "brackets")
+        many, most = out.agg(F.count(F.lit(1)), F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_n")))).first()
+        return out, many, most or 0
+
+    def inside(brackets: DataFrame, many: int) -> DataFrame:
+        met = attach(rows, brackets, [*keys, "_bucket"], at_most=many, weight="_w")
+        return met.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))  # brackets of one bucket do not overlap
+
+    run = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(run.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    counted = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *ends)
+    counted = counted.withColumns({"_total": F.sum("_n").over(run), "_end": upto}).withColumn("_start", F.col("_end") - F.col("_n"))
+    brackets, many, most = settled(counted)
+    while most > BRACKET:
+        place = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * DIVIDE), F.lit(DIVIDE - 1))
+        slot = F.when((F.col("_n") > BRACKET) & (F.col("_lo") < F.col("_hi")), place).otherwise(0)
+        old = {c: f"{c}_of" for c in ("_lo", "_hi", "_start", "_n")}
+        parts = inside(brackets, many).withColumn("_slot", slot).withColumnsRenamed(old)
+        counted = parts.groupBy(*keys, "_bucket", "_lo_of", "_start_of", "_total", "_slot").agg(F.sum("_w").alias("_n"), *ends)
+        upto = F.sum("_n").over(Window.partitionBy(*keys, "_bucket", "_lo_of").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0))
+        counted = counted.withColumn("_end", F.col("_start_of") + upto).withColumn("_start", F.col("_end") - F.col("_n"))
+        brackets, many, most = settled(counted)
+
+    per_value = inside(brackets, many).groupBy(*keys, "_bucket", "_lo", "_start", "_total", "_v").agg(F.sum("_w").alias("_m"))
+    up_to = Window.partitionBy(*keys, "_bucket", "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = per_value.withColumn("_to", F.col("_start") + F.sum("_m").over(up_to)).withColumn("_from", F.col("_to") - F.col("_m"))
 
     picks = [F.max("_total").alias("n")]
     for i, p in enumerate(probs.values()):

@@ -90,7 +90,7 @@ def quantile_subset(
     ens: DataFrame, v: str, lo: float = 0.0, hi: float = 1.0, by: Sequence[str] = ("set_num", "time_step"), at_most_groups: int | None = None
 ) -> DataFrame:
     """Rows whose value lies between two quantiles of its own cross-section, bounds included."""
-    q = exact_quantiles(ens, v, {"_qlo": lo, "_qhi": hi}, by, at_most_groups).drop("n")
+    q = exact_quantiles(ens, v, {"_qlo": lo, "_qhi": hi}, by).drop("n")
     c = F.col(v).cast("double")
     return attach(ens, q, by, at_most=at_most_groups).where(c.between(F.col("_qlo"), F.col("_qhi"))).select(*ens.columns)
 
@@ -99,7 +99,7 @@ def strip_outliers(
     ens: DataFrame, v: str, by: Sequence[str] = ("set_num", "time_step"), reach: float = 1.5, at_most_groups: int | None = None
 ) -> DataFrame:
     """Rows within ``reach`` interquartile ranges of the quartiles of their cross-section."""
-    q = exact_quantiles(ens, v, {"_q1": 0.25, "_q3": 0.75}, by, at_most_groups).drop("n")
+    q = exact_quantiles(ens, v, {"_q1": 0.25, "_q3": 0.75}, by).drop("n")
     pad = (F.col("_q3") - F.col("_q1")) * F.lit(reach)
     c = F.col(v).cast("double")
     joined = attach(ens, q, by, at_most=at_most_groups)
