@@ -232,6 +232,8 @@ def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
     hits = []
     for name in sorted(set(names)):
         stem, _, ext = name.rpartition(".")
+        if name.startswith("rejects_"):  # the report beside a checkpoint is none itself
+            continue
         if ext.lower() in ("parquet", "feather") and re.search(token_regex(agent), stem):
             hits.append((name, ext.lower()))
     if len(hits) != 1:
