@@ -254,6 +254,38 @@ def test_big_database_is_read_in_pieces(spark, tmp_path, monkeypatch):
     assert sorted(r.v for r in got.read("W").collect()) == ["a", "b"]
 
 
+def test_column_called_rowid(spark, tmp_path):
+    with sqlite3.connect(tmp_path / "set_1_run_1.db") as con:
+        con.execute("CREATE TABLE T (RowID INTEGER, v TEXT)")
+        con.execute("INSERT INTO T VALUES (1, 'a'), (NULL, 'b'), (3, 'c')")
+        con.execute("CREATE TABLE A (rowid INTEGER, _rowid_ INTEGER, oid INTEGER)")
+        con.execute("INSERT INTO A VALUES (1, NULL, 2), (NULL, NULL, NULL), (NULL, 5, NULL)")
+    got = sqlite_db.ingest_sqlite_tree(spark, str(tmp_path))
+    assert sorted(r.v for r in got.read("T").collect()) == ["a", "b", "c"]
+    assert got.read("A").count() == 3 and got.manifest.first()["rows"] == 6
+
+
+def test_broken_stretch_is_no_shorter_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sqlite_db, "ROWS_PER_PIECE", 500)
+    root, out = tmp_path / "in", tmp_path / "out"
+    for name in ("set_1_run_1_a.db", "set_1_run_1_b.db", "set_1_run_2_a.db"):
+        root.mkdir(exist_ok=True)
+        with sqlite3.connect(root / name) as con:
+            con.execute("CREATE TABLE T (k INTEGER, v TEXT)")
+            con.executemany("INSERT INTO T VALUES (?, ?)", [(i, "x" * 100) for i in range(2_500)])
+    with open(root / "set_1_run_1_a.db", "r+b") as f:  # one page in the middle of the table
+        f.seek(30 * 4096)
+        f.write(b"\xff" * 4096)
+    got = sqlite_db.ingest_sqlite_tree(spark, str(root))
+    assert sorted(r.status for r in got.manifest.collect()) == ["CONVERTED", "CONVERTED", "ERROR"]
+    with pytest.raises(ValueError, match="set_1_run_1_a.db"):
+        got.read("T")
+    assert {tuple(r) for r in got.whole_runs().read("T").groupBy("set_num", "run_num").count().collect()} == {(1, 2, 2_500)}
+    tally = {r.status: r.n for r in jobs.convert_databases(spark, str(root), str(out)).collect()}
+    assert tally == {"CONVERTED": 1, "ERROR": 1, "INCOMPLETE": 1}
+    assert not (out / "set_1" / "run_1").exists() and pq.read_table(out / "set_1" / "run_2" / "data_T.parquet").num_rows == 2_500
+
+
 def test_feather_round_trip(spark, tmp_path):
     df = spark.range(1_000).select("id", F.sin("id").cast("float").alias("v"), F.col("id").cast("string").alias("s")).repartition(5)
     folder = str(tmp_path / "f")

@@ -44,11 +44,16 @@ def convert_databases(spark: SparkSession, root: str, out: str, sets=None, runs=
     """SQLite tree to ``out/set_<n>/run_<m>/data_<table>.parquet``; returns the tally per status.
 
     Numeric text is promoted per table over the whole ensemble, so all runs of a table get one schema.
+    A run is written whole or not at all: where a file has an ERROR nothing of its run is written, and the
+    other files of that run count as INCOMPLETE.
     """
     tree = ingest_sqlite_tree(spark, root, sets, runs)
-    files = tree.manifest.select("status")
-    for table in tree.tables():
-        rows = infer_numeric_strings(tree.read(table))
+    whole = tree.whole_runs()
+    kept = whole.manifest.select("path", F.lit(True).alias("kept"))
+    held = F.col("kept").isNull() & (F.col("status") != "ERROR")
+    files = tree.manifest.join(kept, "path", "left").select(F.when(held, "INCOMPLETE").otherwise(F.col("status")).alias("status"))
+    for table in whole.tables():
+        rows = infer_numeric_strings(whole.read(table))
         order = [c for c in ("_ITERATION_NO", "time_step", "iteration", "tick", "ID", "id", "agent_id") if c in rows.columns]
         write_run_files(rows, out, f"data_{table}.parquet", order, force=force)
     return status_tally(files)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sqlite3
+import warnings
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -74,11 +75,20 @@ def _column_type(classes: set[str]) -> str:
     return STORAGE_TYPES[classes.pop()] if len(classes) == 1 else "string"
 
 
+def _row_number(con: sqlite3.Connection, table: str) -> str | None:
+    """The name under which SQLite gives row numbers: the first that no column of the table takes."""
+    taken = {row[1].lower() for row in con.execute(f"PRAGMA table_xinfo({_quoted(table)})")}
+    return next((name for name in ("rowid", "_rowid_", "oid") if name not in taken), None)
+
+
 def _row_numbers(con: sqlite3.Connection, table: str) -> tuple[int | None, int | None]:
     """First and last row number, both from the ends of the table; None for a table without row numbers."""
+    key = _row_number(con, table)
+    if key is None:
+        return None, None
     try:
         t = _quoted(table)
-        return con.execute(f"SELECT (SELECT min(rowid) FROM {t}), (SELECT max(rowid) FROM {t})").fetchone()
+        return con.execute(f"SELECT (SELECT min({key}) FROM {t}), (SELECT max({key}) FROM {t})").fetchone()
     except sqlite3.OperationalError:
         return None, None
 
@@ -106,7 +116,11 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     q = "SELECT name FROM sqlite_master WHERE type = 'table' AND name NOT LIKE 'sqlite_%' ORDER BY name"
                     tables = [row[0] for row in con.execute(q)]
                     for table in tables:
-                        lo, hi = _row_numbers(con, table)
+                        try:
+                            lo, hi = _row_numbers(con, table)
+                        except sqlite3.Error as e:
+                            out.append((*who, table, None, None, "ERROR", str(e)))
+                            continue
                         cuts = [(None, None)] if lo is None else [(a, min(a + ROWS_PER_PIECE - 1, hi)) for a in range(lo, hi + 1, ROWS_PER_PIECE)]
                         out += [(*who, table, a, z, "CONVERTED", None) for a, z in cuts]
                     if not tables:
@@ -118,8 +132,10 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _frame(out, PIECE_SCHEMA)
 
 
-def _stretch(item: dict) -> tuple[str, tuple]:
-    return ("", ()) if pd.isna(item["first"]) else (" WHERE rowid BETWEEN ? AND ?", (int(item["first"]), int(item["last"])))
+def _stretch(con: sqlite3.Connection, table: str, item: dict) -> tuple[str, tuple]:
+    if pd.isna(item["first"]):
+        return "", ()
+    return f" WHERE {_row_number(con, table)} BETWEEN ? AND ?", (int(item["first"]), int(item["last"]))
 
 
 def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,7 +144,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for item in batch.to_dict("records"):
             head = (item["path"], _number(item["set_num"]), _number(item["run_num"]), item["table"], _number(item["first"]), _number(item["last"]))
-            if item["table"] is None:
+            if item["table"] is None or item["status"] == "ERROR":
                 out.append((*head, item["status"], item["message"], 0, None))
                 continue
             try:
@@ -136,7 +152,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 try:
                     names = [row[1] for row in con.execute(f"PRAGMA table_info({_quoted(item['table'])})")]
                     seen = ", ".join(f"group_concat(DISTINCT typeof({_quoted(c)}))" for c in names)
-                    where, args = _stretch(item)
+                    where, args = _stretch(con, item["table"], item)
                     n, *kinds = con.execute(f"SELECT count(*), {seen} FROM {_quoted(item['table'])}{where}", args).fetchone()
                     lines = "\n".join(f"{c}\t{_column_type(set((k or 'null').split(',')))}" for c, k in zip(names, kinds))
                     out.append((*head, "CONVERTED", None, n, lines))
@@ -180,6 +196,12 @@ class SqliteTree:
             F.sum("n_rows").alias("rows"),
         )
 
+    def whole_runs(self) -> "SqliteTree":
+        """The same without the runs that have a file with an ERROR, of which only part could be read."""
+        bad = self._plan.where(F.col("status") == "ERROR").select(F.col("set_num").alias("_s"), F.col("run_num").alias("_r")).distinct()
+        same = F.col("set_num").eqNullSafe(F.col("_s")) & F.col("run_num").eqNullSafe(F.col("_r"))
+        return SqliteTree(self._spark, self._plan.join(bad, same, "left_anti"))
+
     def tables(self) -> list[str]:
         """Names of all tables that hold rows somewhere."""
         rows = self._plan.where(F.col("n_rows") > 0).select("table").distinct().orderBy("table")
@@ -206,8 +228,15 @@ class SqliteTree:
         """Rows of one table from all files, ``set_num`` and ``run_num`` first.
 
         The unit of work is a stretch of row numbers, not a file, so one huge database is read by many
-        tasks.
+        tasks. A file whose catalogue can't be read is left out with a warning; a file that has the table
+        but could not be surveyed in full is an error. :meth:`whole_runs` leaves out both.
         """
+        failed = self._plan.where(F.col("status") == "ERROR")
+        lost = failed.where(F.col("table") == table).orderBy("path").first()
+        if lost is not None:
+            raise ValueError(f"table {table!r} of {lost['path']} can't be read in full: {lost['message']}")
+        if unread := failed.where(F.col("table").isNull()).count():
+            warnings.warn(f"{unread} databases could not be opened and are left out; the manifest lists them", stacklevel=2)
         schema = self.schema(table)
         if not schema.fields:
             raise ValueError(f"no table {table!r} with rows")
@@ -222,9 +251,9 @@ class SqliteTree:
                 for item in batch.to_pylist():
                     have = {entry.split("\t")[0] for entry in item["columns"].split("\n")}
                     cols = ", ".join(_quoted(c) if c in have else "NULL" for c in arrow.names)
-                    where, args = _stretch(item)
                     con = _connect(item["path"])
                     try:
+                        where, args = _stretch(con, table, item)
                         cursor = con.execute(f"SELECT {cols} FROM {_quoted(table)}{where}", args)
                         while rows := cursor.fetchmany(20_000):
                             n = len(rows)
