@@ -1,11 +1,15 @@
 """Operators 2, 3, 4, 6, 7, 8 and 9 against plain versions and edge cases."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import re
+import zlib
 from urllib.parse import quote
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -57,6 +61,42 @@ def test_secret_layers():
     assert secrets.scan_text(None) == ([], [], 0, 0) == secrets.scan_text("")
 
 
+def test_secrets_in_large_layers(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1 << 14)
+    b64 = lambda data: base64.b64encode(data).decode()
+    rng = np.random.default_rng(0)
+    prose = " ".join(map(str, rng.integers(0, 999, 40_000))).encode()
+    for at in (0, 40_000, 65_530, len(prose)):
+        body = prose[:at] + b" password = longenough " + prose[at:]
+        for data in (gzip.compress(body), gzip.compress(gzip.compress(body)), gzip.compress(zlib.compress(bz2.compress(body)))):
+            run = b64(data)
+            assert ("assign", 2, 2 + len(run)) in secrets.scan_text(f"x {run} y")[1]
+    inner = b64(gzip.compress(rng.bytes(10_000) + b"token=abcdefgh"))  # a run that a stretch of 16 KiB would cut
+    run = b64(gzip.compress(prose[:12_000] + b" " + inner.encode() + b" " + prose))
+    assert ("assign", 0, len(run)) in secrets.scan_text(run)[1] and secrets.scan_text(run)[3] == 0
+    assert secrets.scan_text(b64(gzip.compress(b"ab" * 100_000)))[3] > 0  # a run too long for one piece is counted
+
+
+def test_secrets_wrapped_members_and_bytes():
+    lines = lambda run, width, end="\n": end.join(run[k : k + width] for k in range(0, len(run), width))
+    b64 = lambda data: base64.b64encode(data).decode()
+    noise = np.random.default_rng(1).bytes(500)
+    for width, end in ((64, "\n"), (76, "\r\n")):
+        for head, tail in (("", ""), ("key: ", "\nand so on"), ("-----BEGIN CERTIFICATE-----\n", "\n-----END CERTIFICATE-----")):
+            plain = lines(b64(b"some words before it " * 2 + b"the password=longenough " + b"and some more " * 9), width, end)
+            assert any(k == "assign" for k, *_ in secrets.scan_text(head + plain + tail)[1])
+            packed = lines(b64(gzip.compress(noise + b" password=longenough")), width, end)
+            assert any(k == "assign" and (head + packed + tail)[a:b].startswith(packed[:-76]) for k, a, b in secrets.scan_text(head + packed + tail)[1])
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        run = b64(pack(b"first") + pack(b"password=longenough"))
+        assert ("assign", 0, len(run)) in secrets.scan_text(run)[1]
+    run = b64("Clé password=longenough é".encode("latin-1"))
+    assert [k for k, *_ in secrets.scan_text(run)[1]] == ["assign"]
+    run = b64(gzip.compress("Clé password=longenough é".encode("latin-1")))
+    assert secrets.scan_text(run)[1] == [("assign", 0, len(run))]
+    assert [k for k, *_ in secrets.scan_text("caf%E9%70assword=longenough")[1]] == ["assign"]
+
+
 def test_secrets_rows(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "", "a"), (2, "token: abcdefgh", "b"), (2, "token: abcdefgh", "b")], "doc_id long, text string, base string")
     assert sorted((r.doc_id, r.spans) for r in secrets.scan_secrets(df).collect()) == [(1, ""), (1, ""), (2, "assign:0:15"), (2, "assign:0:15")]

@@ -90,7 +90,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_layers")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_layers", "n_oversize")
 
 
 @query()

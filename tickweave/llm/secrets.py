@@ -1,13 +1,17 @@
 """Secret scans with a worklist of decoded layers.
 
 Every whole text is searched for assignments of credentials, access keys and long hexadecimal strings. Then it is unwrapped:
-percent-encoding and Unicode escapes are decoded over the whole layer, base64 runs and the compressed data in them (gzip,
-zlib, bzip2, xz, zstandard) one by one. Each new layer joins the worklist and is searched and unwrapped again, until no new
+percent-encoding and Unicode escapes are decoded over the whole layer, base64 runs, also ones wrapped over lines, and the
+compressed data in them (gzip, zlib, bzip2, xz, zstandard; all members, compressed any number of times up to ``MAX_DEPTH``)
+one by one. Bytes that are no UTF-8 are read as Latin-1, which leaves every character of a secret as it is. Each new layer joins the worklist and is searched and unwrapped again, until no new
 layer appears; a layer seen before is not entered twice, so cycles end. What is found in a layer is mapped back to the
 characters of the original text that it was decoded from.
 
-Defined results: null and empty texts have no secrets; repeated rows give repeated rows; extra columns do not matter. A
-compressed layer above ``MAX_LAYER`` bytes (a decompression bomb) is not entered but counted in ``n_oversize``.
+Defined results: null and empty texts have no secrets; repeated rows give repeated rows; extra columns do not matter. The
+content of compressed data above ``MAX_LAYER`` bytes is streamed and searched in overlapping stretches that are cut outside of
+encoded runs. What is not decoded in one piece is counted in ``n_oversize``: encoded runs above twice ``MAX_LAYER`` within such
+content, and data compressed more than ``MAX_DEPTH`` times. Decoded bytes that are not mostly printable are layers only if
+they hold a secret or something to decode.
 """
 
 from __future__ import annotations
@@ -15,9 +19,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import gzip
+import hashlib
+import io
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +43,13 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-MAX_LAYER = 1 << 26
+LINE = re.compile(r"[A-Za-z0-9+/_-]++={0,2}")
+LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)+={0,2}")
+MIN_BASE64 = 16
+MAX_LAYER, MAX_DEPTH, BLOCK = 1 << 26, 64, 1 << 16
+# 1 for the bytes at which no encoded run goes on
+OUTSIDE = bytes(0 if chr(c).isascii() and chr(c).isalnum() or chr(c) in "+/_-=%\\\r\n" else 1 for c in range(256))
+FAULTS = (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -58,28 +72,29 @@ class Layer:
         self.text, self.start, self.end = text, start, end
 
 
-def _chars(data: bytes) -> tuple[str, np.ndarray] | None:
-    """The text that bytes hold, and for each character the number of its first byte; None if they hold no text."""
+def _chars(data: bytes) -> tuple[str, np.ndarray, bool]:
+    """The text that bytes hold, for each character the number of its first byte, and whether it is UTF-8, not Latin-1."""
+    raw = np.frombuffer(data, np.uint8)
     try:
-        text = data.decode("utf-8")
+        return data.decode("utf-8"), np.flatnonzero((raw & 0xC0) != 0x80), True
     except UnicodeDecodeError:
-        return None
-    raw = np.frombuffer(data, np.uint8)
-    return text, np.flatnonzero((raw & 0xC0) != 0x80)
+        return data.decode("latin-1"), np.arange(len(data)), False
 
 
 def _readable(text: str) -> bool:
     return bool(text) and sum(c.isprintable() or c in "\n\r\t" for c in text) >= 0.95 * len(text)
 
 
+def _holds(text: str) -> bool:
+    """Whether there is a secret or something to decode."""
+    return any(p.search(text) for p in (PERCENT, ESCAPE, BASE64, LINES)) or bool(find(text))
+
+
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every match of the pattern decoded, or None if nothing changes."""
     parts, starts, ends, at = [], [], [], 0
     for m in pattern.finditer(layer.text):
-        out = decode(m[0])
-        if out is None:
-            continue
-        text, first, last = out
+        text, first, last = decode(m[0])
         parts += [layer.text[at : m.start()], text]
         starts += [layer.start[at : m.start()], layer.start[m.start() + first]]
         ends += [layer.end[at : m.start()], layer.end[m.start() + last - 1]]
@@ -90,10 +105,7 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _percent(run: str):
-    out = _chars(bytes.fromhex(run.replace("%", "")))
-    if out is None:
-        return None
-    text, first = out
+    text, first, _ = _chars(bytes.fromhex(run.replace("%", "")))
     return text, first * 3, np.append(first[1:], len(run) // 3) * 3
 
 
@@ -119,78 +131,168 @@ def _escapes(run: str):
     return "".join(text), first, np.append(first[1:], len(run))
 
 
-def _decompressed(data: bytes) -> tuple[bytes | None, bool]:
-    """The content of compressed bytes, and whether it was too large."""
-    openers = {b"\x1f\x8b": lambda: zlib.decompressobj(31), b"BZh": bz2.BZ2Decompressor, b"\xfd7zXZ": lzma.LZMADecompressor, b"\x28\xb5\x2f\xfd": None}
-    magic = next((m for m in openers if data.startswith(m)), None)
-    if magic is None and (len(data) < 2 or data[0] & 15 != 8 or (data[0] * 256 + data[1]) % 31):
-        return None, False
+class _Blocks(io.RawIOBase):
+    """Blocks of bytes as a file."""
+
+    def __init__(self, blocks: Iterator[bytes]):
+        self._blocks, self._rest = blocks, b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        while not self._rest:
+            if (block := next(self._blocks, None)) is None:
+                return 0
+            self._rest = block
+        n = min(len(into), len(self._rest))
+        into[:n], self._rest = self._rest[:n], self._rest[n:]
+        return n
+
+
+def _inflated(source: io.BufferedReader, faults: list[str]) -> Iterator[bytes]:
+    """The content of a compressed file, all members, up to its end or a fault; nothing if it isn't compressed."""
+    head = source.peek(6)[:6]
     try:
-        if magic == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(MAX_LAYER + 1)
+        if head.startswith(b"\x1f\x8b"):
+            opened = gzip.GzipFile(fileobj=source)
+        elif head.startswith(b"BZh"):
+            opened = bz2.BZ2File(source)
+        elif head.startswith(b"\xfd7zXZ"):
+            opened = lzma.LZMAFile(source)
+        elif head.startswith(b"\x28\xb5\x2f\xfd"):
+            opened = zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True)
+        elif len(head) > 1 and head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0:
+            one = zlib.decompressobj()
+            while not one.eof and (raw := one.unconsumed_tail or source.read(BLOCK)):
+                yield one.decompress(raw, BLOCK)
+            yield one.flush()
+            return
         else:
-            out = (openers[magic]() if magic else zlib.decompressobj()).decompress(data, MAX_LAYER + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        return None, False
-    return (None, True) if len(out) > MAX_LAYER else (out, False)
-
-
-def _unwrapped(layer: Layer) -> tuple[list[Layer], int]:
-    """The layers directly below one, and how many were too large."""
-    out, oversize = [], 0
-    if "%" in layer.text:
-        out.append(_replaced(layer, PERCENT, _percent))
-    if "\\" in layer.text:
-        out.append(_replaced(layer, ESCAPE, _escapes))
-    for m in BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
+            return
+        while block := opened.read1(BLOCK):
+            yield block
+    except EOFError:  # cut short: what came before counts
+        pass
+    except FAULTS as e:
+        faults.append(str(e))
+
+
+def _windows(blocks: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """Content in one piece, or if it is large in overlapping stretches; True if an encoded run had to be cut."""
+    held, limit, overlap = bytearray(), MAX_LAYER, MAX_LAYER >> 4
+    for block in blocks:
+        held += block
+        if len(held) <= limit:
             continue
-        plain = _chars(data)
-        if plain and _readable(plain[0]):
-            first = plain[1]
-            last = np.append(first[1:], len(data)) - 1
-            s, e = layer.start[m.start() : m.end()], layer.end[m.start() : m.end()]
-            out.append(Layer(plain[0], s[first * 4 // 3], e[np.minimum(last * 4 // 3 + 1, len(e) - 1)]))
+        cut = held.translate(OUTSIDE).rfind(1) + 1
+        if cut <= overlap and limit == MAX_LAYER:  # wait for the end of the run
+            limit = 2 * MAX_LAYER
             continue
-        content, large = _decompressed(data)
-        oversize += large
-        while content is not None and (inner := _decompressed(content))[0] is not None:  # compressed more than once
-            content, large = inner
-            oversize += large
-        plain = _chars(content) if content is not None else None
-        if plain and plain[0]:  # which characters a compressed one stems from cannot be told: all of the run
-            n = len(plain[0])
-            out.append(Layer(plain[0], np.full(n, layer.start[m.start()]), np.full(n, layer.end[m.end() - 1])))
-    return [x for x in out if x is not None], oversize
+        forced = cut <= overlap
+        cut = len(held) if forced else cut
+        yield bytes(held[:cut]), forced
+        del held[: cut - overlap]
+        limit = MAX_LAYER
+    if held:
+        yield bytes(held), False
+
+
+def _contents(data: bytes, told: list[str]) -> Iterator[str]:
+    """The texts in compressed bytes, at every depth of compression. Deeper ones are streamed anew: bounded memory."""
+    met = {data}
+    for depth in range(1, MAX_DEPTH + 2):
+        source, faults = io.BufferedReader(io.BytesIO(data)), []
+        for _ in range(depth):
+            source = io.BufferedReader(_Blocks(_inflated(source, faults)), BLOCK)
+        if not source.peek(1):
+            return
+        if depth > MAX_DEPTH:
+            told.append("depth")
+            return
+        for number, (window, forced) in enumerate(_windows(iter(lambda: source.read1(BLOCK), b""))):  # noqa: B023
+            told += ["run"] * forced
+            if not number and window in met:  # compressed data that holds itself
+                return
+            if not number and len(window) <= BLOCK:
+                met.add(window)
+            text = _chars(window)[0]
+            if _holds(text) or (not faults and _readable(text)):
+                yield text
+
+
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Lines that may be one base64 run: all that meet at single line breaks, and stretches of lines of one width, each with
+    and without the shorter line before and after."""
+    for m in LINES.finditer(text) if "\n" in text else ():
+        lines = [x.span() for x in LINE.finditer(text, *m.span())]
+        picks, k, n = {(0, len(lines))}, 0, len(lines)
+        while k < n:
+            width, j = lines[k][1] - lines[k][0], k + 1
+            while j < n and lines[j][1] - lines[j][0] == width:
+                j += 1
+            if width >= MIN_BASE64:
+                picks |= {(a, b) for a in (k, max(0, k - 1)) for b in (j, min(n, j + 1)) if b - a > 1}
+            k = j
+        yield from (lines[a:b] for a, b in sorted(picks))
+
+
+def _from_base64(layer: Layer, run: str, where: slice | np.ndarray, told: list[str]) -> Iterator[Layer]:
+    """The layers in one base64 run, whose characters are those at ``where``."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) % 4 == 1:
+        body = body[:-1]
+    try:
+        data = base64.b64decode(body + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return
+    text, first, utf8 = _chars(data)
+    s, e = layer.start[where], layer.end[where]
+    plain = utf8 and _readable(text)
+    for content in _contents(data, told) if not plain else ():  # where a character stems from cannot be told: all of the run
+        n = len(content)
+        yield Layer(content, np.broadcast_to(s[0], n), np.broadcast_to(e[-1], n))
+    if plain or _holds(text):
+        last = np.append(first[1:], len(data)) - 1
+        yield Layer(text, s[first * 4 // 3], e[np.minimum(last * 4 // 3 + 1, len(e) - 1)])
+
+
+def _unwrapped(layer: Layer, told: list[str]) -> Iterator[Layer]:
+    """The layers directly below one; ``told`` grows by what could not be decoded in one piece."""
+    if "%" in layer.text and (out := _replaced(layer, PERCENT, _percent)) is not None:
+        yield out
+    if "\\" in layer.text and (out := _replaced(layer, ESCAPE, _escapes)) is not None:
+        yield out
+    for m in BASE64.finditer(layer.text):
+        yield from _from_base64(layer, m[0], slice(*m.span()), told)
+    for lines in _wrapped(layer.text):
+        run = "".join(layer.text[a:b] for a, b in lines)
+        if len(run) >= MIN_BASE64:
+            yield from _from_base64(layer, run, np.concatenate([np.arange(a, b) for a, b in lines]), told)
 
 
 def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, int]:
-    """Base spans, all spans (both by start, then kind), number of decoded layers, number of layers too large to enter."""
+    """Base spans, all spans (both by start, then kind), number of decoded layers, number of runs not decoded in one piece."""
     text = text or ""
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     base = sorted(find(text), key=order)
-    if not (PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text)):
+    if not any(p.search(text) for p in (PERCENT, ESCAPE, BASE64, LINES)):
         return base, base, 0, 0
-    spans, seen, oversize = set(base), {text}, 0
+    spans, seen, told = set(base), set(), []
     place = np.arange(len(text) + 1)
-    work = [Layer(text, place[:-1], place[1:])]
-    while work:
-        below, large = _unwrapped(work.pop())
-        oversize += large
-        for layer in below:
-            key = layer.text, int(layer.start[0]) if len(layer.start) else 0
-            if layer.text in seen and key in seen:
-                continue
-            seen |= {layer.text, key}
-            spans.update((kind, int(layer.start[a:b].min()), int(layer.end[a:b].max())) for kind, a, b in find(layer.text))
-            work.append(layer)
-    return base, sorted(spans, key=order), len([x for x in seen if isinstance(x, tuple)]), oversize
+    work = [_unwrapped(Layer(text, place[:-1], place[1:]), told)]
+    while work:  # a layer's work comes before its sisters are decoded, so that few are held at a time
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(layer.start[0]) if len(layer.start) else 0
+        if key in seen:
+            continue
+        seen.add(key)
+        spans.update((kind, int(layer.start[a:b].min()), int(layer.end[a:b].max())) for kind, a, b in find(layer.text))
+        work.append(_unwrapped(layer, told))
+    return base, sorted(spans, key=order), len(seen), len(told)
 
 
 def _told(spans: list[tuple[str, int, int]]) -> str:
