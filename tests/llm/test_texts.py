@@ -4,9 +4,11 @@ import base64
 import bz2
 import gzip
 import lzma
+import math
 import random
 import re
 import zlib
+from fractions import Fraction
 from urllib.parse import quote
 
 import numpy as np
@@ -178,3 +180,22 @@ def test_top_k(spark, block, slab):
         best = sorted((-sum(a * b for a, b in zip(vecs[i], v)), j) for j, v in vecs.items() if j != i and len(v) == len(vecs[i]))[:10]
         assert sorted(got.get(i, [])) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
     assert topk.top_k(q.limit(0), q.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind, largest", [("float", 3e38), ("double", 1e30)])
+def test_top_k_of_large_components(spark, kind, largest):
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-2, 2) for _ in range(5)]) for i in range(40)]
+    rows += [(40 + i, [rng.uniform(-2, 2) * rng.choice([1.0, 2e5, 1e9, 1e18, largest / 2]) for _ in range(5)]) for i in range(60)]
+    rows += [(100, [131072.0, 0.0, 0.0, 0.0, 0.0]), (101, [-131072.0, 1.0, 0.0, 0.0, 0.0]), (102, [largest] * 5), (103, [-largest] * 5)]
+    rows += [(104, [float("inf")] + [0.0] * 4), (200, [100_000.0] * 600), (201, [100_000.0] * 600), (202, [-100_000.0] * 600)]  # 600 squares pass 2**63
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    vecs = {r.vec_id: [math.floor(Fraction(x) * 1024) for x in r.embedding] for r in df.collect() if r.vec_id != 104}
+    q = topk.quantised(df)
+    got = {}
+    for r in topk.top_k(q, q.filter("vec_id % 20 < 3"), 7, 100, 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, int(r.wide_score) if r.score is None else r.score))
+    assert set(got) == {i for i in vecs if i % 20 < 3}
+    for i in got:
+        best = sorted((-sum(a * b for a, b in zip(vecs[i], v)), j) for j, v in vecs.items() if j != i and len(v) == len(vecs[i]))[:7]
+        assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]

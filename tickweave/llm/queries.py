@@ -167,4 +167,6 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""")
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk.quantised(read_table(spark, sf_dir, "embeddings"))
-    return topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
+    best = topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
+    beyond = F.raise_error(F.concat(F.lit("score beyond 64 bits: "), "wide_score")).cast("long")  # as the SQL's cast
+    return best.select("query_id", "rank", "vec_id", F.when(F.col("wide_score").isNull(), F.col("score")).otherwise(beyond).alias("score"))
