@@ -41,3 +41,17 @@ def test_rows_only(spark, name):
 def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["set_num", "iteration", "mean_val", "min_val", "max_val"] and df.count() > 0
+
+
+def test_large_set_numbers_reads_a_range_of_a_whole_tree(spark, monkeypatch):
+    from tickweave.plans import registry
+
+    sets, write = [], registry.write_run_files
+
+    def note(rows, *a, **b):
+        sets.extend(r[0] for r in rows.select("set_num").distinct().collect())
+        return write(rows, *a, **b)
+
+    monkeypatch.setattr(registry, "write_run_files", note)
+    got = queries()["large_set_numbers"](spark, SF)
+    assert sorted(sets) == list(range(40001, 40008)) and {r[0] for r in got.select("set_num").distinct().collect()} == {40001, 40002, 40003}

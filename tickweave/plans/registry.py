@@ -596,7 +596,7 @@ def tree_scan_types(spark, sf):
 @query(with_ens(f'SELECT CAST(set_num AS BIGINT) + 40000 AS set_num, CAST(run_num AS BIGINT) + 70000 AS run_num, {big("time_step", "ID", "part")} FROM ens WHERE set_num <= 3'))
 def large_set_numbers(spark, sf):
     root = scratch_path(spark, "many-sets")
-    rows = ens(spark, sf).where("set_num <= 3").select((F.col("set_num") + 40000).alias("set_num"), (F.col("run_num") + 70000).alias("run_num"), "time_step", "ID", "part")
+    rows = ens(spark, sf).select((F.col("set_num") + 40000).alias("set_num"), (F.col("run_num") + 70000).alias("run_num"), "time_step", "ID", "part")
     write_run_files(rows, root, "data_Agent.parquet", ["time_step", "ID", "part"])
     return wide(read_tree(spark, root, "Agent", "40001-40003"))
 
@@ -619,6 +619,13 @@ def metric_checkpoint(spark, sf):
     return wide(spark.read.parquet(paths["y"]))
 
 
+@query(with_ens(f"SELECT {big('set_num', 'run_num', 'time_step')}, 'x' AS metric, CAST(x AS DOUBLE) AS v FROM ens UNION ALL SELECT {big('set_num', 'run_num', 'time_step')}, 'y', CAST(y AS DOUBLE) FROM ens"))
+def metric_checkpoints_both(spark, sf):
+    paths = write_metric_checkpoints(ens(spark, sf), "x, y", scratch_path(spark, "metrics"))
+    x, y = (spark.read.parquet(paths[m]).select("set_num", "run_num", "time_step", F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in ("x", "y"))
+    return wide(x.unionByName(y))
+
+
 @query(ENS_ROWS)
 def mirrored_tables(spark, sf):
     return wide(spark.read.parquet(mirror_tables(ens(spark, sf), scratch_path(spark, "mirror"), "Agent")))
@@ -666,6 +673,13 @@ def sqlite_conversion(spark, sf):
     return jobs.convert_databases(spark, databases(spark, sf), scratch_path(spark, "converted"))
 
 
+@query(ENS_ROWS.replace('CAST("price" AS DOUBLE)', 'CAST(CAST("price" AS FLOAT) AS DOUBLE)').replace('CAST("y" AS DOUBLE)', 'CAST("y" AS BIGINT)'))
+def sqlite_converted_rows(spark, sf):
+    out = scratch_path(spark, "converted")
+    jobs.convert_databases(spark, databases(spark, sf), out)
+    return wide(read_tree(spark, out, "Agent"))
+
+
 @query(with_ens('SELECT CAST(time_step AS BIGINT) AS itno, 1.5 AS const_radius, CAST("ID" AS BIGINT) AS id, CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, CAST(part AS BIGINT) AS part, CAST(y AS DOUBLE) AS y FROM ens').replace("1.5 AS", "CAST(1.5 AS DOUBLE) AS"))
 def xml_snapshots(spark, sf):
     agent = "name string, id bigint, set_num int, run_num int, part bigint, y float"
