@@ -146,6 +146,42 @@ def test_quality_counts(spark):
     assert quality.quality_rules(df.limit(0)).count() == 0 == quality.keep_good(df.limit(0)).count()
 
 
+def test_quality_distances(spark):
+    rng = random.Random(8)
+    prose = quality.COMMON_WORDS["en"] + ["river", "stone", "Walked,", "cloud.", "green"]
+    pick = lambda words, n: " ".join(rng.choice(words) + rng.choice("abcdefgh") * (k % 5 == 0) for k in range(n))
+    texts = [pick(prose, 120) for _ in range(12)]
+    texts += [" ".join(f"x{rng.random()}" for _ in range(60)) for _ in range(3)] + [pick(["$$#", "&%|", "12345", "the"], 90), pick(["漢字", "é"], 150), pick(prose, 30), pick(["of"], 100) + " end"]
+    docs = [(i, t, "en" if i % 4 else rng.choice(["de", None, "xx"])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    patterns = ["[A-Z]", "[0-9]", "[#*$%&|<>]", r"[.,;:!?'\"()\[\]{}/_=+@~^`\\-]", r"[^\x00-\x7F]", r"[\x20\x09-\x0D]"]
+    counts = {}
+    for i, t, lang in docs:
+        key = lang if lang in quality.COMMON_WORDS else ""
+        words, listed = re.findall(r"[^\x20\x09-\x0D]+", t), quality.COMMON_WORDS.get(key, [])
+        chars = [len(re.findall(p, t)) for p in patterns]
+        hits = [words.count(w) for w in listed]
+        counts[i] = key, [*chars, len(t) - sum(chars)], [*hits, len(words) - sum(hits)], len(t), len(words)
+
+    def distance(i, which):
+        key, own = counts[i][0], counts[i][which]
+        ref = [sum(c[which][k] for c in counts.values() if c[0] == key) for k in range(len(own))]
+        p, q = [x / sum(own) for x in own], [x / sum(ref) for x in ref]
+        half = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x) / 2
+        return math.sqrt(max(0.0, half(p, q) + half(q, p)))
+
+    verdicts = set()
+    for r in quality.quality_rules(df).collect():
+        chars = distance(r.doc_id, 1) if counts[r.doc_id][3] >= 200 else None
+        words = distance(r.doc_id, 2) if counts[r.doc_id][4] >= 50 else None
+        for got, want in ((r.class_distance, chars), (r.word_distance, words)):  # too short for a distance: greatest() makes the null 0
+            assert got in (None, 0.0) if want is None else got == pytest.approx(want, abs=1e-7)
+        odd = (chars is not None and chars > 0.34) or (words is not None and words > 0.45)
+        assert r.kept == (not r.base_failed and not odd)
+        verdicts.add((r.base_failed, odd))
+    assert {(False, True), (False, False)} <= verdicts
+
+
 def test_mixture(spark):
     rng = random.Random(3)
     rows = [(i, " ".join("w" * 3 for _ in range(rng.randrange(30))) if i % 17 else None, rng.choice(["en", "de", None]), f"src{min(i % 40, 5)}" if i % 19 else None) for i in range(400)]
