@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickweave.llm import bpe, chat, mixing, neardup, quality, secrets, substrings, suffixes, topk, urls
-from tickweave.llm.common import LOWER, UPPER, read_table
+from tickweave.llm import bpe, chat, mixing, neardup, periods, quality, secrets, substrings, suffixes, topk, urls
+from tickweave.llm.common import LOWER, UPPER, read_table, text_of, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +170,27 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
     beyond = F.raise_error(F.concat(F.lit("score beyond 64 bits: "), "wide_score")).cast("long")  # as the SQL's cast
     return best.select("query_id", "rank", "vec_id", F.when(F.col("wide_score").isNull(), F.col("score")).otherwise(beyond).alias("score"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which about a tenth, told by a checksum of the id, repeat a stretch of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select("doc_id", text_of("text").alias("text"), h.alias("_h"), F.floor(h / 10).alias("_g"))
+    docs = docs.withColumn("_words", F.when(F.col("_h") % 10 == 0, words_of(F.col("text"))))
+    n = F.size("_words")
+    docs = docs.withColumn("_a", F.when(n > 0, F.col("_g") % n))
+    docs = docs.withColumn("_p", 1 + F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8)))
+    a, p = F.col("_a"), F.col("_p")
+    told = F.transform("_words", lambda w, i: F.when(i < a, w).otherwise(F.get("_words", (a + (i - a) % p).cast("int"))))
+    return docs.select("doc_id", F.when(a.isNotNull(), F.array_join(told, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periods.periodic_runs(with_planted_periods(read_table(spark, sf_dir, "documents")))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.withColumn("best", F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("back"), r["start"].alias("start"), r["period"].alias("period")))))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.back")).alias("length"), F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.back) div best.period").alias("exponent_milli"), F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
