@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickweave.llm import bpe, chat, mixing, neardup, periods, quality, secrets, substrings, suffixes, topk, urls
+from tickweave.llm import bpe, chat, licenses, merkle, mixing, neardup, periods, quality, secrets, substrings, suffixes, topk, urls
 from tickweave.llm.common import LOWER, UPPER, read_table, text_of, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,76 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.back")).alias("length"), F.col("best.period").alias("period"),
         F.expr("(-1000 * best.back) div best.period").alias("exponent_milli"), F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# A checksum of the id's digits, bit by bit; sha256 trees and walks up them by recursion.
+_CRC = "xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda y, k: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))), 4294967295::UBIGINT)"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes by level over ``grp, pos, digest, n``, and the runs of siblings."""
+    return f"""
+{name}(lvl, grp, pos, digest, n) AS (SELECT 0, grp, pos, digest, n FROM {leaves}
+  UNION ALL SELECT lvl + 1, grp, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY lvl, grp, pos // 3, n),
+{name}_runs AS (SELECT lvl, grp, pos // 3 AS run, list(digest ORDER BY pos) AS d FROM {name} WHERE n > 1 GROUP BY lvl, grp, pos // 3)"""
+
+
+def _walk_sql(name: str, tree: str, start: str) -> str:
+    """From ``row, grp, pos, sofar, proof`` up a tree; the last step of each row is its root."""
+    left, right = "array_to_string(d[1:(w.pos % 3)], '')", "array_to_string(d[(w.pos % 3 + 2):3], '')"
+    return f"""
+{name}(lvl, rid, grp, pos, sofar, proof) AS (SELECT 0, rid, grp, pos, sofar, proof FROM {start}
+  UNION ALL SELECT w.lvl + 1, rid, w.grp, w.pos // 3, sha256({left} || sofar || {right}), proof || {left} || {right}
+  FROM {name} w JOIN {tree}_runs r ON r.lvl = w.lvl AND r.run = w.pos // 3 AND r.grp IS NOT DISTINCT FROM w.grp),
+{name}_end AS (SELECT rid, max_by(sofar, lvl) AS sofar, max_by(proof, lvl) AS proof FROM {name} GROUP BY rid)"""
+
+
+@query(f"""
+WITH RECURSIVE found AS (SELECT doc_id, source AS grp, {_leaf_sql("text")} AS digest, CASE WHEN {_CRC} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS seen FROM documents),
+leaves AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM found),
+{_tree_sql("tree", "leaves")},
+subroots AS (SELECT grp AS name, digest, true AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+{_tree_sql("tops", "subroots")},
+{_walk_sql("lower_part", "tree", "(SELECT rid, grp, pos, seen AS sofar, '' AS proof FROM leaves)")},
+{_walk_sql("upper_part", "tops", '(SELECT l.rid, s.grp, s.pos, e.sofar, e.proof FROM leaves l JOIN lower_part_end e USING (rid) JOIN subroots s ON s.name IS NOT DISTINCT FROM l.grp)')}
+SELECT doc_id, l.digest AS leaf, s.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256, e.sofar AS folded_root, e.sofar = t.digest AS verified
+FROM leaves l JOIN upper_part_end e USING (rid) JOIN subroots s ON s.name IS NOT DISTINCT FROM l.grp JOIN tops t ON t.n = 1""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    out = merkle.merkle_manifest(docs, [*map(F.col, fields), F.col("text")], found=[*map(F.col, fields), text])
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_of("path"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _license_sql() -> str:
+    words = lambda t: f"regexp_extract_all({t}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    half, block = licenses.BLOCK_WORDS // 2, licenses.BLOCK_WORDS
+    stands = lambda p: " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(p.split(), 1))
+    places = [f"list_filter(range(len(w)), lambda i: {stands(p)})" for p in licenses.PHRASES]
+    labels = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{v}' END" for k, v in enumerate(licenses.PHRASES.values()))
+    known = ", ".join(f"('{label}', {sorted(set(licenses.template_words(t)))})" for label, t in licenses.TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+w AS (SELECT *, {words("t")} AS w FROM d),
+p AS (SELECT id, doc_id, len(w) AS n_words, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM w),
+b AS (SELECT id, doc_id, n_words, list_concat({", ".join(f"p{k}" for k in range(len(places)))}) AS places, list_filter([{labels}], lambda x: x IS NOT NULL) AS base FROM p),
+known(label, has) AS (VALUES {known}),
+lines AS (SELECT id, {words("unnest(string_split(t, chr(10)))")} AS w FROM d),
+blocks AS (SELECT DISTINCT id, list_distinct(w[{half} * k + 1 : {half} * k + {block}]) AS has FROM
+  (SELECT id, w, unnest(range(1 + greatest(0, ceil((len(w) - {block}) / {half}))::BIGINT)) AS k FROM lines)),
+m AS (SELECT id, label, len(list_intersect(b.has, k.has)) / len(k.has) AS share FROM blocks b JOIN known k ON 100 * len(list_intersect(b.has, k.has)) >= {licenses.MIN_PCT} * len(k.has)),
+best AS (SELECT id, list(label) AS more, max(share) AS share FROM m GROUP BY id)
+SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+  array_to_string(list_sort(list_distinct(base)), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score FROM b LEFT JOIN best USING (id)"""
+
+
+@query(_license_sql())
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
