@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--agent-types", required=True)
     p.add_argument("--mode", default="widen", choices=("checked", "strict", "widen"))
     p.add_argument("--suffix", action="store_true")
+    p.add_argument("--skip-unreadable", action="store_true")
     p = job("views", "numbers behind the views of a JSON specification", ranges=False)
     p.add_argument("-c", "--config", required=True)
     p = job("sensitivity", "metric checkpoints and density grids")
@@ -55,10 +56,12 @@ def main(argv: list[str] | None = None) -> None:
         raise SystemExit("input and output must differ")
     spark = SparkSession.builder.appName(f"tickweave-{a.job}").getOrCreate()
     if a.job == "etl":
-        paths = jobs.build_checkpoints(spark, a.input, a.output, a.agent_types, a.sets, a.runs, a.mode, a.suffix)
+        paths = jobs.build_checkpoints(spark, a.input, a.output, a.agent_types, a.sets, a.runs, a.mode, a.suffix, a.skip_unreadable)
         print(json.dumps(paths))
         for agent in paths:
             print(json.dumps({"rejects": agent, **jobs.reject_totals(spark, a.output, agent)}))
+            for r in jobs.skip_totals(spark, a.output, agent).orderBy("reason").toLocalIterator():
+                print(json.dumps({"skipped": agent, **r.asDict()}))
     elif a.job == "views":
         for name, table in run_views(spark, load_spec(a.config), a.input).items():
             table.write.mode("overwrite").parquet(f"{a.output}/{name}.parquet")

@@ -83,6 +83,20 @@ def table_of_file(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(_col(c), r"^data_", ""), r"\.parquet$", "")
 
 
+# Pieces of a run that is split over several files: <number>_data_<agent>.parquet.
+PIECE_NAME = r"^(-?[0-9]+)_(data_.*)$"
+
+
+def piece_of_file(c: Column | str) -> Column:
+    """Number of a piece, null for a file that holds a whole run."""
+    return F.regexp_extract(_col(c), PIECE_NAME, 1).try_cast("bigint")
+
+
+def whole_name(c: Column | str) -> Column:
+    """File name without the number of a piece."""
+    return F.regexp_replace(_col(c), PIECE_NAME, "$2")
+
+
 # Fixed value: flat database file names, in any letter case.
 FLAT_DB_NAME = r"(?i)^(set_[a-z0-9]+)_(run_[a-z0-9]+)(?:_.*)?\.(?:db|sqlite|sqlite3)$"
 

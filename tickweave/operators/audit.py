@@ -40,8 +40,11 @@ def selection_totals(cells: DataFrame, sets=None, runs=None) -> DataFrame:
 
 
 def agent_census(files: DataFrame) -> DataFrame:
-    """Agent types per set, from a file list with ``set_num`` and ``agent``."""
-    return files.groupBy("set_num", "agent").agg(F.count(F.lit(1)).alias("files"))
+    """Agent types per set, from a file list with ``set_num``, ``agent`` and ``piece``; a split run counts as one file."""
+    if "piece" not in files.columns:
+        return files.groupBy("set_num", "agent").agg(F.count(F.lit(1)).alias("files"))
+    runs = files.groupBy("set_num", "agent", "run_num").agg(F.greatest(F.count_if(F.col("piece").isNull()), F.lit(1)).alias("n"))
+    return runs.groupBy("set_num", "agent").agg(F.sum("n").alias("files"))
 
 
 def expected_cells(spark: SparkSession, sets, runs) -> DataFrame:

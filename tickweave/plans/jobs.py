@@ -16,24 +16,31 @@ from tickweave.sources.feather import read_feather
 from tickweave.sources.footers import schema_manifest, table_files
 from tickweave.sources.params import read_params
 from tickweave.sources.sqlite_db import ingest_sqlite_tree
-from tickweave.sources.tree import read_metric, read_tree, tree_rejects
+from tickweave.sources.tree import read_ledgered, read_metric, read_tree
 
 
-def build_checkpoints(spark: SparkSession, root: str, out: str, agents: str, sets=None, runs=None, mode: str = "widen", suffix: bool = False) -> dict[str, str]:
+def build_checkpoints(spark: SparkSession, root: str, out: str, agents: str, sets=None, runs=None, mode: str = "widen", suffix: bool = False, skip_unreadable: bool = False) -> dict[str, str]:
     """``checkpoint_<agent>.parquet`` for each agent type in a comma list; agents without files are skipped.
 
-    Beside each checkpoint, ``rejects_<agent>.parquet`` tells per set and run how many values became null.
+    Beside each checkpoint, ``rejects_<agent>.parquet`` tells per set and run how many values became null, and
+    ``skipped_<agent>.parquet`` which files were left out and why. Footers are compared once for all three.
     """
     paths = {}
     for agent in split_list(agents):
-        ens = read_tree(spark, root, agent, sets, runs, suffix=suffix, mode=mode)
-        if len(ens.columns) > 4 or not ens.isEmpty():
-            paths[agent] = write_checkpoint(ens, out, agent)
-            lost = tree_rejects(spark, root, agent, sets, runs, suffix, mode)
-            lost.write.mode("overwrite").parquet(f"{out.rstrip('/')}/rejects_{agent}.parquet")
+        reading = read_ledgered(spark, root, agent, sets, runs, suffix=suffix, mode=mode, skip_unreadable=skip_unreadable)
+        if len(reading.rows.columns) > 4 or not reading.rows.isEmpty():
+            paths[agent] = write_checkpoint(reading.rows, out, agent)
+            for name, report in (("rejects", reading.rejects), ("skipped", reading.ledger)):
+                report.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}_{agent}.parquet")
     return paths
 
 
+def skip_totals(spark: SparkSession, out: str, agent: str) -> DataFrame:
+    """Files and rows that a checkpoint was built without, by reason."""
+    skipped = spark.read.parquet(f"{out.rstrip('/')}/skipped_{agent}.parquet")
+    return skipped.groupBy("reason").agg(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"))
+
+
 def reject_totals(spark: SparkSession, out: str, agent: str) -> dict[str, int]:
     """Rows of a checkpoint and, per column, the values that became null when it was built."""
     lost = spark.read.parquet(f"{out.rstrip('/')}/rejects_{agent}.parquet").drop("set_num", "run_num")

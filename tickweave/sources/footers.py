@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tickweave.functions.names import in_bounds, parse_range, table_of_file
+from tickweave.functions.names import in_bounds, parse_range, piece_of_file, table_of_file, whole_name
 from tickweave.sources.listing import RUN_FILE, list_files, open_input, part_of_path, run_of_path, set_of_path, tree_roots
 
 FOOTER_SCHEMA = "path string, n_rows bigint, position int, variable string, type string, spark_type string"
@@ -33,52 +34,84 @@ def spark_type(kind) -> str:
         return str(kind)
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_footers(batches: Iterator[pd.DataFrame], skip_unreadable: bool = False) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
     import pyarrow.parquet as pq
 
     for batch in batches:
         out = []
         for path in batch["path"]:
-            with open_input(path) as f:
-                meta = pq.ParquetFile(f)
-                rows = meta.metadata.num_rows
-                out += [(path, rows, i, c.name, str(c.type), spark_type(c.type)) for i, c in enumerate(meta.schema_arrow)]
-        yield pd.DataFrame(out, columns=["path", "n_rows", "position", "variable", "type", "spark_type"])
-
-
-def footers(files: DataFrame, n_files: int | None = None) -> DataFrame:
-    """One row per file and column."""
+            try:
+                with open_input(path) as f:
+                    meta = pq.ParquetFile(f)
+                    rows = meta.metadata.num_rows
+                    columns = [(path, rows, i, c.name, str(c.type), spark_type(c.type)) for i, c in enumerate(meta.schema_arrow)]
+                    out += columns or [(path, rows, None, None, None, None)]
+            except (pa.ArrowException, OSError) as e:
+                if not skip_unreadable:
+                    raise ValueError(f"{path} has no readable Parquet footer: {e}") from e
+                out.append((path, None, None, None, None, None))
+        frame = pd.DataFrame(out, columns=["path", "n_rows", "position", "variable", "type", "spark_type"])
+        yield frame.astype({"n_rows": "Int64", "position": "Int32"})
+
+
+def footers(files: DataFrame, n_files: int | None = None, skip_unreadable: bool = False) -> DataFrame:
+    """One row per file and column; one row without a column for a file that has none.
+
+    A file without a readable footer fails the job, or, with ``skip_unreadable``, has one row without a number of rows.
+    """
     if n_files is None:
         n_files = files.count()
     tasks = max(1, -(-n_files // FILES_PER_TASK))
-    return files.select("path").repartition(tasks, "path").mapInPandas(_read_footers, FOOTER_SCHEMA)
+    read = partial(_read_footers, skip_unreadable=skip_unreadable)
+    return files.select("path").repartition(tasks, "path").mapInPandas(read, FOOTER_SCHEMA)
 
 
-def table_files(spark, root: str, sets=None, runs=None) -> DataFrame:
-    """Run tables ``data_<agent>.parquet`` of a tree with their coordinates; helper tables are left out."""
-    name = part_of_path(F.col("path"), 1)
-    files = list_files(spark, tree_roots(spark, root, sets), "data_*.parquet", check=False)
+def table_exclusion(name: Column) -> Column:
+    """Why a file of a run folder is no run table; null for one that is. Pieces of a split run are run tables."""
+    own = whole_name(name)
     return (
-        files.where(F.col("path").rlike(RUN_FILE) & ~name.contains("_iters_"))
-        .select(
-            "path", "modificationTime", "length",
-            set_of_path(F.col("path")).alias("set_num"),
-            run_of_path(F.col("path")).alias("run_num"),
-            table_of_file(name).alias("agent"),
-        )
-        .where(in_bounds("run_num", parse_range(runs)))
+        F.when(own.contains("_iters_"), F.lit("helper table"))
+        .when(~own.startswith("data_"), F.lit("not named data_*"))
+        .when(~own.endswith(".parquet"), F.lit("not Parquet"))
     )
 
 
+def _run_folder_files(spark, root: str, sets, runs, glob: str) -> DataFrame:
+    files = list_files(spark, tree_roots(spark, root, sets), glob, check=False).where(F.col("path").rlike(RUN_FILE))
+    path = F.col("path")
+    files = files.select("path", "modificationTime", "length", set_of_path(path).alias("set_num"), run_of_path(path).alias("run_num"), part_of_path(path, 1).alias("name"))
+    return files.where(in_bounds("run_num", parse_range(runs)))
+
+
+def table_files(spark, root: str, sets=None, runs=None) -> DataFrame:
+    """Run tables ``data_<agent>.parquet`` of a tree with their coordinates; helper tables are left out.
+
+    A run whose table is split has a row per piece, with the piece's number.
+    """
+    files = _run_folder_files(spark, root, sets, runs, "*data_*.parquet").where(table_exclusion(F.col("name")).isNull())
+    agent = table_of_file(whole_name(F.col("name"))).alias("agent")
+    return files.select("path", "modificationTime", "length", "set_num", "run_num", agent, piece_of_file(F.col("name")).alias("piece"))
+
+
+def excluded_tables(spark, root: str, sets=None, runs=None) -> DataFrame:
+    """Files in run folders that :func:`table_files` leaves out by their name: ``path, set_num, run_num, reason``."""
+    files = _run_folder_files(spark, root, sets, runs, "*")
+    return files.select("path", "set_num", "run_num", table_exclusion(F.col("name")).alias("reason")).where("reason IS NOT NULL")
+
+
 def schema_manifest(spark, root: str, sets=None, runs=None) -> DataFrame:
     """Variables of each agent type with type and number of files; several types per name mean drift."""
     files = table_files(spark, root, sets, runs)
-    per_agent = files.groupBy("agent").agg(F.count(F.lit(1)).alias("agent_files"))
+    run = F.struct(part_of_path(F.col("path"), 3), part_of_path(F.col("path"), 2))
+    agent = table_of_file(whole_name(part_of_path(F.col("path"), 1)))
+    per_agent = files.groupBy("agent").agg(F.count_distinct(run).alias("agent_files"))
     cols = footers(files).where(~F.col("variable").isin(*HIDDEN))
+    # the pieces of a split run are one table
+    once = cols.select(agent.alias("agent"), "variable", "type", run.alias("run"), "position")
     seen = (
-        cols.withColumn("agent", table_of_file(part_of_path(F.col("path"), 1)))
-        .groupBy("agent", "variable", "type")
-        .agg(F.count(F.lit(1)).alias("files"), F.min("position").alias("position"))
+        once.groupBy("agent", "variable", "type", "run").agg(F.min("position").alias("position"))
+        .groupBy("agent", "variable", "type").agg(F.count(F.lit(1)).alias("files"), F.min("position").alias("position"))
     )
     return seen.join(per_agent, "agent").select(
         "agent", "variable", "type", "position", "files", (F.col("files") < F.col("agent_files")).alias("drift")

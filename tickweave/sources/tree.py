@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import warnings
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tickweave.functions.names import TICK_NAMES, in_bounds, parse_range, token_regex
+from tickweave.functions.names import TICK_NAMES, in_bounds, parse_range, piece_of_file, token_regex, whole_name
+from tickweave.operators.joining import attach
 from tickweave.operators.shaping import canonicalize, coordinate_columns, downcast, reject_counts, resolve_roles, union_runs
 from tickweave.sources.footers import footers
 from tickweave.session import settle
@@ -48,9 +49,8 @@ class FileGroup:
 
     roles: tuple[str | None, str | None]
     columns: dict[str, str]
-    signatures: list[str]
 
-    def try_add(self, columns: dict[str, str], signature: str) -> bool:
+    def try_add(self, columns: dict[str, str]) -> bool:
         merged = dict(self.columns)
         for name, kind in columns.items():
             kind = _common_type(merged.get(name, kind), kind)
@@ -58,7 +58,6 @@ class FileGroup:
                 return False
             merged[name] = kind
         self.columns = merged
-        self.signatures.append(signature)
         return True
 
     @property
@@ -68,43 +67,93 @@ class FileGroup:
 
 @dataclass
 class TreeScan:
-    """How to read the files of a tree: the groups, and whether one glob covers them all."""
+    """How to read the files of a tree.
+
+    ``ledger`` has a row per file: ``path, set_num, run_num, piece, n_rows``, the group that reads it or the ``reason`` why
+    none does, and ``start``, the rows that earlier pieces of its run have.
+    """
 
     groups: list[FileGroup]
-    per_file: DataFrame
-    whole: bool
+    ledger: DataFrame
+    whole: bool  # one group has all files
+    split: bool  # some file is a later piece of its run
+
+    def stretches(self) -> list:
+        """Where along the tree each group has its files: one row per change of layout, not per file.
+
+        Files of a set folder are ordered by run and name; neighbours of one group make a stretch. Only its ends come to
+        the driver, with ``only``: whether the whole folder is one stretch.
+        """
+        path = F.col("path")
+        files = self.ledger.select(part_of_path(path, 3).alias("folder"), "grp", _place(path).alias("place"))
+        along = Window.partitionBy("folder").orderBy("place")
+        files = files.withColumn("new", F.when(F.col("grp").eqNullSafe(F.lag("grp").over(along)) & (F.row_number().over(along) > 1), 0).otherwise(1))
+        files = files.withColumn("stretch", F.sum("new").over(along))
+        ends = files.groupBy("folder", "stretch", "grp").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        ends = ends.withColumn("only", F.count(F.lit(1)).over(Window.partitionBy("folder")) == 1)
+        return list(ends.where("grp IS NOT NULL").orderBy("folder", "stretch").toLocalIterator())
+
 
-    def paths(self, group: FileGroup) -> list[str]:
-        """File paths of one group. Like Spark's own file index they live on the driver."""
-        rows = self.per_file.where(F.col("signature").isin(*group.signatures)).select("path")
-        return sorted(r["path"] for r in rows.toLocalIterator())
+def _place(path: Column) -> Column:
+    """Order of the files of a set folder, from the path alone."""
+    return F.struct(F.coalesce(run_of_path(path), F.lit(-1)).alias("run"), part_of_path(path, 2).alias("folder"), part_of_path(path, 1).alias("name"))
 
 
-def plan_scan(files: DataFrame, wanted: list[str] | None = None) -> TreeScan:
+def _any(conditions: list[Column]) -> Column:
+    """Disjunction as a balanced tree, so that many conditions are no deep expression."""
+    while len(conditions) > 1:
+        conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + ([conditions[-1]] if len(conditions) % 2 else [])
+    return conditions[0]
+
+
+def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable: bool = False) -> TreeScan:
     """Group files by what their footers hold. Only the distinct signatures come to the driver.
 
-    ``wanted`` narrows the comparison to these metrics (and the tick); files lacking one are left out.
+    ``wanted`` narrows the comparison to these metrics (and the tick); files lacking one are left out, as are files without
+    rows and, where all columns are wanted, files without a tick. ``skip_unreadable`` leaves out files that are no Parquet.
     """
-    cols = footers(files).where(F.col("n_rows") > 0)
-    if wanted is not None:
-        cols = cols.where(F.col("variable").isin(*wanted, *TICK_NAMES))
+    cols = footers(files, skip_unreadable=skip_unreadable)
     line = F.concat_ws("\t", F.col("variable"), F.col("spark_type"))
+    if wanted is not None:
+        line = F.when(F.col("variable").isin(*wanted, *TICK_NAMES), line)
+    lines = F.collect_list(F.when(line.isNotNull(), F.struct(F.col("position"), line.alias("line"))))
     per_file = cols.groupBy("path").agg(
-        F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct(F.col("position"), line.alias("line")))), lambda s: s["line"])).alias("signature")
+        F.max("n_rows").alias("n_rows"), F.concat_ws("\n", F.transform(F.array_sort(lines), lambda s: s["line"])).alias("signature")
     )
     per_file = settle(per_file, "footers")
     groups: list[FileGroup] = []
-    skipped = False
-    for row in per_file.groupBy("signature").count().orderBy(F.desc("count"), "signature").toLocalIterator():
-        kinds = dict(entry.split("\t") for entry in row["signature"].split("\n"))
+    members: list[tuple[str, int | None, str | None]] = []
+    for row in per_file.where("n_rows > 0").groupBy("signature").count().orderBy(F.desc("count"), "signature").toLocalIterator():
+        kinds = dict(entry.split("\t") for entry in row["signature"].split("\n") if entry)
         roles = resolve_roles(list(kinds))
-        if (wanted is None and roles.tick is None) or (wanted is not None and not set(wanted) <= set(kinds)):
-            skipped = True
+        lacking = [m for m in wanted or () if m not in kinds]
+        if lacking or (wanted is None and roles.tick is None):
+            members.append((row["signature"], None, "no column " + ", ".join(lacking) if lacking else "no tick column"))
             continue
         who = (roles.tick, roles.agent if wanted is None else None)
-        if not any(g.roles == who and g.try_add(kinds, row["signature"]) for g in groups):
-            groups.append(FileGroup(who, kinds, [row["signature"]]))
-    return TreeScan(groups, per_file, len(groups) == 1 and not skipped)
+        k = next((k for k, g in enumerate(groups) if g.roles == who and g.try_add(kinds)), None)
+        if k is None:
+            groups.append(FileGroup(who, kinds))
+            k = len(groups) - 1
+        members.append((row["signature"], k, None))
+    path = F.col("path")
+    known = files.sparkSession.createDataFrame(members, "signature string, grp int, reason string")
+    reason = F.when(F.col("n_rows").isNull(), "not readable").when(F.col("n_rows") == 0, "no rows").otherwise(F.col("reason"))
+    ledger = (
+        per_file.join(known, "signature", "left").withColumn("reason", reason).withColumn("grp", F.when(F.col("reason").isNull(), F.col("grp")))
+        .select("path", set_of_path(path).alias("set_num"), run_of_path(path).alias("run_num"), piece_of_file(part_of_path(path, 1)).alias("piece"), "n_rows", "grp", "reason")
+    )
+    folders = [part_of_path(path, 3), part_of_path(path, 2), whole_name(part_of_path(path, 1))]
+    earlier = Window.partitionBy(*folders).orderBy("piece", "path").rowsBetween(Window.unboundedPreceding, -1)
+    read = F.when(F.col("reason").isNull(), F.col("n_rows"))
+    ledger = settle(ledger.withColumn("start", F.coalesce(F.sum(read).over(earlier), F.lit(0))), "ledger")
+    left_out, split = ledger.agg(F.count("reason"), F.coalesce(F.bool_or(F.col("reason").isNull() & (F.col("start") > 0)), F.lit(False))).first()
+    return TreeScan(groups, ledger, len(groups) == 1 and not left_out, split)
+
+
+def left_out(scan: TreeScan) -> DataFrame:
+    """Files that no scan reads: ``path, set_num, run_num, piece, n_rows, reason``."""
+    return scan.ledger.where("reason IS NOT NULL").select("path", "set_num", "run_num", "piece", "n_rows", "reason")
 
 
 def _empty(spark: SparkSession, what: str) -> DataFrame:
@@ -128,62 +177,141 @@ def _stem() -> Column:
     return F.regexp_replace(part_of_path(F.col("_file"), 1), r"\.parquet$", "")
 
 
-def _glob_scan(spark: SparkSession, root: str, glob: str, sets, runs, schema: str | None, token: str | None) -> DataFrame:
-    """One scan over globs. Filters on the file path drop files while the scan is planned."""
-    if parse_range(sets) is None:
-        globs = [f"{root.rstrip('/')}/set_*/run_*/{glob}"]
-    else:
-        globs = [f"{d}/run_*/{glob}" for d in set_folders(spark, root, sets)]
-    rows = _scan(spark, globs, schema)
-    if parse_range(runs) is not None:
-        rows = rows.where(in_bounds(run_of_path(F.col("_file")), parse_range(runs)))
-    return rows if token is None else rows.where(_stem().rlike(token_regex(token)))
+@dataclass
+class Source:
+    """Which files of a tree: a glob for the file name, ranges, and a pattern that the name without ``.parquet`` must match."""
+
+    spark: SparkSession
+    root: str
+    glob: str
+    sets: str | tuple | None
+    runs: str | tuple | None
+    stem: str | None
+
+    def files(self) -> DataFrame:
+        found = tree_files(self.spark, self.root, self.glob, self.sets, self.runs)
+        if self.stem is None:
+            return found
+        return found.where(F.regexp_replace(part_of_path(F.col("path"), 1), r"\.parquet$", "").rlike(self.stem))
+
+    def scan(self, schema: str | None, folders: list[str] | None = None) -> DataFrame:
+        """One scan over globs. Filters on the file path drop files while the scan is planned."""
+        base = self.root.rstrip("/")
+        if folders is None and parse_range(self.sets) is None:
+            globs = [f"{base}/set_*/run_*/{self.glob}"]
+        else:
+            chosen = set_folders(self.spark, self.root, self.sets) if folders is None else [f"{base}/{f}" for f in folders]
+            globs = [f"{d}/run_*/{self.glob}" for d in chosen]
+        rows = _scan(self.spark, globs, schema)
+        if parse_range(self.runs) is not None:
+            rows = rows.where(in_bounds(run_of_path(F.col("_file")), parse_range(self.runs)))
+        return rows if self.stem is None else rows.where(_stem().rlike(self.stem))
+
+    def parts(self, plan: TreeScan) -> list[tuple[FileGroup, DataFrame]]:
+        """The rows of each group, with ``_row`` counted from the start of the run.
+
+        Set folders that belong to one group are read by glob. Elsewhere the ends of the group's stretches make a filter on
+        the file path, which drops all other files while the scan is planned, before any is opened.
+        """
+        if plan.whole:
+            found = [(plan.groups[0], self.scan(plan.groups[0].schema))]
+        else:
+            found, ends = [], plan.stretches()
+            for k, g in enumerate(plan.groups):
+                own = [e for e in ends if e["grp"] == k]
+                plain = [e["folder"] for e in own if e["only"]]
+                if plain:
+                    found.append((g, self.scan(g.schema, plain)))
+                mixed = [e for e in own if not e["only"]]
+                if mixed:
+                    place = _place(F.col("_file"))
+                    bound = lambda p: F.struct(F.lit(p["run"]).alias("run"), F.lit(p["folder"]).alias("folder"), F.lit(p["name"]).alias("name"))
+                    inside = [(part_of_path(F.col("_file"), 3) == e["folder"]) & (place >= bound(e["first"])) & (place <= bound(e["last"])) for e in mixed]
+                    found.append((g, self.scan(g.schema, sorted({e["folder"] for e in mixed})).where(_any(inside))))
+        return [(g, self.placed(rows, plan.ledger) if plan.split else rows) for g, rows in found]
+
+    def placed(self, rows: DataFrame, ledger: DataFrame) -> DataFrame:
+        """``_row`` counted from the start of the run: later pieces begin where the earlier ones end."""
+        starts = ledger.where("reason IS NULL AND start > 0").select(F.col("path").alias("_file"), F.col("start").alias("_start"))
+        met = attach(rows, starts, ["_file"], "left", name="piece-starts")
+        return met.withColumn("_row", F.col("_row") + F.coalesce("_start", F.lit(0))).drop("_start")
+
+
+@dataclass
+class Reading:
+    """A tree read as one table, and what was left out of it."""
+
+    rows: DataFrame
+    ledger: DataFrame
+    rejects: DataFrame
+
+
+REJECTS = "set_num int, run_num int, rows bigint"
+LEFT_OUT = "path string, set_num int, run_num int, piece bigint, n_rows bigint, reason string"
 
 
 def read_tree(
     spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen",
-    schema: str | T.StructType | None = None,
+    schema: str | T.StructType | None = None, skip_unreadable: bool = False,
 ) -> DataFrame:
     """All runs of one agent type as one canonical table.
 
     The agent name must be a whole word of the file name; ``suffix=True`` takes every name that ends in
     it. Footers decide how the files are read: usually one scan in the merged schema; files with other
     role names or clashing types get scans of their own, united by name after the casts. Files without a
-    tick column or without rows are skipped. ``schema`` promises a schema and saves reading the footers.
+    tick column or without rows are skipped (:func:`read_ledgered` lists them). Surrogate IDs run on through the pieces of a
+    split run. ``schema`` promises a schema and saves comparing the footers.
     No match gives a warning and an empty table. ``mode`` is that of :func:`downcast`.
     """
-    parts = _canonical_parts(spark, root, agent, sets, runs, suffix, schema, lambda rows: downcast(rows, mode))
-    return union_runs(*parts) if parts else _empty(spark, f"*{agent}.parquet in {root}")
+    return read_ledgered(spark, root, agent, sets, runs, suffix, mode, schema, skip_unreadable).rows
 
 
-def tree_rejects(spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen") -> DataFrame:
-    """Per set and run: rows, and how many values of each column :func:`read_tree` turns into null in this mode."""
-    parts = _canonical_parts(spark, root, agent, sets, runs, suffix, None, lambda rows: reject_counts(rows, mode=mode))
+def read_ledgered(
+    spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen",
+    schema: str | T.StructType | None = None, skip_unreadable: bool = False,
+) -> Reading:
+    """:func:`read_tree` with the files it leaves out and why, and per set and run the values that became null.
+
+    Rows are counted from the footers, and values only where some can be lost: files are not read again for columns that
+    every value fits.
+    """
+    source = Source(spark, root, f"*{agent}.parquet", sets, runs, None if suffix else token_regex(agent))
+    files = source.files()
+    if schema is not None and not files.isEmpty():
+        text = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        scanned = source.scan(text)
+        pieces = files.where(piece_of_file(part_of_path(F.col("path"), 1)).isNotNull())
+        parts = [scanned if pieces.isEmpty() else source.placed(scanned, plan_scan(files).ledger)]
+        ledger, counted = spark.createDataFrame([], LEFT_OUT), None
+    else:
+        plan = plan_scan(files, skip_unreadable=skip_unreadable)
+        parts = [rows for _, rows in source.parts(plan)]
+        ledger = left_out(plan)
+        counted = plan.ledger.where("reason IS NULL").groupBy("set_num", "run_num").agg(F.sum("n_rows").alias("rows"))
     if not parts:
-        return spark.createDataFrame([], "set_num int, run_num int, rows bigint")
-    lost = union_runs(*parts)
-    return lost.fillna(0, [c for c in lost.columns if c not in ("set_num", "run_num")])
+        return Reading(_empty(spark, f"*{agent}.parquet in {root}"), ledger, spark.createDataFrame([], REJECTS))
+    parts = [canonicalize(rows.drop("_file"), F.col("_row")).drop("_row") for rows in parts]
+    return Reading(union_runs(*[downcast(rows, mode) for rows in parts]), ledger, _rejects(parts, mode, counted))
 
 
-def _canonical_parts(spark, root, agent, sets, runs, suffix, schema, shape: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
-    """``shape`` applied to the canonical rows of each group of files that one scan reads."""
-    glob, token = f"*{agent}.parquet", None if suffix else agent
+def _rejects(parts: list[DataFrame], mode: str, counted: DataFrame | None) -> DataFrame:
+    """Per set and run: rows, and how many values of each column become null in this mode."""
+    if counted is not None and mode == "widen" and all(isinstance(rows.schema["ID"].dataType, T.IntegralType) for rows in parts):
+        whole = {f.name for rows in parts for f in rows.schema.fields if f.name not in ("set_num", "run_num") and (isinstance(f.dataType, T.IntegralType) or f.name == "ID")}
+        names = [c for c in dict.fromkeys(c for rows in parts for c in rows.columns) if c in whole]
+        return counted.select("set_num", "run_num", "rows", *[F.lit(0).cast("bigint").alias(c) for c in names])
+    lost = union_runs(*[reject_counts(rows, mode=mode) for rows in parts])
+    counts = [c for c in lost.columns if c not in ("set_num", "run_num")]
+    return lost.groupBy("set_num", "run_num").agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in counts])
 
-    def canonical(rows: DataFrame) -> DataFrame:
-        return shape(canonicalize(rows.drop("_file"), F.col("_row")).drop("_row"))
 
-    files = tree_files(spark, root, glob, sets, runs)
-    if token is not None:
-        files = files.where(F.regexp_replace(part_of_path(F.col("path"), 1), r"\.parquet$", "").rlike(token_regex(agent)))
-    if schema is not None and not files.isEmpty():
-        text = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        return [canonical(_glob_scan(spark, root, glob, sets, runs, text, token))]
-    scan = plan_scan(files) if schema is None else None
-    if scan is None or not scan.groups:
-        return []
-    if scan.whole:
-        return [canonical(_glob_scan(spark, root, glob, sets, runs, scan.groups[0].schema, token))]
-    return [canonical(_scan(spark, scan.paths(g), g.schema)) for g in scan.groups]
+def tree_rejects(spark: SparkSession, root: str, agent: str, sets=None, runs=None, suffix: bool = False, mode: str = "widen") -> DataFrame:
+    """Per set and run: rows, and how many values of each column :func:`read_tree` turns into null in this mode."""
+    return read_ledgered(spark, root, agent, sets, runs, suffix, mode).rejects
+
+
+def _metric_source(spark: SparkSession, root: str, table: str, sets, runs) -> Source:
+    return Source(spark, root, f"*data_{table}.parquet", sets, runs, rf"^(-?[0-9]+_)?data_{re.escape(table)}$")
 
 
 def read_metric(
@@ -191,25 +319,29 @@ def read_metric(
 ) -> DataFrame:
     """Metrics of ``data_<table>.parquet`` as ``set_num, run_num, time_step, tick, <metrics>``.
 
-    ``time_step`` counts 1..n after keeping every ``stride``-th row of a file, ``tick`` is the tick the
-    file holds (null if none). The place in the file comes from the Parquet reader: one map-only pass
-    over the wanted columns, with no sort and no shuffle.
+    ``time_step`` counts 1..n after keeping every ``stride``-th row of a run, ``tick`` is the tick the
+    file holds (null if none). The place in the file comes from the Parquet reader, the place of a piece in a split run
+    from the footers: one map-only pass over the wanted columns, with no sort and no shuffle.
     """
+    return read_metric_ledgered(spark, root, table, metric, sets, runs, stride)[0]
+
+
+def read_metric_ledgered(
+    spark: SparkSession, root: str, table: str, metric: str | list[str], sets=None, runs=None, stride: int = 1, skip_unreadable: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_metric` with the files it leaves out and why."""
     if stride < 1:
         raise ValueError("stride must be at least 1")
     metrics = [metric] if isinstance(metric, str) else list(metric)
-    glob = f"data_{table}.parquet"
-    scan = plan_scan(tree_files(spark, root, glob, sets, runs), metrics)
-    if not scan.groups:
-        _empty(spark, f"{glob} with {metrics} in {root}")
+    source = _metric_source(spark, root, table, sets, runs)
+    plan = plan_scan(source.files(), metrics, skip_unreadable)
+    if not plan.groups:
+        _empty(spark, f"{source.glob} with {metrics} in {root}")
         cols = "set_num int, run_num int, time_step int, tick bigint, " + ", ".join(f"`{m}` float" for m in metrics)
-        return spark.createDataFrame([], cols)
+        return spark.createDataFrame([], cols), left_out(plan)
     parts = []
-    for g in scan.groups:
+    for g, rows in source.parts(plan):
         tick = g.roles[0]
-        rows = (
-            _glob_scan(spark, root, glob, sets, runs, g.schema, None) if scan.whole else _scan(spark, scan.paths(g), g.schema)
-        )
         parts.append(
             rows.where(F.col("_row") % F.lit(stride) == 0).select(
                 "set_num",
@@ -219,20 +351,18 @@ def read_metric(
                 *[F.col(f"`{m}`").cast("float").alias(m) for m in metrics],
             )
         )
-    return union_runs(*parts)
+    return union_runs(*parts), left_out(plan)
 
 
 def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
     """The one checkpoint in ``folder`` whose name holds the agent as a whole word, Parquet or Feather."""
-    import re
-
     from tickweave.sources.feather import read_feather
 
     names = children(spark, folder, folders=False) + children(spark, folder, folders=True)
     hits = []
     for name in sorted(set(names)):
         stem, _, ext = name.rpartition(".")
-        if name.startswith("rejects_"):  # the report beside a checkpoint is none itself
+        if name.startswith(("rejects_", "skipped_")):  # the reports beside a checkpoint are none themselves
             continue
         if ext.lower() in ("parquet", "feather") and re.search(token_regex(agent), stem):
             hits.append((name, ext.lower()))
