@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,6 +32,26 @@ def remove_matching(spark: SparkSession, folder: str, *globs: str) -> None:
             fs.delete(status.getPath(), True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is either there as a whole or not at all: written beside its place, then moved there."""
+    fs, place = _fs(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, place):
+        raise OSError(f"{path} could not be put in place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, place = _fs(spark, path)
+    stream = fs.open(place)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def children(spark: SparkSession, path: str, folders: bool) -> list[str]:
     """Names of the folders (or files) right below ``path``."""
     fs, p = _fs(spark, path)
