@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickweave.functions.numeric import bin_edge, bin_index, is_finite
 from tickweave.functions.ticks import iterations
+from tickweave.operators import quantiles
 from tickweave.operators.joining import attach
-from tickweave.operators.quantiles import exact_quantiles
+from tickweave.operators.quantiles import (
+    BRACKET_COLUMNS, bucket_counts, exact_quantiles, find_brackets, inside_brackets, interpolated, pick_ranks,
+    ranked_buckets, with_ranks,
+)
 from tickweave.operators.shaping import require_columns
+from tickweave.session import settle
 
 SNAPSHOT_KEYS = ("iteration", "set_num")
 
@@ -69,34 +74,78 @@ def _with_fences(
     return attach(rows, q, by, at_most=at_most_groups, name="box-fences", weight=weight)
 
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def box_stats(
     df: DataFrame, v: str, by: Sequence[str] = SNAPSHOT_KEYS, reach: float = 1.5, at_most_groups: int | None = None
 ) -> DataFrame:
     """Quartiles, whiskers (furthest points within ``reach`` interquartile ranges) and outlier counts.
 
     A whisker never lies inside the box: without a point beyond the quartile it equals the quartile.
+
+    The source is read twice. The first pass counts rows per (group, bucket of magnitude) with least and greatest value. If
+    all groups are small, the second gathers each group's values in order, and everything is read off that. If not, the
+    quartiles are known up to a bracket and with them the fences up to a few buckets, so the second pass takes the rows of these
+    brackets and buckets only; all other buckets lie wholly inside or outside and are settled by the counts of the first.
     """
     require_columns(df, v, *by)
-    x = F.col("_v")
-    within = (x >= F.col("_low")) & (x <= F.col("_high"))
-    out = (
-        _with_fences(df, v, by, reach, at_most_groups, "_w")
-        .groupBy(*by, "n", "q1", "median", "q3")
-        .agg(
-            F.min(F.when(within, x)).alias("_lo"),
-            F.max(F.when(within, x)).alias("_hi"),
-            F.sum(F.when(~within, F.col("_w")).otherwise(0)).alias("n_outliers"),
-        )
+    keys = list(by) or ["_all"]
+    x = F.col(v).cast("double")
+    rows = df.where(x.isNotNull() & ~F.isnan(x))
+    rows = rows.dropna(subset=list(by)) if by else rows
+    rows = rows.select(*by, *([] if by else [F.lit(0).alias("_all")]), x.alias("_v"))
+    counted = bucket_counts(rows, keys)
+    largest = counted.groupBy(*keys).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
+    box = _small_boxes(rows, keys, reach) if largest <= quantiles.SMALL_GROUP else _large_boxes(rows, ranked_buckets(counted, keys), keys, reach, at_most_groups)
+    return box.select(
+        *by, "n", "q1", "median", "q3", F.least("q1", "_least").alias("whisker_lo"), F.greatest("q3", "_greatest").alias("whisker_hi"), "n_outliers"
     )
-    return out.select(
-        *by,
-        "n",
-        "q1",
-        "median",
-        "q3",
-        F.least("q1", "_lo").alias("whisker_lo"),
-        F.greatest("q3", "_hi").alias("whisker_hi"),
-        "n_outliers",
+
+
+def _fenced(quartiles: DataFrame, reach: float) -> DataFrame:
+    pad = (F.col("q3") - F.col("q1")) * F.lit(reach)
+    return quartiles.withColumn("_low", F.col("q1") - pad).withColumn("_high", F.col("q3") + pad)
+
+
+def _small_boxes(rows: DataFrame, keys: list[str], reach: float) -> DataFrame:
+    ranked = with_ranks(rows, keys, QUARTILES)
+    box = _fenced(ranked.withColumns(interpolated(QUARTILES)), reach)
+    box = box.withColumn("_in", F.filter("_a", lambda x: (x >= F.col("_low")) & (x <= F.col("_high"))))
+    return box.withColumns({
+        "_least": F.get("_in", F.lit(0)), "_greatest": F.try_element_at("_in", F.lit(-1)), "n_outliers": (F.col("n") - F.size("_in")).cast("bigint")
+    })
+
+
+def _large_boxes(rows: DataFrame, counted: DataFrame, keys: list[str], reach: float, at_most_groups: int | None) -> DataFrame:
+    brackets, many = find_brackets(rows, counted, keys, QUARTILES)
+    # what the brackets say about the first and third quartile, and so about the fences
+    rank = {q: [F.expr(f"{e}((_total - 1) * {p!r}D)") for e in ("floor", "ceil")] for q, p in QUARTILES.items() if q != "median"}
+    holds = lambda q: (rank[q][1] >= F.col("_start")) & (rank[q][0] < F.col("_start") + F.col("_n"))
+    known = brackets.groupBy(*keys).agg(
+        *[f(F.when(holds(q), F.col(c))).alias(f"_{q}{c}") for q in rank for f, c in ((F.min, "_lo"), (F.max, "_hi"))]
+    )
+    q1a, q1z, q3a, q3z = (F.col(c) for c in ("_q1_lo", "_q1_hi", "_q3_lo", "_q3_hi"))
+    most, least = (q3z - q1a) * F.lit(reach), F.greatest(q3a - q1z, F.lit(0.0)) * F.lit(reach)
+    known = known.select(*keys, (q1a - most).alias("_low_a"), (q1z - least).alias("_low_z"), (q3a + least).alias("_high_a"), (q3z + most).alias("_high_z"))
+    spread = lambda name: (F.col("_hi") >= F.col(f"{name}_a")) & (F.col("_lo") <= F.col(f"{name}_z"))
+    open_ = (F.col("_lo") < F.col("_hi")) & (spread("_low") | spread("_high"))
+    buckets = settle(counted.join(known, keys).withColumn("_open", open_).select(*keys, *BRACKET_COLUMNS, "_open"), "box-buckets")
+    fences = buckets.where("_open").drop("_open")
+    wanted = brackets.withColumn("_kind", F.lit("rank")).unionByName(fences.withColumn("_kind", F.lit("fence")))
+    wanted = settle(wanted, "box-brackets")
+    met = inside_brackets(rows, wanted, keys, wanted.count())
+    per_value = settle(met.groupBy(*keys, "_kind", "_bucket", "_lo", "_start", "_total", "_v").agg(F.sum("_w").alias("_m")), "box-values")
+
+    ranked = pick_ranks(per_value.where("_kind = 'rank'"), keys, QUARTILES)
+    box = _fenced(ranked.withColumns(interpolated(QUARTILES)), reach).select(*keys, "n", *QUARTILES, "_low", "_high")
+    # values one by one in open buckets, all others bucket by bucket
+    points = per_value.where("_kind = 'fence'").select(*keys, F.col("_v").alias("_lo"), F.col("_v").alias("_hi"), "_m")
+    points = points.unionByName(buckets.where("NOT _open").select(*keys, "_lo", "_hi", F.col("_n").alias("_m")))
+    within = (F.col("_lo") >= F.col("_low")) & (F.col("_hi") <= F.col("_high"))
+    return attach(points, box, keys, at_most=at_most_groups, name="box-fences").groupBy(*keys, "n", *QUARTILES).agg(
+        F.min(F.when(within, F.col("_lo"))).alias("_least"), F.max(F.when(within, F.col("_hi"))).alias("_greatest"),
+        F.sum(F.when(within, 0).otherwise(F.col("_m"))).alias("n_outliers"),
     )
 
 
