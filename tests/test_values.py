@@ -287,3 +287,26 @@ def test_joins_of_map_columns(spark):
     small = spark.createDataFrame([(0, "even"), (1, "odd")], "k bigint, word string")
     assert joining.salted_join(df, small, ["k"]).count() == 20
     assert sorted(r.p for r in numbering.with_position(df, ["k"], ["id"], name="p").collect()) == sorted(list(range(1, 11)) * 2)
+
+
+def test_only_keys_and_addresses_are_sorted(spark, tmp_path, monkeypatch):
+    """What is dealt and written is the same whatever else a table holds, and copies of a row are told apart by their address."""
+    wide = spark.range(4_000).selectExpr("id % 3 AS g", "id % 50 AS t", "sha2(string(id), 512) AS a", "repeat(string(id), 40) AS b", "id % 2 AS c")
+    wide.union(wide.where("t = 7")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    made = []
+    settle = numbering.settle
+    monkeypatch.setattr(numbering, "settle", lambda df, name: made.append((name, settle(df, name))) or made[-1][1])
+    for df in (table, table.select("g", "t", "c").where("c = 1")):
+        got = numbering.with_position(df, ["g"], ["t"]).collect()
+        assert len(got) == df.count() and got[0].__fields__ == [*df.columns, "position"]
+        for g in range(3):
+            mine = sorted((r.position, r.t) for r in got if r.g == g)
+            assert [p for p, _ in mine] == list(range(1, len(mine) + 1)) and [t for _, t in mine] == sorted(t for _, t in mine)
+    assert [(name, df.columns) for name, df in made] == [("ranges", ["g", "t", "_in_file", "_in_row", "_part"])] * 2
+    plan = numbering.with_position(table, ["g"], ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("repeat") == 0 and "Window" in plan
+    exploded = table.where("t = 7").selectExpr("g", "t", "explode(array(1, 2)) AS e")  # one row of a file twice: an address of its own is needed
+    assert not numbering.addressable(exploded) and not numbering.addressable(table.union(table)) and numbering.addressable(table.filter("t > 3").select("g"))
+    places = sorted((r.g, r.position) for r in numbering.with_position(exploded, ["g"], ["t"]).collect())
+    assert places == [(g, p) for g, n in sorted({r.g: r.n for r in exploded.groupBy("g").count().withColumnRenamed("count", "n").collect()}.items()) for p in range(1, n + 1)]
