@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,7 +13,7 @@ from tickweave.operators.params import parameter_domain, set_spine, with_params
 from tickweave.operators.per_run import per_run
 from tickweave.plans import jobs
 from tickweave.plans.testtables import (
-    ENS_SQL, PARAMS_SQL, TIE, archives, databases, ens, params, run_tree, snapshot_files, snapshots_xml, table,
+    ENS_SQL, PARAMS_SQL, TIE, once, archives, databases, ens, params, run_tree, snapshot_files, snapshots_xml, table,
 )
 from tickweave.plans.views import run_analysis, run_views
 from tickweave.session import scratch_path
@@ -20,11 +21,11 @@ from tickweave.sinks.feather import write_feather
 from tickweave.sinks.run_files import mirror_tables, write_run_files
 from tickweave.sinks.tables import compact, materialize, new_files, remember_files, write_checkpoint, write_metric_checkpoints
 from tickweave.sources.feather import read_feather
-from tickweave.sources.footers import schema_manifest, table_files
+from tickweave.sources.footers import excluded_tables, schema_manifest, table_files
 from tickweave.sources.params import read_params
 from tickweave.sources.sqlite_db import ingest_sqlite_tree
 from tickweave.sources.tar import read_tar_tree
-from tickweave.sources.tree import read_metric, read_snapshots, read_tree, resolve_agent
+from tickweave.sources.tree import read_metric, read_metric_ledgered, read_snapshots, read_tree, resolve_agent
 from tickweave.sources.xml_states import read_xml_snapshots
 from tickweave.streaming.incremental import ingest_new, keep_band, read_band, stream_tree
 
@@ -405,6 +406,32 @@ def density_2d(spark, sf):
     return wide(singles(grid, "y_lo"))
 
 
+@query(with_ens(
+    f"""SELECT param, x_bin, y_bin, count(*) AS n, round(log10(count(*)), 9) AS log_n
+  FROM (SELECT set_num, {bin_sql("CAST(x AS DOUBLE)", "0.0", "top", 40)} AS y_bin FROM ens, thr WHERE x >= 0 AND CAST(x AS DOUBLE) <= top) JOIN cells USING (set_num) GROUP BY ALL""",
+    params=PARAMS_SQL, long_=LONG_PARAMS, thr="SELECT max(CAST(x AS DOUBLE)) AS top FROM ens",
+    ends="SELECT param, min(v) AS lo, max(v) AS hi FROM long_ GROUP BY param",
+    cells=f"SELECT set_num, param, CASE WHEN lo = hi THEN 39 ELSE {bin_sql('v', 'lo', 'hi', 40)} END AS x_bin FROM long_ JOIN ends USING (param)",
+))
+def log_counts(spark, sf):
+    """The colour scale of a density picture."""
+    grid = sensitivity.density2d(ens(spark, sf), params(spark, sf), "x", 40)
+    return wide(rounded(sensitivity.log_counts(grid).select("param", "x_bin", "y_bin", "n", "log_n"), "log_n", places=9))
+
+
+CIRCLE_STEP, CIRCLE_TURN = "0.01", "6.283185307"
+
+
+@query(with_ens(f"""SELECT {big("set_num", "run_num", "time_step")}, count(*) AS n, round(any_value(set_num * cos(s)), 9) AS x, round(any_value(set_num * sin(s)), 9) AS y
+  FROM (SELECT *, fmod(CAST(time_step AS DOUBLE) * CAST({CIRCLE_STEP} AS DOUBLE) * 12, CAST({CIRCLE_TURN} AS DOUBLE)) AS s FROM ens) GROUP BY set_num, run_num, time_step"""))
+def circle_positions(spark, sf):
+    """Places on a circle round the agent after the tick's share of a turn; the set number is the radius."""
+    s = (F.col("time_step").cast("double") * F.lit(float(CIRCLE_STEP)) * F.lit(12)) % F.lit(float(CIRCLE_TURN))
+    placed = ens(spark, sf).withColumns({"cx": F.col("set_num") * F.cos(s), "cy": F.col("set_num") * F.sin(s)})
+    met = placed.groupBy("set_num", "run_num", "time_step").agg(F.count(F.lit(1)).alias("n"), F.max("cx").alias("x"), F.max("cy").alias("y"))
+    return wide(rounded(met, "x", "y", places=9))
+
+
 @query(with_ens(
     """SELECT param, count(DISTINCT x_bin) AS bins_used, count(*) AS rows, round(var_pop_of_bins / any_value(vt), 6) AS s1 FROM
   (SELECT *, (SELECT var_pop(CAST(x AS DOUBLE)) FROM ens) AS vt, var_pop(bin_mean) OVER (PARTITION BY param) AS var_pop_of_bins FROM
@@ -680,11 +707,11 @@ def sqlite_converted_rows(spark, sf):
     return wide(read_tree(spark, out, "Agent"))
 
 
-@query(with_ens('SELECT CAST(time_step AS BIGINT) AS itno, 1.5 AS const_radius, CAST("ID" AS BIGINT) AS id, CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, CAST(part AS BIGINT) AS part, CAST(y AS DOUBLE) AS y FROM ens').replace("1.5 AS", "CAST(1.5 AS DOUBLE) AS"))
+@query(with_ens('SELECT CAST(time_step AS BIGINT) AS itno, 1.5 AS const_radius, CAST("ID" AS BIGINT) AS id, CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, CAST(part AS BIGINT) AS part, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, price FROM ens').replace("1.5 AS", "CAST(1.5 AS DOUBLE) AS"))
 def xml_snapshots(spark, sf):
-    agent = "name string, id bigint, set_num int, run_num int, part bigint, y float"
+    agent = "name string, id bigint, set_num int, run_num int, part bigint, x float, y float, price double"
     rows = read_xml_snapshots(spark, snapshots_xml(spark, sf) + "/*", "Agent", agent, "set_no int, const_radius double")
-    return wide(rows.select("itno", F.col("env.const_radius").alias("const_radius"), "id", "set_num", "run_num", "part", "y"))
+    return wide(rows.select("itno", F.col("env.const_radius").alias("const_radius"), "id", "set_num", "run_num", "part", "x", "y", "price"))
 
 
 @query(with_ens('SELECT CAST(time_step AS BIGINT) AS iteration, CAST("ID" AS BIGINT) AS agent_id, CAST(part AS DOUBLE) AS a, price AS b, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM ens'))
@@ -692,30 +719,103 @@ def tick_snapshots(spark, sf):
     return wide(read_snapshots(spark, snapshot_files(spark, sf), "Agent"))
 
 
+# ---- split runs, files left out
+
+
+PLACED_SQL = "SELECT *, row_number() OVER (PARTITION BY set_num, run_num ORDER BY time_step, \"ID\", part, price) - 1 AS pos FROM ens"
+
+
+@query(with_ens(f"""SELECT 'tree' AS reader, {big("set_num", "run_num", "time_step")}, pos AS place, {dbl("x")} FROM ({PLACED_SQL})
+  UNION ALL SELECT 'metric', {big("set_num", "run_num", "time_step")}, pos // 4 + 1, {dbl("x")} FROM ({PLACED_SQL}) WHERE pos % 4 = 0"""))
+def split_run_scan(spark, sf):
+    """Runs in pieces of a year: surrogate IDs and ordinals run on from piece to piece."""
+    root = scratch_path(spark, "split-tree")
+    rows = ens(spark, sf).withColumnsRenamed({"time_step": "_ITERATION_NO", "ID": "order_key"})
+    write_run_files(rows, root, "data_Agent.parquet", ["_ITERATION_NO", "order_key", *TIE], ticks_per_file=12)
+    by_tree = read_tree(spark, root, "Agent").select(F.lit("tree").alias("reader"), "set_num", "run_num", "time_step", F.col("ID").alias("place"), "x")
+    metric = read_metric(spark, root, "Agent", "x", stride=4)
+    by_metric = metric.select(F.lit("metric").alias("reader"), "set_num", "run_num", F.col("tick").alias("time_step"), F.col("time_step").alias("place"), "x")
+    return wide(by_tree.union(by_metric))
+
+
+def _uneven_tree(spark, sf) -> str:
+    """A tree in which the runs of set 6 have no tick and those of set 7 no ``x``, with helper tables and other files beside."""
+
+    def make(root: str) -> None:
+        rows = ens(spark, sf).withColumnRenamed("time_step", "_ITERATION_NO")
+        order = ["_ITERATION_NO", "ID", *TIE]
+        write_run_files(rows.where("set_num < 6"), root, "data_Agent.parquet", order)
+        write_run_files(rows.where("set_num = 6").withColumnRenamed("_ITERATION_NO", "month"), root, "data_Agent.parquet", ["month", *order[1:]])
+        write_run_files(rows.where("set_num > 6").drop("x"), root, "data_Agent.parquet", order)
+        months = rows.groupBy("set_num", "run_num", "_ITERATION_NO").agg(F.count(F.lit(1)).alias("n"))
+        for name in ("data_Agent_iters_0.parquet", "months.parquet"):
+            write_run_files(months, root, name, ["_ITERATION_NO"])
+
+    return once(spark, sf, "uneven-tree", make)
+
+
+RUN_SIZES = "SELECT CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, count(*) AS n_rows FROM ens GROUP BY ALL"
+
+
+@query(with_ens("""SELECT 'tree' AS reader, set_num, run_num, n_rows, 'no tick column' AS reason FROM sizes WHERE set_num = 6
+  UNION ALL SELECT 'metric', set_num, run_num, n_rows, 'no column x' FROM sizes WHERE set_num > 6""", sizes=RUN_SIZES))
+def skipped_files(spark, sf):
+    """Which files a reading left out, with their rows and why, as a checkpoint job writes it beside its table."""
+    root, out = _uneven_tree(spark, sf), scratch_path(spark, "ledgered")
+    jobs.build_checkpoints(spark, root, out, "Agent")
+    by_tree = spark.read.parquet(f"{out}/skipped_Agent.parquet")
+    by_metric = read_metric_ledgered(spark, root, "Agent", "x")[1]
+    parts = [df.select(F.lit(n).alias("reader"), "set_num", "run_num", "n_rows", "reason") for n, df in (("tree", by_tree), ("metric", by_metric))]
+    return wide(parts[0].unionByName(parts[1]))
+
+
+@query(with_ens("""SELECT set_num, run_num, name, reason FROM sizes CROSS JOIN (VALUES ('data_Agent.parquet', NULL),
+  ('data_Agent_iters_0.parquet', 'helper table'), ('months.parquet', 'not named data_*')) v(name, reason)""", sizes=RUN_SIZES))
+def table_exclusion(spark, sf):
+    """Every file of the run folders: run tables, and those left out by their name."""
+    root = _uneven_tree(spark, sf)
+    tables = table_files(spark, root).withColumn("reason", F.lit(None).cast("string"))
+    parts = [df.select("set_num", "run_num", F.substring_index("path", "/", -1).alias("name"), "reason") for df in (tables, excluded_tables(spark, root))]
+    return wide(parts[0].unionByName(parts[1]))
+
+
 # ---- views, user functions, incremental
 
 
-@query(with_ens(
-    f"SELECT 'band.png' AS view, set_num, iteration, mean_val AS v1, min_val AS v2, max_val AS v3 FROM ({BAND_SQL}) UNION ALL "
-    f"SELECT 'delay.png', set_num, iteration, current_val, lagged_val, NULL FROM ({DELAY_SQL}) UNION ALL "
-    "SELECT 'xy.png', CAST(set_num AS BIGINT), CAST(time_step AS BIGINT), CAST(x AS DOUBLE), CAST(y AS DOUBLE), NULL FROM ens"))
+VIEW_STYLES = {
+    "band": ({"plot_style": "time_series"}, {"v1": "mean_val", "v2": "min_val", "v3": "max_val"}),
+    "delay": ({"plot_style": "delay_plot", "delay_lag": 2}, {"v1": "current_val", "v2": "lagged_val"}),
+    "xy": ({"plot_style": "scatter_plot", "secondary_variable": "y", "target_iteration": EVERY_TICK}, {"v1": "x_val", "v2": "y_val"}),
+    "bins": ({"plot_style": "histogram", "target_iteration": EVERY_TICK}, {"v1": "bin", "v2": "bin_lo", "v3": "bin_hi", "v4": "n"}),
+    "box": ({"plot_style": "box_plot", "target_iteration": EVERY_TICK}, {"v1": "q1", "v2": "median", "v3": "q3", "v4": "whisker_lo", "v5": "whisker_hi", "v6": "n", "v7": "n_outliers"}),
+}
+VIEW_SQL = {
+    "band": BAND_SQL, "delay": DELAY_SQL,
+    "xy": "SELECT CAST(set_num AS BIGINT) AS set_num, CAST(time_step AS BIGINT) AS iteration, x AS x_val, y AS y_val FROM ens",
+    "bins": "WITH " + histogram_sql(SNAPSHOT_SQL, "iteration, set_num", "target_value", 30),
+    "box": "WITH " + box_sql(SNAPSHOT_SQL, "iteration, set_num", "target_value") + """SELECT iteration, set_num, n, q1, median, q3,
+    least(q1, min(CASE WHEN inside THEN CAST(v AS DOUBLE) END)) AS whisker_lo, greatest(q3, max(CASE WHEN inside THEN CAST(v AS DOUBLE) END)) AS whisker_hi,
+    count(*) FILTER (WHERE NOT inside) AS n_outliers FROM f GROUP BY iteration, set_num, n, q1, median, q3""",
+}
+
+
+def _view_sql(name: str) -> str:
+    shown = VIEW_STYLES[name][1]
+    values = ", ".join(f"CAST({shown.get(f'v{k}', 'NULL')} AS DOUBLE) AS v{k}" for k in range(1, 8))
+    return f"SELECT '{name}.png' AS view, set_num, iteration, {values} FROM ({VIEW_SQL[name]})"
+
+
+@query(with_ens(" UNION ALL ".join(_view_sql(name) for name in VIEW_STYLES)))
 def view_runner(spark, sf):
-    spec = {
-        "comparison_sets": [f"set_{s}" for s in SETS],
-        "time_variable": "time_step",
-        "plots": [
-            {"plot_style": "time_series", "agent_type": "Agent", "variable_name": "x", "output_filename": "band.png"},
-            {"plot_style": "delay_plot", "agent_type": "Agent", "variable_name": "x", "delay_lag": 2, "output_filename": "delay.png"},
-            {"plot_style": "scatter_plot", "agent_type": "Agent", "variable_name": "x", "secondary_variable": "y",
-             "target_iteration": EVERY_TICK, "output_filename": "xy.png"},
-        ],
-    }
-    made = run_views(spark, spec, ens(spark, sf))
-    band = made["band.png"].select("set_num", "iteration", F.col("mean_val").alias("v1"), F.col("min_val").cast("double").alias("v2"), F.col("max_val").cast("double").alias("v3"))
-    lag = made["delay.png"].select("set_num", "iteration", F.col("current_val").alias("v1"), F.col("lagged_val").alias("v2"))
-    xy = made["xy.png"].select("set_num", "iteration", F.col("x_val").cast("double").alias("v1"), F.col("y_val").cast("double").alias("v2"))
-    parts = [t.select(F.lit(n).alias("view"), "*") for n, t in (("band.png", band), ("delay.png", lag), ("xy.png", xy))]
-    return wide(parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True))
+    """All five styles over one agent type, through one scan of it."""
+    shared = {"agent_type": "Agent", "variable_name": "x"}
+    plots = [{**shared, **style, "output_filename": f"{name}.png"} for name, (style, _) in VIEW_STYLES.items()]
+    made = run_views(spark, {"comparison_sets": [f"set_{s}" for s in SETS], "time_variable": "time_step", "plots": plots}, ens(spark, sf))
+    parts = []
+    for name, (_, shown) in VIEW_STYLES.items():
+        values = [(F.col(shown[f"v{i}"]) if f"v{i}" in shown else F.lit(None)).cast("double").alias(f"v{i}") for i in range(1, 8)]
+        parts.append(made[f"{name}.png"].select(F.lit(f"{name}.png").alias("view"), "set_num", "iteration", *values))
+    return wide(reduce(DataFrame.unionByName, parts))
 
 
 @query(with_ens(f'SELECT {big("set_num", "run_num", "time_step")}, avg(x) AS x FROM ens WHERE time_step BETWEEN 61 AND 143 GROUP BY set_num, run_num, time_step'))

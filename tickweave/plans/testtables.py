@@ -56,7 +56,7 @@ def params(spark: SparkSession, sf_dir: str) -> DataFrame:
 _made: dict[tuple, str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], object]) -> str:
+def once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], object]) -> str:
     """Path of a derived layout, written once per application and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _made:
@@ -70,7 +70,7 @@ def run_tree(spark: SparkSession, sf_dir: str) -> str:
     """``set_<n>/run_<m>/data_Agent.parquet``: tick column ``_ITERATION_NO``, rows in tick order."""
     rows = ens(spark, sf_dir).withColumnRenamed("time_step", "_ITERATION_NO")
     order = ["_ITERATION_NO", "ID", *TIE]
-    return _once(spark, sf_dir, "tree", lambda p: write_run_files(rows, p, "data_Agent.parquet", order))
+    return once(spark, sf_dir, "tree", lambda p: write_run_files(rows, p, "data_Agent.parquet", order))
 
 
 
@@ -104,7 +104,7 @@ def databases(spark: SparkSession, sf_dir: str) -> str:
         rows = ens(spark, sf_dir).withColumn("y", F.concat(F.lit(" "), F.col("y").cast("int").cast("string")))
         rows.repartition("set_num", "run_num").sortWithinPartitions("set_num", "run_num").mapInPandas(save, "n int").agg(F.sum("n")).collect()
 
-    return _once(spark, sf_dir, "databases", make)
+    return once(spark, sf_dir, "databases", make)
 
 
 def archives(spark: SparkSession, sf_dir: str) -> str:
@@ -127,7 +127,7 @@ def archives(spark: SparkSession, sf_dir: str) -> str:
         sets = ens(spark, sf_dir).select(F.col("set_num").cast("int").alias("set_num")).distinct()
         sets.repartition("set_num").mapInPandas(pack, "set_num int").collect()
 
-    return _once(spark, sf_dir, "tar", make)
+    return once(spark, sf_dir, "tar", make)
 
 
 def snapshots_xml(spark: SparkSession, sf_dir: str) -> str:
@@ -147,7 +147,7 @@ def snapshots_xml(spark: SparkSession, sf_dir: str) -> str:
         "time_step", F.lit(1).alias("place"),
         F.concat(
             F.lit("<xagent>\n<name>Agent</name>\n"), tag("id", "ID"), tag("set_num", "set_num"), tag("run_num", "run_num"),
-            tag("part", "part"), tag("y", "y"), F.lit("\n</xagent>"),
+            tag("part", "part"), tag("x", "x"), tag("y", "y"), tag("price", "price"), F.lit("\n</xagent>"),
         ).alias("value"),
     )
 
@@ -155,7 +155,7 @@ def snapshots_xml(spark: SparkSession, sf_dir: str) -> str:
         lines = head.unionByName(body).unionByName(foot).repartition("time_step").sortWithinPartitions("time_step", "place")
         lines.select("value", "time_step").write.partitionBy("time_step").text(path)
 
-    return _once(spark, sf_dir, "xml", make)
+    return once(spark, sf_dir, "xml", make)
 
 
 def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
@@ -188,4 +188,4 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
         )
         rows.repartition("iteration").mapInArrow(save, "n int").agg(F.sum("n")).collect()
 
-    return _once(spark, sf_dir, "snapshots", make)
+    return once(spark, sf_dir, "snapshots", make)

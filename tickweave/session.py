@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Most rows we are willing to ship to every executor. At about 100 bytes a row this is 20 MB.
 BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024  # by the widths Spark assumes for the column types
+BROADCAST_BYTES = 32 * 1024 * 1024  # by the widths of fixed types, else as counted in the table itself
 
 _fallback_dirs: dict[str, str] = {}
 
