@@ -15,6 +15,7 @@ from tickweave.sinks.tables import checkpoint_done, metric_path, write_checkpoin
 from tickweave.sources.feather import read_feather
 from tickweave.sources.footers import schema_manifest, table_files
 from tickweave.sources.params import read_params
+from tickweave.sources.listing import source_folder
 from tickweave.sources.sqlite_db import ingest_sqlite_tree
 from tickweave.sources.tree import read_ledgered, read_metric, read_tree
 
@@ -47,23 +48,58 @@ def reject_totals(spark: SparkSession, out: str, agent: str) -> dict[str, int]:
     return lost.agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in lost.columns]).first().asDict()
 
 
-def convert_databases(spark: SparkSession, root: str, out: str, sets=None, runs=None, force: bool = False) -> DataFrame:
+LEDGER = "conversion_ledger.parquet"
+
+
+def conversion_ledger(source: DataFrame, kept: DataFrame, written: DataFrame, root: str) -> DataFrame:
+    """What became of each source file: ``path, folder, set_num, run_num, status, tables, rows, rows_written, message``.
+
+    ``source`` is the manifest of all files, ``kept`` that of the runs that were converted, ``written`` the manifests of the
+    files written (``folder`` is null where all sub-folders went to one run). ERROR and EMPTY are facts of the source; INCOMPLETE is a good file whose run was held back for another's
+    error; SKIPPED is a file all of whose run's tables were there before; ``rows_written`` are those of its run.
+    """
+    held = source.join(kept.select("path", F.lit(True).alias("kept")), "path", "left")
+    skipped = F.count_if(F.col("status") == "SKIPPED") == F.count(F.lit(1))
+    runs = written.groupBy("folder", "set_num", "run_num").agg(skipped.alias("skipped"), F.sum(F.when(F.col("status") != "SKIPPED", F.col("n_rows"))).alias("rows_written"))
+    runs = runs.withColumnsRenamed({"folder": "_f", "set_num": "_s", "run_num": "_r"})
+    held = held.withColumn("folder", source_folder(F.col("path"), root))
+    same = (F.col("_f").isNull() | (F.col("folder") == F.col("_f"))) & F.col("set_num").eqNullSafe(F.col("_s")) & F.col("run_num").eqNullSafe(F.col("_r"))
+    status = (
+        F.when(F.col("kept").isNull() & (F.col("status") != "ERROR"), "INCOMPLETE").when((F.col("status") == "CONVERTED") & F.col("skipped"), "SKIPPED")
+        .otherwise(F.col("status"))
+    )
+    out = held.join(runs, same, "left").withColumn("status", status)
+    rows_written = F.when(F.col("status") == "CONVERTED", F.coalesce("rows_written", F.lit(0))).otherwise(F.lit(0))
+    return out.select("path", "folder", "set_num", "run_num", "status", "tables", "rows", rows_written.cast("bigint").alias("rows_written"), "message")
+
+
+def convert_databases(spark: SparkSession, root: str, out: str, sets=None, runs=None, force: bool = False, by_folder: bool = False) -> DataFrame:
     """SQLite tree to ``out/set_<n>/run_<m>/data_<table>.parquet``; returns the tally per status.
 
     Numeric text is promoted per table over the whole ensemble, so all runs of a table get one schema.
     A run is written whole or not at all: where a file has an ERROR nothing of its run is written, and the
-    other files of that run count as INCOMPLETE.
+    other files of that run count as INCOMPLETE. The outcome of each file is in ``out/conversion_ledger.parquet``.
+    ``by_folder`` keeps databases of one set and run apart that lie in different sub-folders of ``root``: each sub-folder is
+    mirrored below ``out``. Without it they become one run.
     """
     tree = ingest_sqlite_tree(spark, root, sets, runs)
     whole = tree.whole_runs()
-    kept = whole.manifest.select("path", F.lit(True).alias("kept"))
-    held = F.col("kept").isNull() & (F.col("status") != "ERROR")
-    files = tree.manifest.join(kept, "path", "left").select(F.when(held, "INCOMPLETE").otherwise(F.col("status")).alias("status"))
-    for table in whole.tables():
-        rows = infer_numeric_strings(whole.read(table))
-        order = [c for c in ("_ITERATION_NO", "time_step", "iteration", "tick", "ID", "id", "agent_id") if c in rows.columns]
-        write_run_files(rows, out, f"data_{table}.parquet", order, force=force)
-    return status_tally(files)
+    folder = source_folder(F.col("path"), root) if by_folder else F.lit("")
+    places = [r[0] for r in whole.manifest.select(folder.alias("f")).distinct().orderBy("f").toLocalIterator()]  # folders above the set folders: few
+    written = None
+    for place in places:
+        part = whole.where(folder == place) if by_folder else whole
+        target = f"{out.rstrip('/')}/{place}" if place else out
+        for table in part.tables():
+            rows = infer_numeric_strings(part.read(table))
+            order = [c for c in ("_ITERATION_NO", "time_step", "iteration", "tick", "ID", "id", "agent_id") if c in rows.columns]
+            made = write_run_files(rows, target, f"data_{table}.parquet", order, force=force).withColumn("folder", F.lit(place if by_folder else None).cast("string"))
+            written = made if written is None else written.unionByName(made)
+    if written is None:
+        written = spark.createDataFrame([], "folder string, set_num int, run_num int, n_rows bigint, status string")
+    ledger = conversion_ledger(tree.manifest, whole.manifest, written, root)
+    ledger.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{LEDGER}")
+    return status_tally(spark.read.parquet(f"{out.rstrip('/')}/{LEDGER}"))
 
 
 def sensitivity_grids(

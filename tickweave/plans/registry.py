@@ -16,7 +16,7 @@ from tickweave.plans.testtables import (
     ENS_SQL, PARAMS_SQL, TIE, once, archives, databases, ens, params, run_tree, snapshot_files, snapshots_xml, table,
 )
 from tickweave.plans.views import run_analysis, run_views
-from tickweave.session import scratch_path
+from tickweave.session import scratch_path, settle
 from tickweave.sinks.feather import write_feather
 from tickweave.sinks.run_files import mirror_tables, write_run_files
 from tickweave.sinks.tables import compact, materialize, new_files, remember_files, write_checkpoint, write_metric_checkpoints
@@ -585,6 +585,9 @@ def union_runs(spark, sf):
 # ---- layouts on disk, written from the tables and read back
 
 
+RUN_SIZES = "SELECT CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, count(*) AS n_rows FROM ens GROUP BY ALL"
+
+
 @query(ENS_ROWS.replace('CAST("price" AS DOUBLE)', 'CAST(CAST("price" AS FLOAT) AS DOUBLE)'))
 def tree_scan(spark, sf):
     return wide(read_tree(spark, run_tree(spark, sf), "Agent", mode="widen"))
@@ -707,6 +710,23 @@ def sqlite_converted_rows(spark, sf):
     return wide(read_tree(spark, out, "Agent"))
 
 
+@query(with_ens("""SELECT pass, set_num, run_num, name, status, CASE WHEN status = 'CONVERTED' THEN n_rows ELSE 0 END AS rows_written FROM (
+  SELECT 1 AS pass, set_num, run_num, '' AS name, 'CONVERTED' AS status, n_rows FROM sizes WHERE set_num <= 3
+  UNION ALL SELECT 2, set_num, run_num, '', CASE WHEN set_num <= 3 THEN 'SKIPPED' ELSE 'CONVERTED' END, n_rows FROM sizes
+  UNION ALL SELECT p, set_num, run_num, name, status, 0 FROM (SELECT DISTINCT set_num FROM sizes) JOIN (VALUES (1), (2)) passes(p) ON p = 2 OR set_num <= 3
+    CROSS JOIN (VALUES (11, '', 'EMPTY'), (12, '', 'ERROR'), (13, 'a', 'INCOMPLETE'), (13, 'b', 'ERROR')) v(run_num, name, status))""", sizes=RUN_SIZES))
+def conversion_outcomes(spark, sf):
+    """What became of each database: the first three sets are converted, then all of them."""
+    root, out = databases(spark, sf, odd=True), scratch_path(spark, "converted")
+    passes = []
+    for n, sets in ((1, "1-3"), (2, None)):
+        jobs.convert_databases(spark, root, out, sets)
+        ledger = settle(spark.read.parquet(f"{out}/{jobs.LEDGER}"), "outcomes")
+        name = F.regexp_extract("path", r"_run_13_([ab])\.db$", 1)
+        passes.append(ledger.select(F.lit(n).alias("pass"), "set_num", "run_num", name.alias("name"), "status", "rows_written"))
+    return wide(passes[0].unionByName(passes[1]))
+
+
 @query(with_ens('SELECT CAST(time_step AS BIGINT) AS itno, 1.5 AS const_radius, CAST("ID" AS BIGINT) AS id, CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, CAST(part AS BIGINT) AS part, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, price FROM ens').replace("1.5 AS", "CAST(1.5 AS DOUBLE) AS"))
 def xml_snapshots(spark, sf):
     agent = "name string, id bigint, set_num int, run_num int, part bigint, x float, y float, price double"
@@ -754,7 +774,6 @@ def _uneven_tree(spark, sf) -> str:
     return once(spark, sf, "uneven-tree", make)
 
 
-RUN_SIZES = "SELECT CAST(set_num AS BIGINT) AS set_num, CAST(run_num AS BIGINT) AS run_num, count(*) AS n_rows FROM ens GROUP BY ALL"
 
 
 @query(with_ens("""SELECT 'tree' AS reader, set_num, run_num, n_rows, 'no tick column' AS reason FROM sizes WHERE set_num = 6

@@ -74,8 +74,11 @@ def run_tree(spark: SparkSession, sf_dir: str) -> str:
 
 
 
-def databases(spark: SparkSession, sf_dir: str) -> str:
-    """One SQLite file per run, flat names, with ``y`` kept as text."""
+def databases(spark: SparkSession, sf_dir: str, odd: bool = False) -> str:
+    """One SQLite file per run, flat names, with ``y`` kept as text.
+
+    ``odd`` adds to each set run 11 without tables, run 12 that is no database, and run 13 with a good and a broken file.
+    """
 
     def make(path: str) -> None:
         base = os.path.abspath(local_path(path) or path)
@@ -101,10 +104,27 @@ def databases(spark: SparkSession, sf_dir: str) -> str:
                 con.close()
             yield pd.DataFrame({"n": [len(open_dbs)]})
 
+        def spoil(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            import sqlite3
+
+            for batch in batches:
+                for s in batch["set_num"]:
+                    for name, sql in ((f"set_{s}_run_11.db", "PRAGMA user_version = 1"), (f"set_{s}_run_13_a.db", "CREATE TABLE Agent AS SELECT 1 AS _ITERATION_NO, 2 AS ID")):
+                        con = sqlite3.connect(f"{base}/{name}")
+                        con.execute(sql)
+                        con.commit()
+                        con.close()
+                    for name in (f"set_{s}_run_12.db", f"set_{s}_run_13_b.db"):
+                        with open(f"{base}/{name}", "wb") as f:
+                            f.write(b"this is no database " * 100)
+                yield pd.DataFrame({"n": [len(batch)]})
+
         rows = ens(spark, sf_dir).withColumn("y", F.concat(F.lit(" "), F.col("y").cast("int").cast("string")))
         rows.repartition("set_num", "run_num").sortWithinPartitions("set_num", "run_num").mapInPandas(save, "n int").agg(F.sum("n")).collect()
+        if odd:
+            rows.select("set_num").distinct().mapInPandas(spoil, "n int").agg(F.sum("n")).collect()
 
-    return once(spark, sf_dir, "databases", make)
+    return once(spark, sf_dir, "odd-databases" if odd else "databases", make)
 
 
 def archives(spark: SparkSession, sf_dir: str) -> str:

@@ -107,6 +107,14 @@ def run_of_path(path: Column, back: int = 2) -> Column:
     return folder_number(part_of_path(path, back))
 
 
+def source_folder(path: Column, root: str) -> Column:
+    """Folders between ``root`` and the set folder of a file, '' if there are none; for a flat name, all folders below ``root``."""
+    plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
+    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", root).rstrip("/") + "/"
+    below = F.regexp_replace(F.substring_index(plain, base, -1), r"[^/]*$", "")
+    return F.rtrim(F.regexp_replace(below, r"(?i)(^|/)set_[a-z0-9]+/.*$", "$1"), F.lit("/"))
+
+
 # Fixed value: the place of a run file in a tree.
 RUN_FILE = r"/set_[^/]*/run_[^/]*/[^/]*$"
 

@@ -9,7 +9,7 @@ from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructType
 
@@ -202,6 +202,10 @@ class SqliteTree:
         same = F.col("set_num").eqNullSafe(F.col("_s")) & F.col("run_num").eqNullSafe(F.col("_r"))
         return SqliteTree(self._spark, self._plan.join(bad, same, "left_anti"))
 
+    def where(self, condition: Column) -> "SqliteTree":
+        """The same for the files (``path, set_num, run_num``) that meet a condition."""
+        return SqliteTree(self._spark, self._plan.where(condition))
+
     def tables(self) -> list[str]:
         """Names of all tables that hold rows somewhere."""
         rows = self._plan.where(F.col("n_rows") > 0).select("table").distinct().orderBy("table")
