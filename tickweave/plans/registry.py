@@ -25,7 +25,7 @@ from tickweave.sources.footers import excluded_tables, schema_manifest, table_fi
 from tickweave.sources.params import read_params
 from tickweave.sources.sqlite_db import ingest_sqlite_tree
 from tickweave.sources.tar import read_tar_tree
-from tickweave.sources.tree import read_metric, read_metric_ledgered, read_snapshots, read_tree, resolve_agent
+from tickweave.sources.tree import read_metric, read_metric_ledgered, read_snapshot_tree, read_snapshots, read_tree, resolve_agent
 from tickweave.sources.xml_states import read_xml_snapshots
 from tickweave.streaming.incremental import ingest_new, keep_band, read_band, stream_tree
 
@@ -739,6 +739,12 @@ def tick_snapshots(spark, sf):
     return wide(read_snapshots(spark, snapshot_files(spark, sf), "Agent"))
 
 
+@query(with_ens('SELECT CAST(NULL AS BIGINT) AS set_num, CAST(NULL AS BIGINT) AS run_num, CAST(time_step AS BIGINT) AS time_step, CAST("ID" AS BIGINT) AS "ID", CAST(CAST(part AS FLOAT) AS DOUBLE) AS a, CAST(CAST(price AS FLOAT) AS DOUBLE) AS b, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM ens'))
+def snapshot_coordinates(spark, sf):
+    """Snapshots as a canonical table, from files with ids of two widths, some without a tick of their own."""
+    return wide(read_snapshot_tree(spark, snapshot_files(spark, sf, mixed=True), "Agent", flat=True).rows)
+
+
 # ---- split runs, files left out
 
 

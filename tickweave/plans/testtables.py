@@ -178,8 +178,11 @@ def snapshots_xml(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "xml", make)
 
 
-def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
-    """Simulator output ``Agent_<tick>.parquet``: iteration, agent_id, then variables in double."""
+def snapshot_files(spark: SparkSession, sf_dir: str, mixed: bool = False) -> str:
+    """Simulator output ``Agent_<tick>.parquet``: iteration, agent_id, then variables in double.
+
+    ``mixed`` keeps the ids of odd ticks in 32 bits and leaves the tick out of every third file.
+    """
 
     def make(path: str) -> None:
         base = os.path.abspath(local_path(path) or path)
@@ -195,8 +198,12 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
                 t = pa.Table.from_batches([batch])
                 for tick in t.column("iteration").unique().to_pylist():
                     part = t.filter(pc.equal(t.column("iteration"), tick))
+                    if mixed and tick % 2:
+                        part = part.set_column(1, "agent_id", part.column("agent_id").cast(pa.int32()))
+                    if mixed and tick % 3 == 0:
+                        part = part.drop_columns(["iteration"])
                     if tick not in writers:
-                        writers[tick] = pq.ParquetWriter(f"{base}/Agent_{tick}.parquet", t.schema)
+                        writers[tick] = pq.ParquetWriter(f"{base}/Agent_{tick}.parquet", part.schema)
                     writers[tick].write_table(part)
             for w in writers.values():
                 w.close()
@@ -208,4 +215,4 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
         )
         rows.repartition("iteration").mapInArrow(save, "n int").agg(F.sum("n")).collect()
 
-    return once(spark, sf_dir, "snapshots", make)
+    return once(spark, sf_dir, "mixed-snapshots" if mixed else "snapshots", make)

@@ -106,11 +106,11 @@ def _any(conditions: list[Column]) -> Column:
     return conditions[0]
 
 
-def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable: bool = False) -> TreeScan:
+def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable: bool = False, need_tick: bool = True) -> TreeScan:
     """Group files by what their footers hold. Only the distinct signatures come to the driver.
 
     ``wanted`` narrows the comparison to these metrics (and the tick); files lacking one are left out, as are files without
-    rows and, where all columns are wanted, files without a tick. ``skip_unreadable`` leaves out files that are no Parquet.
+    rows and, where all columns are wanted and ``need_tick``, files without a tick. ``skip_unreadable`` leaves out files that are no Parquet.
     """
     cols = footers(files, skip_unreadable=skip_unreadable)
     line = F.concat_ws("\t", F.col("variable"), F.col("spark_type"))
@@ -127,7 +127,7 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable
         kinds = dict(entry.split("\t") for entry in row["signature"].split("\n") if entry)
         roles = resolve_roles(list(kinds))
         lacking = [m for m in wanted or () if m not in kinds]
-        if lacking or (wanted is None and roles.tick is None):
+        if lacking or (wanted is None and need_tick and roles.tick is None):
             members.append((row["signature"], None, "no column " + ", ".join(lacking) if lacking else "no tick column"))
             continue
         who = (roles.tick, roles.agent if wanted is None else None)
@@ -179,7 +179,10 @@ def _stem() -> Column:
 
 @dataclass
 class Source:
-    """Which files of a tree: a glob for the file name, ranges, and a pattern that the name without ``.parquet`` must match."""
+    """Which files of a tree: a glob for the file name, ranges, and a pattern that the name without ``.parquet`` must match.
+
+    ``flat`` files lie in ``root`` itself and have neither set nor run.
+    """
 
     spark: SparkSession
     root: str
@@ -187,9 +190,13 @@ class Source:
     sets: str | tuple | None
     runs: str | tuple | None
     stem: str | None
+    flat: bool = False
 
     def files(self) -> DataFrame:
-        found = tree_files(self.spark, self.root, self.glob, self.sets, self.runs)
+        if self.flat:
+            found = list_files(self.spark, f"{self.root.rstrip('/')}/{self.glob}", "*")
+        else:
+            found = tree_files(self.spark, self.root, self.glob, self.sets, self.runs)
         if self.stem is None:
             return found
         return found.where(F.regexp_replace(part_of_path(F.col("path"), 1), r"\.parquet$", "").rlike(self.stem))
@@ -197,7 +204,9 @@ class Source:
     def scan(self, schema: str | None, folders: list[str] | None = None) -> DataFrame:
         """One scan over globs. Filters on the file path drop files while the scan is planned."""
         base = self.root.rstrip("/")
-        if folders is None and parse_range(self.sets) is None:
+        if self.flat:
+            globs = [f"{base}/{self.glob}"]
+        elif folders is None and parse_range(self.sets) is None:
             globs = [f"{base}/set_*/run_*/{self.glob}"]
         else:
             chosen = set_folders(self.spark, self.root, self.sets) if folders is None else [f"{base}/{f}" for f in folders]
@@ -375,6 +384,41 @@ def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
     return df.select(*first, *[F.col(f"`{c}`") for c in df.columns if c not in first])
 
 
+def _tick_of_name(path: Column) -> Column:
+    return F.regexp_extract(part_of_path(path, 1), r"_([0-9]+)\.parquet$", 1).try_cast("bigint")
+
+
+def read_snapshot_tree(
+    spark: SparkSession, root: str, agent: str, sets=None, runs=None, mode: str = "widen", flat: bool = False, skip_unreadable: bool = False
+) -> Reading:
+    """Per-tick files ``<agent>_<tick>.parquet`` of a tree as one canonical table, with the files left out and why.
+
+    Files lie in ``set_<n>/run_<m>`` folders, or, ``flat``, in ``root`` itself; then set and run are null. As in
+    :func:`read_tree`, footers decide how files of differing columns and types are read. The tick is that of the file's tick
+    column, and the job fails where it is not the one in the file's name; a file without such a column has the tick of its name.
+    Without IDs, agents are numbered by their place in the file.
+    """
+    source = Source(spark, root, f"{agent}_[0-9]*.parquet", sets, runs, rf"^{re.escape(agent)}_[0-9]+$", flat)
+    plan = plan_scan(source.files(), skip_unreadable=skip_unreadable, need_tick=False)
+    parts = []
+    for g, rows in source.parts(plan):
+        named = _tick_of_name(F.col("_file"))
+        if g.roles[0] is None:
+            rows = rows.withColumn("time_step", named)
+        else:
+            held = F.col(f"`{g.roles[0]}`")
+            wrong = F.raise_error(F.concat(F.col("_file"), F.lit(" holds tick "), F.coalesce(held.cast("string"), F.lit("null"))))
+            rows = rows.withColumn(g.roles[0], F.when(held.eqNullSafe(named), held).otherwise(wrong.cast(rows.schema[g.roles[0]].dataType)))
+        rows = canonicalize(rows.drop("_file"), F.col("_row")).drop("_row")
+        parts.append(rows.withColumns({c: F.lit(None).cast("int") for c in ("set_num", "run_num")}) if flat else rows)
+    left = left_out(plan)
+    if flat:
+        left = left.withColumns({c: F.lit(None).cast("int") for c in ("set_num", "run_num")})
+    if not parts:
+        return Reading(_empty(spark, f"{source.glob} in {root}"), left, spark.createDataFrame([], REJECTS))
+    return Reading(union_runs(*[downcast(rows, mode) for rows in parts]), left, _rejects(parts, mode, None))
+
+
 def read_snapshots(spark: SparkSession, folder: str, agent: str, schema: T.StructType | None = None) -> DataFrame:
     """Per-tick files ``<agent>_<tick>.parquet`` as one table; the tick is a column of the files.
 
