@@ -132,3 +132,56 @@ def test_registers_estimate():
         ra, rb = neardup.registers(np.sort(hashing.mixed(a))), neardup.registers(np.sort(hashing.mixed(b)))
         j, sd = neardup.estimate(ra[None], rb[None], np.array([n]), np.array([n]))
         assert abs(j[0] - 2 / 3) < 5 * sd[0]
+
+
+def thue_morse(n, flip=False):
+    """A word of n letters for which, with its complement, polynomials modulo powers of two give one hash."""
+    return "".join("ab"[(bin(k).count("1") + flip) % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_polynomials_confuse(spark, n):
+    one, two = thue_morse(n), thue_morse(n, True)
+    docs = [(1, one), (2, two), (3, " ".join([one, *"cdefghijklmnopqrstuvwxyz"])), (4, " ".join([two, *"cdefghijklmnopqrstuvwxyz"]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: (len(s), c) for (i, s), c in zip(((i, brute.shingles(t)) for i, t in docs), (x[1] for x in brute.near_groups(docs).values()))}
+    assert got[1][1] != got[2][1]
+    kept = {r.doc_id: (r.n_removed, r.kept) for r in substrings.dedup_substrings(df).collect()}
+    assert kept == {i: (n_, k) for i, (_, n_, k) in brute.later_words(docs, 20).items()}
+    raw = np.frombuffer((one + " " + two).encode(), np.uint8)
+    starts, ends, _ = hashing.words(raw, np.array([0, len(raw)]))
+    assert len(set(hashing.word_hashes(raw, starts, ends).tolist())) == 2
+
+
+def test_buckets_in_blocks(spark, monkeypatch):
+    """Buckets cut into blocks of pairs of parts lose no likely pair."""
+    docs = corpus(120, seed=8)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute.near_groups(docs)
+    for block in (4096, 3, 1):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()} == want
+
+
+def test_forest_holds_likely_pairs_together():
+    rng = np.random.default_rng(4)
+    base = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(6)]
+    sets = [np.unique(np.concatenate([b[rng.random(len(b)) < p], rng.integers(0, 2**63, 20).astype(np.uint64)])) for b in base for p in (1, 0.95, 0.9, 0.6, 0.55, 0.5)]
+    order = rng.permutation(len(sets))
+    sets = [sets[k] for k in order]
+    regs, n = np.array([neardup.registers(s) for s in sets]), np.array([len(s) for s in sets])
+    shares, first = neardup._shares(n.astype(float)), np.array([0, 15, 17, 18, 36])
+    bucket = np.repeat(np.arange(4), np.diff(first))
+    pairs = [(i, j) for i in range(36) for j in range(i) if bucket[i] == bucket[j] and neardup._alike(regs, n, shares, np.array([i]), np.array([j]))[1][0]]
+    told = [(int(a), int(b)) for x, y, _ in neardup._forest(regs, n, shares, first) for a, b in zip(x, y)]
+
+    def groups(edges):
+        label = list(range(36))
+        for a, b in edges:
+            label = [label[a] if x == label[b] else x for x in label]
+        return label
+
+    assert {(max(p), min(p)) for p in told} <= set(pairs) and len(told) == 36 - len(set(groups(told)))
+    same = lambda label: {(i, j) for i in range(36) for j in range(i) if label[i] == label[j]}
+    assert same(groups(told)) == same(groups(pairs))

@@ -4,13 +4,15 @@ A document's set holds its distinct shingles of five lower-cased words. Its sket
 bucket the register keeps the number of leading zeros and ten mantissa bits. Bands of four registers bring similar sets
 together; a band in which no register is filled brings nothing together. Equal sets are folded into one node first.
 
-In each bucket of a band, nodes are paired with the smallest node only, so a bucket yields as many pairs as it has nodes.
-Pairs are first judged by the registers (share of equal ones, corrected for chance collisions, with a margin of six standard
-deviations); of those left, each node's best is verified on the full sets. Clusters, the components of all pairs, hold
-whatever shares a band. Where a cluster still has several components, the nodes beside the largest one are compared with all
-of the cluster, in blocks of bounded size, through an index of the blocks' shingles, and a block tells only links that
-join components. A pair at the threshold misses all 32 bands with a probability of five in a million if its sets fill the
-sketch; of sets of three and four shingles about 3 in 100,000 are lost (all shared registers in the band of the extra one).
+A bucket of a band is divided by size, since sets of unlike size cannot be linked, and beyond a number of nodes into blocks of
+pairs of its parts. In each, registers alone tell which nodes look alike (share of equal registers, corrected for chance
+collisions, with a margin of six standard deviations); a spanning forest of these likely pairs is told, so a bucket yields
+fewer pairs than nodes and chance collisions yield none. Each node's best likely pair is verified on the full sets.
+Clusters are the components of the likely pairs, so every link lies within one. Where a cluster still has several components, the
+nodes beside the largest one are compared with all of the cluster, in blocks of bounded size, through an index of the
+blocks' shingles, and a block tells only links that join components. A pair at the threshold misses all 32 bands with a
+probability of five in a million if its sets fill the sketch; of sets of three and four shingles about 3 in 100,000 are lost
+(all shared registers in the band of the extra one).
 
 Defined results: texts without words have an empty set and are linked with nothing; fewer than five words count as one
 shingle; rows alike in id and text are one document; rows without id are linked with nothing and are kept.
@@ -31,6 +33,7 @@ from tickweave.llm.hashing import U, grams, lowered, mixed, text_bytes, word_has
 
 SHINGLE, THRESHOLD = 5, 75  # words; per cent of the union
 BUCKETS, MANTISSA, BAND, MARGIN = 128, 10, 4, 6.0
+BLOCK = 4096  # nodes of a bucket whose registers are compared in one piece
 # sides of a block of comparisons, in nodes and in shingles; wide ones, since each side is copied once per block of the other
 STRAGGLERS, CROWD, STRAGGLER_SHINGLES, CROWD_SHINGLES = 8192, 4096, 3_000_000, 2_000_000
 
@@ -115,23 +118,104 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tu
     return (equal - chance) / np.maximum(filled - chance, 1), np.sqrt(t * (1 - t) / filled)
 
 
-def _likely(a, b, na, nb) -> np.ndarray:
-    j, sd = estimate(a, b, na, nb)
-    return (j + MARGIN * sd >= THRESHOLD / 100) & (100 * np.minimum(na, nb) >= THRESHOLD * np.maximum(na, nb))
+def _shares(n: np.ndarray) -> np.ndarray:
+    """For sets of ``n`` shingles, how likely a bucket's smallest hash has each number of leading zeros."""
+    i = np.arange(1, 58)
+    each = n[:, None] / BUCKETS
+    return (1 - 2.0**-i) ** each - (1 - 2.0 ** (1 - i)) ** each
+
+
+def _alike(regs: np.ndarray, n: np.ndarray, shares: np.ndarray, i, j) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of nodes ``i`` with nodes ``j``, and whether they may be linked. As ``estimate``."""
+    a, b = regs[i], regs[j]
+    filled = ((a > 0) | (b > 0)).sum(axis=-1)
+    equal = ((a == b) & (a > 0)).sum(axis=-1)
+    chance = BUCKETS * (shares[i] * shares[j]).sum(axis=-1) / 2**MANTISSA
+    filled, t = np.maximum(filled, 1), THRESHOLD / 100
+    like = (equal - chance) / np.maximum(filled - chance, 1)
+    small = np.minimum(n[i], n[j]) * 100 >= THRESHOLD * np.maximum(n[i], n[j])
+    return like, small & (like + MARGIN * np.sqrt(t * (1 - t) / filled) >= t)
+
+
+def _forest(regs: np.ndarray, n: np.ndarray, shares: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Likely pairs (two rows and their similarity) that hold each bucket's likely pairs together; ``first`` starts the buckets, with the end."""
+    size = np.diff(first)
+    head = np.repeat(first[:-1], size)
+    rest = np.flatnonzero(np.arange(len(n)) != head)
+    passed = np.zeros(len(n), bool)
+    for k in range(0, len(rest), 4096):  # all with the first of their bucket
+        j = rest[k : k + 4096]
+        like, ok = _alike(regs, n, shares, head[j], j)
+        passed[j] = ok
+        yield head[j][ok], j[ok], like[ok]
+    passed[first[:-1]] = True
+    failed = np.add.reduceat(~passed, first[:-1]) if len(n) else np.zeros(0, int)
+    for k in np.flatnonzero((failed > 0) & (size > 2)):
+        lo, hi = first[k], first[k + 1]
+        label = np.where(passed[lo:hi], lo, np.arange(lo, hi))
+        for i in lo + np.flatnonzero(~passed[lo:hi]):
+            j = lo + np.flatnonzero(label != label[i - lo])
+            like, ok = _alike(regs, n, shares, i, j)
+            j, like = j[ok], like[ok]
+            joined, at = np.unique(label[j - lo], return_index=True)
+            if len(joined):
+                yield j[at], np.full(len(at), i), like[at]
+                label[np.isin(label, joined)] = label[i - lo]
+
+
+def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning likely pairs of each bucket; rows come in order of the buckets, and the last bucket of a batch waits for the next."""
+    held: pa.RecordBatch | None = None
+
+    def forest(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, n = (rows.column(c).to_numpy() for c in ("node", "n"))
+        regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        sizes, which = np.unique(n, return_inverse=True)
+        shares = _shares(sizes.astype(float))[which]
+        for a, b, like in _forest(regs, n, shares, np.append(_starts_of(rows), len(node))):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(like)], names=["a", "b", "j"])
 
-
-def _rows(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, BUCKETS)
-
-
-def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs with both registers: how similar they look, without those that cannot be linked."""
-    for pdf in batches:
-        if len(pdf):
-            a, b = _rows(pdf["ra"]), _rows(pdf["rb"])
-            na, nb = pdf["na"].to_numpy(), pdf["nb"].to_numpy()
-            ok = _likely(a, b, na, nb)
-            yield pd.DataFrame({"a": pdf["a"][ok], "b": pdf["b"][ok], "j": estimate(a[ok], b[ok], na[ok], nb[ok])[0]})
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch])
+        starts = _starts_of(rows)
+        last = int(starts[-1]) if len(starts) else 0
+        yield from forest(rows.slice(0, last))
+        held = rows.slice(last).combine_chunks().to_batches()[0] if len(rows) else None
+    if held is not None:
+        yield from forest(pa.Table.from_batches([held]))
+
+
+def _starts_of(rows: pa.Table) -> np.ndarray:
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for c in ("band", "key", "class", "block"):
+        x = rows.column(c).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def likely_pairs(nodes: DataFrame) -> DataFrame:
+    """``a, b, j``: pairs of nodes that look alike, enough to hold all likely pairs of each bucket together."""
+    bands = nodes.select("node", "registers").mapInArrow(_bands, "node long, band int, key long")
+    sizes = nodes.select(F.col("node").alias("of"), "n")
+    # sets can only be linked if the smaller has THRESHOLD per cent of the larger: in the same class of size, or the next
+    steps = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / THRESHOLD))).cast("int")
+    members = bands.join(sizes, F.col("node") == F.col("of")).drop("of")
+    members = settled(members.withColumn("class", F.explode(F.array(steps, steps + 1))).drop("n"), "members")
+    bucket = ["band", "key", "class"]
+    shared = members.groupBy(*bucket).agg(F.count("*").alias("k")).filter("k > 1").withColumn("parts", (2 * F.floor((F.col("k") - 1) / BLOCK) + 1).cast("int"))
+    placed = members.join(shared.drop("k"), bucket).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("part")) | (F.col("parts") == 1))
+    placed = placed.withColumn("other", F.explode(others))
+    placed = placed.withColumn("block", F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).select("node", *bucket, "block")
+    full = placed.join(nodes.select("node", "n", "registers"), "node")
+    near = full.repartition(*bucket, "block").sortWithinPartitions(*bucket, "block", "node").select("node", "n", *bucket, "block", "registers")
+    out = settled(near.mapInArrow(_likely_pairs, "a long, b long, j double").groupBy("a", "b").agg(F.first("j").alias("j")), "likely")
+    used_up(members)
+    return out
 
 
 def _block(key: tuple, few: pd.DataFrame, crowd: pd.DataFrame) -> pd.DataFrame:
@@ -195,25 +279,20 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     nodes = linked.groupBy("sig_a", "sig_b", "n").agg(F.min(F.struct("doc_id", "fp")).alias("first"), F.first("registers").alias("registers"))
     nodes = nodes.select("sig_a", "sig_b", "n", "first.*", "registers").withColumn("node", F.monotonically_increasing_id())
     nodes = settled(nodes, "nodes")  # written once, so the numbers stay
-    bands = nodes.select("node", "registers").mapInArrow(_bands, "node long, band int, key long")
-    shared = bands.groupBy("band", "key").agg(F.min("node").alias("first"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    members = bands.join(shared, ["band", "key"])
-    sketch = nodes.select("node", "n", "registers")
-    side = lambda c: sketch.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}"))
-    pairs = settled(members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    stars = settled(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_judged, "a long, b long, j double"), "stars")
-    best = stars.groupBy("b").agg(F.max(F.struct("j", F.col("a").alias("a"))).alias("top")).select("top.a", "b")
-
-    # sets of all nodes that share a band with another node
+    pairs = likely_pairs(nodes)
+    best = pairs.groupBy("b").agg(F.max(F.struct("j", F.col("a").alias("a"))).alias("top")).select("top.a", "b")
+
+    # sets of all nodes that look like another node
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "doc_id", "fp"), "node")
     sets = settled(docs.join(wanted, ["doc_id", "fp"]).select("node", "text").mapInArrow(_sets, "node long, hashes binary"), "sets")
     links = settled(verified(best, sets), "links")
     comps = components(links)
 
-    # clusters are what bands hold together; where one has several components, those beside the largest meet all of it
-    clusters = components(pairs).select("node", F.col("component").alias("cluster"))
-    labelled = clusters.join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("component")).join(nodes.select("node", "n"), "node")
+    # clusters are what likely pairs hold together; where one has several components, those beside the largest meet all of it
+    clusters = components(pairs)
+    labelled = clusters.select("node", F.col("component").alias("cluster")).join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("component")).join(nodes.select("node", "n"), "node")
     labelled = settled(labelled, "labelled")
+    used_up(clusters, pairs)
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
     largest = parts.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("top"), F.sum("k").alias("k"), F.sum("s").alias("s"), F.count("*").alias("comps"))
     blocks = lambda k, s, side, most: F.greatest(F.floor((k - 1) / side), F.floor((s - 1) / most)).cast("int") + 1
@@ -228,12 +307,14 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     place = ["cluster", "row", "col"]
     more = settled(few.select(*[F.col(c).alias(c) for c in need]).groupBy(*place).cogroup(crowd.select(*[F.col(c).alias(c) for c in need]).groupBy(*place)).applyInPandas(_block, "a long, b long"), "more-links")
     if not more.isEmpty():
+        used_up(comps)
         comps = components(links.union(more))
-    used_up(sets)
+    used_up(sets, labelled, links, more)
 
     of_node = nodes.join(comps, "node", "left").select("sig_a", "sig_b", "n", "doc_id", F.coalesce("component", "node").alias("component"))
     lowest = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_set = settled(of_node.join(lowest, "component").select("sig_a", "sig_b", "n", "component_id"), "classes")
+    used_up(comps, nodes)
     alone = sketches.filter((F.col("n") == 0) | (F.col("doc_id") == NO_ID)).select("doc_id", "fp", "n", F.col("doc_id").alias("component_id"))
     return every, linked.join(of_set, ["sig_a", "sig_b", "n"]).select("doc_id", "fp", "n", "component_id").unionByName(alone)
 
