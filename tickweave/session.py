@@ -43,14 +43,13 @@ def local_session(cores: int | str = "*", memory: str = "12g", app: str = "tickw
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the workers, for sessions whose executors do not have it installed."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "tickweave.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for here, _, names in os.walk(os.path.join(root, "tickweave")):
-                for name in names:
-                    if name.endswith(".py"):
-                        z.write(os.path.join(here, name), os.path.relpath(os.path.join(here, name), root))
-        spark.sparkContext.addPyFile(path)
+    path = os.path.join(tempfile.mkdtemp(prefix="tickweave-package-"), "tickweave.zip")  # on the driver, which hands it out as long as it lives
+    with zipfile.ZipFile(path, "w") as z:
+        for here, _, names in os.walk(os.path.join(root, "tickweave")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(here, name), os.path.relpath(os.path.join(here, name), root))
+    spark.sparkContext.addPyFile(path)
 
 
 def scratch_dir(spark: SparkSession) -> str:
