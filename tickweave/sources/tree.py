@@ -76,7 +76,7 @@ class TreeScan:
     groups: list[FileGroup]
     ledger: DataFrame
     whole: bool  # one group has all files
-    split: bool  # some file is a later piece of its run
+    split: bool  # some file is a piece of its run
 
     def stretches(self) -> list:
         """Where along the tree each group has its files: one row per change of layout, not per file.
@@ -123,12 +123,20 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable
     per_file = settle(per_file, "footers")
     groups: list[FileGroup] = []
     members: list[tuple[str, int | None, str | None]] = []
-    for row in per_file.where("n_rows > 0").groupBy("signature").count().orderBy(F.desc("count"), "signature").toLocalIterator():
+    piece = piece_of_file(part_of_path(F.col("path"), 1))
+    full = F.col("n_rows") > 0
+    seen = per_file.groupBy("signature").agg(F.count_if(full).alias("k"), F.count_if(full.isNull() | ~full).alias("bad"), F.count(piece).alias("pieces"))
+    left_out = split = False
+    for row in seen.orderBy(F.desc("k"), "signature").toLocalIterator():
+        left_out, split = left_out or row["bad"] > 0, split or row["pieces"] > 0
+        if not row["k"]:
+            continue
         kinds = dict(entry.split("\t") for entry in row["signature"].split("\n") if entry)
         roles = resolve_roles(list(kinds))
         lacking = [m for m in wanted or () if m not in kinds]
         if lacking or (wanted is None and need_tick and roles.tick is None):
             members.append((row["signature"], None, "no column " + ", ".join(lacking) if lacking else "no tick column"))
+            left_out = True
             continue
         who = (roles.tick, roles.agent if wanted is None else None)
         k = next((k for k, g in enumerate(groups) if g.roles == who and g.try_add(kinds)), None)
@@ -146,9 +154,9 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable
     folders = [part_of_path(path, 3), part_of_path(path, 2), whole_name(part_of_path(path, 1))]
     earlier = Window.partitionBy(*folders).orderBy("piece", "path").rowsBetween(Window.unboundedPreceding, -1)
     read = F.when(F.col("reason").isNull(), F.col("n_rows"))
-    ledger = settle(ledger.withColumn("start", F.coalesce(F.sum(read).over(earlier), F.lit(0))), "ledger")
-    left_out, split = ledger.agg(F.count("reason"), F.coalesce(F.bool_or(F.col("reason").isNull() & (F.col("start") > 0)), F.lit(False))).first()
-    return TreeScan(groups, ledger, len(groups) == 1 and not left_out, split)
+    ledger = ledger.withColumn("start", F.coalesce(F.sum(read).over(earlier), F.lit(0)))
+    whole = len(groups) == 1 and not left_out
+    return TreeScan(groups, ledger if whole and not split else settle(ledger, "ledger"), whole, split)
 
 
 def left_out(scan: TreeScan) -> DataFrame:
