@@ -50,7 +50,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("byte BPE", encode),
 ]
 
-# The sketches, decoders and encoder can't be said in SQL; tests compare the operators with brute force, but none calls run() yet.
+# The sketches, decoders and encoder can't be said in SQL; tests/llm/test_pipeline.py compares run() with five plain stages.
 ORACLE_SQL = None
 
 

@@ -10,8 +10,12 @@ characters of the original text that it was decoded from.
 Defined results: null and empty texts have no secrets; repeated rows give repeated rows; extra columns do not matter. The
 content of compressed data above ``MAX_LAYER`` bytes is streamed and searched in overlapping stretches that are cut outside of
 encoded runs. What is not decoded in one piece is counted in ``n_oversize``: encoded runs above twice ``MAX_LAYER`` within such
-content, and data compressed more than ``MAX_DEPTH`` times. Decoded bytes that are not mostly printable are layers only if
-they hold a secret or something to decode.
+content, and data compressed more than ``MAX_DEPTH`` times; redaction takes out the whole run of the text that holds such data.
+Decoded bytes that are not mostly printable are layers only if they hold a secret or something to decode.
+
+Compressed content is read as a stream, and blocks of one byte that no secret and no encoding uses are shortened as they come,
+so that data compressed over and over, of zeros say, cost what inflating them costs. Other content costs time in proportion to
+its size, however often it was compressed to get into the text.
 """
 
 from __future__ import annotations
@@ -49,6 +53,9 @@ MIN_BASE64 = 16
 MAX_LAYER, MAX_DEPTH, BLOCK = 1 << 26, 64, 1 << 16
 # 1 for the bytes at which no encoded run goes on
 OUTSIDE = bytes(0 if chr(c).isascii() and chr(c).isalnum() or chr(c) in "+/_-=%\\\r\n" else 1 for c in range(256))
+# bytes in no secret and no encoded run: a long run of one of them says no more than a short one
+IDLE = frozenset(c for c in range(128) if OUTSIDE[c] and chr(c) not in "\"' :.")
+READABLE = np.array([chr(c).isprintable() or chr(c) in "\n\r\t" for c in range(256)])
 FAULTS = (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 
 
@@ -81,8 +88,20 @@ def _chars(data: bytes) -> tuple[str, np.ndarray, bool]:
         return data.decode("latin-1"), np.arange(len(data)), False
 
 
+def _text(data: bytes) -> str:
+    try:
+        return data.decode("utf-8")
+    except UnicodeDecodeError:
+        return data.decode("latin-1")
+
+
 def _readable(text: str) -> bool:
-    return bool(text) and sum(c.isprintable() or c in "\n\r\t" for c in text) >= 0.95 * len(text)
+    good = 0
+    for at in range(0, len(text), 16 * BLOCK):
+        codes = np.frombuffer(text[at : at + 16 * BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds, counts = np.unique(codes[codes > 255], return_counts=True)
+        good += int(READABLE[codes[codes < 256]].sum()) + sum(n for c, n in zip(kinds.tolist(), counts.tolist(), strict=True) if chr(c).isprintable())
+    return bool(text) and good >= 0.95 * len(text)
 
 
 def _holds(text: str) -> bool:
@@ -178,6 +197,19 @@ def _inflated(source: io.BufferedReader, faults: list[str]) -> Iterator[bytes]:
         faults.append(str(e))
 
 
+def _shortened(blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """Blocks without those that only go on with one idle byte, of which one block came before."""
+    last = b""
+    for block in blocks:
+        if block[0] in IDLE and block.count(block[:1]) == len(block):
+            if last == block[:1]:
+                continue
+            last = block[:1]
+        else:
+            last = b""
+        yield block
+
+
 def _windows(blocks: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
     """Content in one piece, or if it is large in overlapping stretches; True if an encoded run had to be cut."""
     held, limit, overlap = bytearray(), MAX_LAYER, MAX_LAYER >> 4
@@ -198,7 +230,7 @@ def _windows(blocks: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
         yield bytes(held), False
 
 
-def _contents(data: bytes, told: list[str]) -> Iterator[str]:
+def _contents(data: bytes, cut: list[str]) -> Iterator[str]:
     """The texts in compressed bytes, at every depth of compression. Deeper ones are streamed anew: bounded memory."""
     met = {data}
     for depth in range(1, MAX_DEPTH + 2):
@@ -208,15 +240,15 @@ def _contents(data: bytes, told: list[str]) -> Iterator[str]:
         if not source.peek(1):
             return
         if depth > MAX_DEPTH:
-            told.append("depth")
+            cut.append("depth")
             return
-        for number, (window, forced) in enumerate(_windows(iter(lambda: source.read1(BLOCK), b""))):  # noqa: B023
-            told += ["run"] * forced
+        for number, (window, forced) in enumerate(_windows(_shortened(iter(lambda: source.read1(BLOCK), b"")))):  # noqa: B023
+            cut += ["run"] * forced
             if not number and window in met:  # compressed data that holds itself
                 return
             if not number and len(window) <= BLOCK:
                 met.add(window)
-            text = _chars(window)[0]
+            text = _text(window)
             if _holds(text) or (not faults and _readable(text)):
                 yield text
 
@@ -237,7 +269,7 @@ def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
         yield from (lines[a:b] for a, b in sorted(picks))
 
 
-def _from_base64(layer: Layer, run: str, where: slice | np.ndarray, told: list[str]) -> Iterator[Layer]:
+def _from_base64(layer: Layer, run: str, where: slice | np.ndarray, told: list[tuple[int, int]]) -> Iterator[Layer]:
     """The layers in one base64 run, whose characters are those at ``where``."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
@@ -248,17 +280,18 @@ def _from_base64(layer: Layer, run: str, where: slice | np.ndarray, told: list[s
         return
     text, first, utf8 = _chars(data)
     s, e = layer.start[where], layer.end[where]
-    plain = utf8 and _readable(text)
-    for content in _contents(data, told) if not plain else ():  # where a character stems from cannot be told: all of the run
+    plain, cut = utf8 and _readable(text), []
+    for content in _contents(data, cut) if not plain else ():  # where a character stems from cannot be told: all of the run
         n = len(content)
         yield Layer(content, np.broadcast_to(s[0], n), np.broadcast_to(e[-1], n))
+    told += [(int(s.min()), int(e.max()))] * len(cut)
     if plain or _holds(text):
         last = np.append(first[1:], len(data)) - 1
         yield Layer(text, s[first * 4 // 3], e[np.minimum(last * 4 // 3 + 1, len(e) - 1)])
 
 
-def _unwrapped(layer: Layer, told: list[str]) -> Iterator[Layer]:
-    """The layers directly below one; ``told`` grows by what could not be decoded in one piece."""
+def _unwrapped(layer: Layer, told: list[tuple[int, int]]) -> Iterator[Layer]:
+    """The layers directly below one; ``told`` grows by where what could not be decoded in one piece lies in the text."""
     if "%" in layer.text and (out := _replaced(layer, PERCENT, _percent)) is not None:
         yield out
     if "\\" in layer.text and (out := _replaced(layer, ESCAPE, _escapes)) is not None:
@@ -273,11 +306,15 @@ def _unwrapped(layer: Layer, told: list[str]) -> Iterator[Layer]:
 
 def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, int]:
     """Base spans, all spans (both by start, then kind), number of decoded layers, number of runs not decoded in one piece."""
-    text = text or ""
+    base, spans, layers, told = _worked(text or "")
+    return base, spans, layers, len(told)
+
+
+def _worked(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, list[tuple[int, int]]]:
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     base = sorted(find(text), key=order)
     if not any(p.search(text) for p in (PERCENT, ESCAPE, BASE64, LINES)):
-        return base, base, 0, 0
+        return base, base, 0, []
     spans, seen, told = set(base), set(), []
     place = np.arange(len(text) + 1)
     work = [_unwrapped(Layer(text, place[:-1], place[1:]), told)]
@@ -292,7 +329,7 @@ def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[
         seen.add(key)
         spans.update((kind, int(layer.start[a:b].min()), int(layer.end[a:b].max())) for kind, a, b in find(layer.text))
         work.append(_unwrapped(layer, told))
-    return base, sorted(spans, key=order), len(seen), len(told)
+    return base, sorted(spans, key=order), len(seen), told
 
 
 def _told(spans: list[tuple[str, int, int]]) -> str:
@@ -317,9 +354,10 @@ def _redact(texts: pd.Series, mark: pd.Series) -> pd.Series:
 
 
 def redacted(text: str, mark: str) -> str:
-    """The text with every stretch that spans cover replaced by the mark; adjoining spans share one."""
+    """The text with every stretch that spans cover, or that could not be decoded, replaced by the mark; overlapping ones share one."""
     parts, at = [], 0
-    for _, a, b in scan_text(text)[1]:
+    _, spans, _, told = _worked(text)
+    for a, b in sorted({*told, *(s[1:] for s in spans)}):
         if a >= at:
             parts += [text[at:a], mark]
         at = max(at, b)
