@@ -211,13 +211,29 @@ def test_top_k(spark, block, slab):
     got = {}
     for r in topk.top_k(q, q.filter("vec_id % 10 = 0"), 10, block, slab).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    vecs = dict((r.vec_id, r.v) for r in q.collect())
-    for i in (i for i in vecs if i % 10 == 0):
-        best = sorted((-sum(a * b for a, b in zip(vecs[i], v)), j) for j, v in vecs.items() if j != i and len(v) == len(vecs[i]))[:10]
+    vecs = [(r.vec_id, r.v) for r in q.collect()]  # the row 7 is there twice and counts twice
+    for i, own in ((i, v) for i, v in vecs if i % 10 == 0):
+        best = sorted((-sum(a * b for a, b in zip(own, v)), j) for j, v in vecs if j != i and len(v) == len(own))[:10]
         assert sorted(got.get(i, [])) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
     assert topk.top_k(q.limit(0), q.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-1.0, 0.5, 0.25]) for _ in range(4)]) for i in range(40)]
+    rows += [rows[3]] * 25 + [rows[8]] * 2 + [rows[10]] * 3 + [(10, [2.0] * 4), (20, rows[20][1])]  # 10 asks in two ways
+    q = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3))
+    vecs = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for i, v in vecs:
+        if i % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in vecs if j != i)[:10]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    for block in (16384, 7):
+        got = topk.top_k(q, q.filter("vec_id % 10 = 0"), 10, block, 2).select("query_id", "rank", "vec_id", "score")
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("kind, largest", [("float", 3e38), ("double", 1e30)])
 def test_top_k_of_large_components(spark, kind, largest):
     rng = random.Random(9)

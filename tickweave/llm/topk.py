@@ -11,8 +11,9 @@ which returns k rows a query. Only queries' slabs and, for many queries, blocks
 Vectors whose scores might not fit 64 bits are *wide*: they have blocks of their own, and whatever meets them is added up in
 Python's whole numbers, with the same bitmaps. A score beyond 64 bits is null in ``score`` and stands as text in ``wide_score``.
 
-Defined results: vectors that are null, empty, or hold null or non-finite components take no part; rows alike in id and vector count once; a query meets only
-vectors of its own length, and no row with its own id; rows without id take no part.
+Defined results: vectors that are null, empty, or hold null or non-finite components take no part; a query meets only
+vectors of its own length, and no row with its own id; rows without id take no part. Rows alike in id and vector are one row of
+the index, with their number: as candidates each of them has a rank of its own, as queries each of them gets its own ranks.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from tickweave.session import settle
 SCALE, LARGEST = 1024, 1 << 27
 LIMB = 32
 IN_RANGE = b"\x01"
-FOUND = "query_id long, q long, vec_id long, score long, beyond binary, wide_score string"
+FOUND = "query_id long, q long, asked long, vec_id long, copies long, score long, beyond binary, wide_score string"
 ROWS_PER_BLOCK, QUERIES_PER_SLAB = 16384, 2048
-INDEX = "dim int, block int, ids binary, low long, slices binary, digits int, sums binary, sum_top long, vectors binary, wide boolean"
+INDEX = "dim int, block int, ids binary, copies binary, low long, slices binary, digits int, sums binary, sum_top long, vectors binary, wide boolean"
 
 
 def quantised(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -78,15 +79,20 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     sums = vectors.sum(axis=1)
     rest = sums.max() - sums
     return pd.DataFrame([{
-        "dim": vectors.shape[1], "block": int(pdf["block"].iloc[0]), "ids": pdf["vec_id"].to_numpy(np.int64).tobytes(), "low": None if wide else low, "slices": slices.tobytes(),
+        "dim": vectors.shape[1], "block": int(pdf["block"].iloc[0]), "ids": pdf["vec_id"].to_numpy(np.int64).tobytes(), "copies": pdf["copies"].to_numpy(np.int64).tobytes(), "low": None if wide else low, "slices": slices.tobytes(),
         "digits": digits, "sums": _bitmaps(rest, max(1, int(rest.max()).bit_length())).tobytes(), "sum_top": None if wide else int(sums.max()),
         "vectors": (given if wide else vectors.astype(np.int32)).tobytes(), "wide": wide,
     }])
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows alike in id and vector as one, with their number in ``copies``."""
+    return rows.groupBy("vec_id", "dim", "v", "w").agg(F.count("*").alias("copies"))
+
+
 def build_index(rows: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Bit-sliced index of all rows (``vec_id, dim, v, w``), one row per block; ids ascend within a block, wide blocks are negative."""
-    rows = rows.dropDuplicates(["vec_id", "v", "w"])
+    rows = _counted(rows)
     blocks = math.ceil(rows.count() / rows_per_block) or 1
     block = F.pmod(F.xxhash64("vec_id", "v", "w"), F.lit(blocks)).cast("int")
     return rows.withColumn("block", F.when(F.col("w").isNull(), block).otherwise(-1 - block)).groupBy("dim", "block").applyInPandas(_build, INDEX)
@@ -150,7 +156,7 @@ def _search(k: int):
     def search(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found: list[pd.DataFrame] = []
         for b in index.itertuples() if len(queries) else ():
-            ids = np.frombuffer(b.ids, np.int64)
+            ids, copies = np.frombuffer(b.ids, np.int64), np.frombuffer(b.copies, np.int64)
             words = -(-len(ids) // 64)
             slices = np.frombuffer(b.slices, np.uint64).reshape(b.dim, b.digits, words)
             sums = np.frombuffer(b.sums, np.uint64).reshape(-1, words)
@@ -180,7 +186,7 @@ def _search(k: int):
                     scores = _scores([sum(x * y for x, y in zip(row, v.tolist())) for row in rows.tolist()])
                 else:
                     scores = {"score": pd.array(vectors[best].astype(np.int64) @ v, dtype="Int64"), "beyond": IN_RANGE, "wide_score": None}
-                found.append(pd.DataFrame({"query_id": q.query_id, "q": q.q, "vec_id": ids[best], **scores}))
+                found.append(pd.DataFrame({"query_id": q.query_id, "q": q.q, "asked": q.copies, "vec_id": ids[best], "copies": copies[best], **scores}))
         return pd.concat(found).astype({"beyond": object, "wide_score": object}) if found else pd.DataFrame({c.split()[0]: pd.Series(dtype="int64" if c.endswith("long") else object) for c in FOUND.split(", ")})
 
     return search
@@ -189,11 +195,17 @@ def _search(k: int):
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, rows_per_block: int = ROWS_PER_BLOCK, queries_per_slab: int = QUERIES_PER_SLAB) -> DataFrame:
     """``query_id, rank, vec_id, score, wide_score``: the k best of ``rows`` for each of ``queries`` (both as ``quantised`` gives them)."""
     index = settle(build_index(rows, rows_per_block), "bit-slices")
-    asked = queries.dropDuplicates(["vec_id", "v", "w"])
+    asked = _counted(queries)
     slabs = math.ceil(asked.count() / queries_per_slab) or 1
-    asked = asked.select(F.col("vec_id").alias("query_id"), "dim", "v", "w", F.xxhash64("v", "w").alias("q"), F.pmod(F.xxhash64("vec_id", "v", "w"), F.lit(slabs)).cast("int").alias("slab"))
+    asked = asked.select(F.col("vec_id").alias("query_id"), "dim", "v", "w", "copies", F.xxhash64("v", "w").alias("q"), F.pmod(F.xxhash64("vec_id", "v", "w"), F.lit(slabs)).cast("int").alias("slab"))
     left = index.select(*[F.col(c).alias(c) for c in index.columns]).withColumn("slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))))
     right = asked.join(index.select(F.col("dim").alias("dim"), F.col("block").alias("block")), "dim")
     found = left.groupBy("dim", "block", "slab").cogroup(right.groupBy("dim", "block", "slab")).applyInPandas(_search(k), FOUND)
     order = Window.partitionBy("query_id", "q").orderBy(F.desc("beyond"), F.desc("score"), "vec_id")
-    return found.select("*", F.row_number().over(order).alias("rank")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "wide_score")
+    kept = found.select("*", F.row_number().over(order).alias("place")).filter(F.col("place") <= k)
+    # copies follow each other in rank; only the k best rows of a query have come this far
+    kept = kept.withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.col("upto") - F.col("copies") + 1
+    kept = kept.filter(first <= k).withColumn("rank", F.explode(F.sequence(first.cast("int"), F.least(F.col("upto"), F.lit(k)).cast("int"))))
+    kept = kept.filter("asked = 1").unionByName(kept.filter("asked > 1").withColumn("asked", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asked")))))
+    return kept.select("query_id", "rank", "vec_id", "score", "wide_score")
