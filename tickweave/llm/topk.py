@@ -207,5 +207,5 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, rows_per_block: int
     kept = kept.withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     first = F.col("upto") - F.col("copies") + 1
     kept = kept.filter(first <= k).withColumn("rank", F.explode(F.sequence(first.cast("int"), F.least(F.col("upto"), F.lit(k)).cast("int"))))
-    kept = kept.filter("asked = 1").unionByName(kept.filter("asked > 1").withColumn("asked", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asked")))))
+    kept = kept.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asked"))))
     return kept.select("query_id", "rank", "vec_id", "score", "wide_score")
