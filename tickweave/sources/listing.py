@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tickweave.functions.names import Range, first_number, number_of, parse_range
 
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, uri string"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -74,7 +74,9 @@ def set_folders(spark: SparkSession, root: str, sets: Range | str | None = None)
 
 
 def list_files(spark: SparkSession, paths: str | list[str], glob: str, check: bool = True) -> DataFrame:
-    """(path, modificationTime, length) of all files below ``paths`` whose name matches ``glob``.
+    """(path, modificationTime, length, uri) of all files below ``paths`` whose name matches ``glob``.
+
+    ``uri`` is the path as the rows of a scan show it in ``_metadata.file_path``, where blanks and the like are escaped.
 
     The ``binaryFile`` source lists in parallel and, as no content is selected, opens nothing. Like all
     Spark file sources it passes over files of zero bytes. ``check=False`` promises that the paths exist.
@@ -85,12 +87,13 @@ def list_files(spark: SparkSession, paths: str | list[str], glob: str, check: bo
     if not roots:
         return spark.createDataFrame([], FILE_SCHEMA)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    return reader.load(roots).select("path", "modificationTime", "length")
+    return reader.load(roots).select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("uri"))
 
 
 def part_of_path(path: Column, back: int) -> Column:
     """Path component counted from the end: 1 is the file name, 2 its folder."""
-    return F.substring_index(F.substring_index(path, "/", -back), "/", 1)
+    tail = F.substring_index(path, "/", -back)
+    return tail if back == 1 else F.substring_index(tail, "/", 1)
 
 
 def folder_number(name: Column) -> Column:

@@ -70,7 +70,7 @@ class TreeScan:
     """How to read the files of a tree.
 
     ``ledger`` has a row per file: ``path, set_num, run_num, piece, n_rows``, the group that reads it or the ``reason`` why
-    none does, and ``start``, the rows that earlier pieces of its run have.
+    none does, and ``start``, the rows that earlier pieces of its run have; unless ``whole``, ``uri`` as well.
     """
 
     groups: list[FileGroup]
@@ -81,29 +81,29 @@ class TreeScan:
     def stretches(self) -> list:
         """Where along the tree each group has its files: one row per change of layout, not per file.
 
-        Files of a set folder are ordered by run and name; neighbours of one group make a stretch. Only its ends come to
-        the driver, with ``only``: whether the whole folder is one stretch.
+        Files of a set folder are ordered by their address as a scan shows it; neighbours of one group make a stretch. Only
+        its ends come to the driver, in this order, with ``only``: whether the whole folder is one stretch.
         """
-        path = F.col("path")
-        files = self.ledger.select(part_of_path(path, 3).alias("folder"), "grp", _place(path).alias("place"))
-        along = Window.partitionBy("folder").orderBy("place")
+        above = F.regexp_replace("uri", r"/[^/]*/[^/]*$", "")
+        files = self.ledger.select(part_of_path(F.col("path"), 3).alias("folder"), above.alias("above"), "grp", "uri")
+        along = Window.partitionBy("above").orderBy("uri")
         files = files.withColumn("new", F.when(F.col("grp").eqNullSafe(F.lag("grp").over(along)) & (F.row_number().over(along) > 1), 0).otherwise(1))
         files = files.withColumn("stretch", F.sum("new").over(along))
-        ends = files.groupBy("folder", "stretch", "grp").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        ends = files.groupBy("folder", "above", "stretch", "grp").agg(F.min("uri").alias("first"), F.max("uri").alias("last"))
         ends = ends.withColumn("only", F.count(F.lit(1)).over(Window.partitionBy("folder")) == 1)
-        return list(ends.where("grp IS NOT NULL").orderBy("folder", "stretch").toLocalIterator())
+        return list(ends.where("grp IS NOT NULL").orderBy("first").toLocalIterator())
 
 
-def _place(path: Column) -> Column:
-    """Order of the files of a set folder, from the path alone."""
-    return F.struct(F.coalesce(run_of_path(path), F.lit(-1)).alias("run"), part_of_path(path, 2).alias("folder"), part_of_path(path, 1).alias("name"))
+def _within(value: Column, ranges: list[tuple[str, str]]) -> Column:
+    """Whether ``value`` lies in one of these ranges, which are in order and apart.
 
-
-def _any(conditions: list[Column]) -> Column:
-    """Disjunction as a balanced tree, so that many conditions are no deep expression."""
-    while len(conditions) > 1:
-        conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + ([conditions[-1]] if len(conditions) % 2 else [])
-    return conditions[0]
+    Spark keeps a filter on the file path for the rows of the files it has chosen by it. So this is a search by halves: a row
+    costs a few comparisons of whole texts, however many ranges there are.
+    """
+    if len(ranges) == 1:
+        return value.between(*ranges[0])
+    half = len(ranges) // 2
+    return F.when(value < ranges[half][0], _within(value, ranges[:half])).otherwise(_within(value, ranges[half:]))
 
 
 def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable: bool = False, need_tick: bool = True) -> TreeScan:
@@ -156,6 +156,8 @@ def plan_scan(files: DataFrame, wanted: list[str] | None = None, skip_unreadable
     read = F.when(F.col("reason").isNull(), F.col("n_rows"))
     ledger = ledger.withColumn("start", F.coalesce(F.sum(read).over(earlier), F.lit(0)))
     whole = len(groups) == 1 and not left_out
+    if not whole:
+        ledger = ledger.join(files.select("path", "uri"), "path")
     return TreeScan(groups, ledger if whole and not split else settle(ledger, "ledger"), whole, split)
 
 
@@ -181,8 +183,10 @@ def _scan(spark: SparkSession, paths: list[str], schema: str | None) -> DataFram
     )
 
 
-def _stem() -> Column:
-    return F.regexp_replace(part_of_path(F.col("_file"), 1), r"\.parquet$", "")
+def _stem(path: Column) -> Column:
+    """File name without ``.parquet``, in which every glob here ends."""
+    name = part_of_path(path, 1)
+    return F.left(name, F.length(name) - F.lit(len(".parquet")))
 
 
 @dataclass
@@ -207,7 +211,7 @@ class Source:
             found = tree_files(self.spark, self.root, self.glob, self.sets, self.runs)
         if self.stem is None:
             return found
-        return found.where(F.regexp_replace(part_of_path(F.col("path"), 1), r"\.parquet$", "").rlike(self.stem))
+        return found.where(_stem(F.col("path")).rlike(self.stem))
 
     def scan(self, schema: str | None, folders: list[str] | None = None) -> DataFrame:
         """One scan over globs. Filters on the file path drop files while the scan is planned."""
@@ -222,7 +226,7 @@ class Source:
         rows = _scan(self.spark, globs, schema)
         if parse_range(self.runs) is not None:
             rows = rows.where(in_bounds(run_of_path(F.col("_file")), parse_range(self.runs)))
-        return rows if self.stem is None else rows.where(_stem().rlike(self.stem))
+        return rows if self.stem is None else rows.where(_stem(F.col("_file")).rlike(self.stem))
 
     def parts(self, plan: TreeScan) -> list[tuple[FileGroup, DataFrame]]:
         """The rows of each group, with ``_row`` counted from the start of the run.
@@ -241,10 +245,8 @@ class Source:
                     found.append((g, self.scan(g.schema, plain)))
                 mixed = [e for e in own if not e["only"]]
                 if mixed:
-                    place = _place(F.col("_file"))
-                    bound = lambda p: F.struct(F.lit(p["run"]).alias("run"), F.lit(p["folder"]).alias("folder"), F.lit(p["name"]).alias("name"))
-                    inside = [(part_of_path(F.col("_file"), 3) == e["folder"]) & (place >= bound(e["first"])) & (place <= bound(e["last"])) for e in mixed]
-                    found.append((g, self.scan(g.schema, sorted({e["folder"] for e in mixed})).where(_any(inside))))
+                    inside = _within(F.col("_file"), [(e["first"], e["last"]) for e in mixed])
+                    found.append((g, self.scan(g.schema, sorted({e["folder"] for e in mixed})).where(inside)))
         return [(g, self.placed(rows, plan.ledger) if plan.split else rows) for g, rows in found]
 
     def placed(self, rows: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -393,7 +395,8 @@ def resolve_agent(spark: SparkSession, folder: str, agent: str) -> DataFrame:
 
 
 def _tick_of_name(path: Column) -> Column:
-    return F.regexp_extract(part_of_path(path, 1), r"_([0-9]+)\.parquet$", 1).try_cast("bigint")
+    """Tick of ``<agent>_<tick>.parquet``, without a regular expression, as this runs for every row of a scan."""
+    return F.substring_index(F.substring_index(path, "_", -1), ".", 1).try_cast("bigint")
 
 
 def read_snapshot_tree(
